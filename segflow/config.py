@@ -21,7 +21,8 @@ class PipelineConfig:
 
     ``volumes_root`` is the directory above ``catalog/schema/volume``;
     ``checkpoint_root`` must be on storage every executor reaches and defaults
-    to the folder named by ``spark.checkpoint.dir``.
+    to the folder named by ``spark.checkpoint.dir``. ``ingest_partitions`` packs
+    the many small files of an ingest batch into that many output files.
     """
 
     catalog: str
@@ -33,6 +34,7 @@ class PipelineConfig:
     volumes_root: str = "/Volumes"
     checkpoint_root: str | None = None
     table_format: str = "parquet"
+    ingest_partitions: int | None = None
     table_properties: dict[str, str] = field(default_factory=dict)
 
     @classmethod

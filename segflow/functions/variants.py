@@ -46,3 +46,13 @@ def member_text(value: Column, *names: str) -> Column:
 def member_list(value: Column, *names: str) -> Column:
     """Nested member as an array of VARIANT; NULL for any other shape."""
     return F.try_variant_get(value, member_path(*names), "array<variant>")
+
+
+def evaluated_once(value: Column) -> Column:
+    """The same value, computed where it is selected and nowhere else.
+
+    Spark copies a deterministic column into every filter that reads it and may
+    move that filter, with the copied work, below an exchange. The always true
+    but non-deterministic condition rules that out.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from segflow.functions.ids import file_source_id
 
+# What the two file formats yield for a file.
+TEXT_SCHEMA = "value STRING"
+BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
     return files.select(
@@ -26,7 +30,7 @@ def text_files(
     ``maxBytesPerTrigger`` bound a batch, ``cleanSource`` keeps the listing short.
     """
     reader = spark.readStream if streaming else spark.read
-    files = reader.format("text").options(wholetext="true", **options).load(path)
+    files = reader.format("text").schema(TEXT_SCHEMA).options(wholetext="true", **options).load(path)
     return _with_source_id(files, id_column)
 
 
@@ -35,4 +39,5 @@ def binary_files(
 ) -> DataFrame:
     """Bytes of every file under ``path`` with its path, length and change time."""
     reader = spark.readStream if streaming else spark.read
-    return _with_source_id(reader.format("binaryFile").options(**options).load(path), id_column)
+    files = reader.format("binaryFile").schema(BINARY_SCHEMA).options(**options).load(path)
+    return _with_source_id(files, id_column)
