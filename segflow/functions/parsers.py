@@ -1,4 +1,4 @@
-"""Document parsers: columns of path and bytes to a parse result VARIANT."""
+"""Document parsers: columns of path, bytes and options to a parse result VARIANT."""
 
 from __future__ import annotations
 
@@ -61,11 +61,11 @@ class _Blocks(HTMLParser):
         self._flush("body")
 
 
-def html_result(content: bytes | None) -> str | None:
+def html_result(content: bytes | None, version: str) -> str | None:
     """Parse result of one HTML file as JSON text; NULL content gives None."""
     if content is None:
         return None
-    result: dict = {"metadata": {"version": "2.0"}, "document": {"pages": [], "elements": []}, "error_status": None}
+    result: dict = {"metadata": {"version": version}, "document": {"pages": [], "elements": []}, "error_status": None}
     try:
         blocks = _Blocks()
         blocks.feed(bytes(content).decode("utf-8", errors="replace"))
@@ -77,10 +77,10 @@ def html_result(content: bytes | None) -> str | None:
 
 
 @F.pandas_udf(StringType())
-def _html_results(contents: pd.Series) -> pd.Series:
-    return contents.map(html_result)
+def _html_results(contents: pd.Series, versions: pd.Series) -> pd.Series:
+    return pd.Series([html_result(content, version) for content, version in zip(contents, versions)], dtype=object)
 
 
-def html_parser(path: Column, content: Column) -> Column:
+def html_parser(path: Column, content: Column, options: Column) -> Column:
     """Block texts of HTML bytes, parsed in Arrow batches."""
-    return F.parse_json(_html_results(content))
+    return F.parse_json(_html_results(content, options["version"]))

@@ -1,9 +1,9 @@
 """Steps that turn document files into one text per document.
 
-A parser is any function of two columns, path and content bytes, that returns a
-VARIANT shaped ``{metadata: {version}, document: {pages|elements: [{content}]},
-error_status}``. Version 1.0 lists its text under ``pages``, every other version
-under ``elements``.
+A parser is any function of three columns, path, content bytes and a map of
+options, that returns a VARIANT shaped ``{metadata: {version}, document:
+{pages|elements: [{content}]}, error_status}``. Version 1.0 lists its text under
+``pages``, every other version under ``elements``.
 """
 
 from __future__ import annotations
@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from segflow.functions.paths import needs_parsing
 from segflow.functions.variants import member, member_list, member_text
 
-Parser = Callable[[Column, Column], Column]
+Parser = Callable[[Column, Column, Column], Column]
 
 # The blank line between the parts of a text, and the version
 # that keeps its parts under "pages".
 PART_SEPARATOR = "\n\n"
 PAGED_VERSION = "1.0"
 
-# Parts of one path that are joined to a partial text before the final merge.
-PARTS_PER_CHUNK = 1024
+# Options every parser is given, beside "imageOutputPath".
+PARSE_OPTIONS = {"version": "2.0", "descriptionElementTypes": "*"}
 
 
 def first_files(files: DataFrame, n: int, key: tuple[str, ...] = ("path",)) -> DataFrame:
@@ -67,9 +67,15 @@ def utf8_text(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
-def parse_files(files: DataFrame, parser: Parser, *carried: str) -> DataFrame:
+def parse_options(image_output_path: str | None = None) -> Column:
+    options = {**PARSE_OPTIONS, "imageOutputPath": image_output_path}
+    return F.create_map(*[F.lit(part).cast("string") for pair in options.items() for part in pair])
+
+
+def parse_files(files: DataFrame, parser: Parser, *carried: str, image_output_path: str | None = None) -> DataFrame:
     """Apply the parser to every file; ``carried`` columns stay beside the result."""
-    return files.select(*(carried or ("path",)), parser(F.col("path"), F.col("content")).alias("parsed"))
+    parsed = parser(F.col("path"), F.col("content"), parse_options(image_output_path))
+    return files.select(*(carried or ("path",)), parsed.alias("parsed"))
 
 
 def error_status(parsed: Column) -> Column:
@@ -98,6 +104,11 @@ def has_content(contents: Column) -> Column:
     return F.coalesce(F.exists(contents, lambda c: c.isNotNull()), F.lit(False))
 
 
+def has_text(contents: Column) -> Column:
+    """Like ``has_content``, but a JSON null does not count."""
+    return F.coalesce(F.exists(contents, lambda c: c.cast("string").isNotNull()), F.lit(False))
+
+
 def error_documents(parsed: DataFrame) -> DataFrame:
     status = error_status(F.col("parsed"))
     return parsed.filter(status.isNotNull()).select("path", F.col("parsed").alias("raw_parsed"), status.alias("error_status"))
@@ -112,30 +123,23 @@ def document_parts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def join_parts(document_rows: DataFrame) -> DataFrame:
-    """Text per path from part rows, in index order.
+def texts_by_path(parsed: DataFrame) -> DataFrame:
+    """One text per path, also where several rows share a path.
 
-    A path is gathered in runs of ``PARTS_PER_CHUNK`` indexes first, so that many
-    tasks share a long or often repeated one and the merge moves a few long
-    strings instead of every part. Parts without content are left out and a JSON
-    null adds nothing, as in the row-wise form.
+    Each row joins its own parts in index order first, so the grouping moves one
+    text per row instead of every part, and gathers no more than what ends up in
+    one cell. Parts without content are left out, a JSON null adds nothing, and
+    a path without any content has no row.
     """
-    chunk = F.floor(F.col("idx") / PARTS_PER_CHUNK)
-    kept = document_rows.filter(F.col("content").isNotNull()).select(
-        "path", "idx", chunk.alias("chunk"), F.col("content").cast("string").alias("content")
+    texts = (
+        parsed.filter(error_status(F.col("parsed")).isNull())
+        .select("path", part_contents(F.col("parsed")).alias("contents"))
+        .filter(has_content(F.col("contents")))
+        .select("path", F.when(has_text(F.col("contents")), join_contents(F.col("contents"))).alias("text"))
     )
-
-    def in_order(position: str, text: str) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(position, text)))
-        return F.transform(ordered, lambda item: item[text])
-
-    def joined(texts: Column) -> Column:
-        return F.array_join(texts, PART_SEPARATOR)
-
-    chunks = kept.groupBy("path", "chunk").agg(
-        F.when(F.count("content") > 0, joined(in_order("idx", "content"))).alias("chunk_text")
+    return texts.groupBy("path").agg(
+        F.array_join(F.array_sort(F.collect_list("text")), PART_SEPARATOR).alias("text")
     )
-    return chunks.groupBy("path").agg(joined(in_order("chunk", "chunk_text")).alias("text"))
 
 
 def with_raw(texts: DataFrame, parsed: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from segflow.operators.documents import (
     first_files,
     has_content,
     join_contents,
+    parse_options,
     part_contents,
     spread,
     utf8_text,
@@ -26,20 +27,20 @@ def documents_to_text(
     limit: int | None = None,
     buckets: int | None = None,
     key: tuple[str, ...] = ("path",),
-    keep_empty: bool = False,
+    image_output_path: str | None = None,
 ) -> DataFrame:
     """``path, raw_parsed, text, error_status`` for files with ``path`` and ``content``.
 
     Parsable files give their parts joined by a blank line or an error status,
     all others their decoded bytes. A parsed document without any content is
-    left out unless ``keep_empty``.
+    left out.
 
     The files are read and parsed in one pass: each row finds its own branch, so
     there is neither a union of scans, nor a sort and grouping of parts, nor a
     join back to the parse. Other files reach the parser as NULL content. Only
     ``limit`` and ``buckets`` shuffle, and the parse stays behind both, as its
     result is kept from being inlined into the filter that reads it. ``path`` is taken to name one file;
-    ``join_parts`` and ``with_raw`` handle tables where it repeats.
+    ``texts_by_path`` and ``with_raw`` handle tables where it repeats.
     """
     if limit is not None:
         files = first_files(files, limit, key)
@@ -48,10 +49,11 @@ def documents_to_text(
 
     path, content, parse = F.col("path"), F.col("content"), F.col("parse")
     routed = files.filter(path.isNotNull()).select("path", "content", needs_parsing(path).alias("parse"))
+    result = parser(path, F.when(parse, content), parse_options(image_output_path))
     parsed = routed.select(
         "path",
         "parse",
-        evaluated_once(F.when(parse, parser(path, F.when(parse, content)))).alias("raw_parsed"),
+        evaluated_once(F.when(parse, result)).alias("raw_parsed"),
         F.when(~parse, utf8_text(content)).alias("plain_text"),
     )
     raw = F.col("raw_parsed")
@@ -59,10 +61,8 @@ def documents_to_text(
         "*", error_status(raw).alias("error_status"), evaluated_once(part_contents(raw)).alias("contents")
     )
     contents, failed = F.col("contents"), F.col("error_status").isNotNull()
-    if not keep_empty:
-        read = read.filter(~parse | failed | has_content(contents))
     text = F.when(~parse, F.col("plain_text")).when(~failed, join_contents(contents))
-    return read.select("path", "raw_parsed", text.alias("text"), "error_status")
+    return read.filter(~parse | failed | has_content(contents)).select("path", "raw_parsed", text.alias("text"), "error_status")
 
 
 def replace_table(rows: DataFrame, name: str, provider: str = "parquet") -> None:

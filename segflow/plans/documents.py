@@ -48,7 +48,13 @@ class DocumentPipeline:
     def parse_documents(self, parser: Parser) -> str:
         """Register the streaming view of parsed documents and return its name."""
         stored = stream_table(self.spark, self.documents.name)
-        parsed = parse_files(parsable_files(stored), parser, "spec_file_source_id", "path")
+        parsed = parse_files(
+            parsable_files(stored),
+            parser,
+            "spec_file_source_id",
+            "path",
+            image_output_path=self.config.image_output_path(),
+        )
         parsed.createOrReplaceTempView(PARSED_VIEW)
         return PARSED_VIEW
 

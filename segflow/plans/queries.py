@@ -164,12 +164,12 @@ def docs_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_elements_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs.join_parts(docs.document_parts(_parsed(spark, sf_dir)))
+    return docs.texts_by_path(_parsed(spark, sf_dir))
 
 
 def docs_with_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = _parsed(spark, sf_dir)
-    joined = docs.with_raw(docs.join_parts(docs.document_parts(parsed)), parsed)
+    joined = docs.with_raw(docs.texts_by_path(parsed), parsed)
     return joined.select("path", "text", F.size(docs.parts(F.col("raw_parsed"))).alias("n_parts"))
 
 
@@ -244,8 +244,8 @@ def _segments(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     return tuple(sorted(r[0] for r in table(spark, sf_dir, "customer").select("c_mktsegment").distinct().collect()))
 
 
-def _land_messages(messages: DataFrame, config: PipelineConfig) -> int:
-    name = F.concat("label", F.lit("/msg"), "message_key", F.lit(".xml"))
+def _land_messages(messages: DataFrame, config: PipelineConfig, file_type: Column) -> int:
+    name = F.concat(file_type, F.lit("/msg"), "message_key", F.lit(".xml"))
     return land_files(messages, config.landing_path(), name, F.col("value"))
 
 
@@ -253,7 +253,7 @@ def _land_messages(messages: DataFrame, config: PipelineConfig) -> int:
 def _message_tables(spark: SparkSession, sf_dir: str) -> list[MessagePipeline]:
     """All customer messages landed by market segment and streamed into tables once."""
     config = _config(spark, "messages", file_types=_segments(spark, sf_dir))
-    _land_messages(customer_messages(spark, sf_dir), config)
+    _land_messages(customer_messages(spark, sf_dir), config, F.col("label"))
     pipelines = message_pipelines(spark, config)
     refresh(*pipelines)
     return pipelines
@@ -336,25 +336,25 @@ def _steps(spark: SparkSession, steps: list[tuple[str, int]]) -> DataFrame:
 
 @per_session
 def _refresh_steps(spark: SparkSession, sf_dir: str) -> dict[str, list[tuple[str, int]]]:
-    """Row counts of the request and text tables after each kind of refresh."""
-    config = _config(spark, "refresh", file_types=_segments(spark, sf_dir))
-    pipelines = message_pipelines(spark, config, keep_messages=False)
+    """Row counts of the text and request tables after each kind of refresh."""
+    config = _config(spark, "refresh", file_types=("all",))
+    (pipeline,) = message_pipelines(spark, config, keep_messages=False)
     first, late = _waves(spark, sf_dir)
     steps: dict[str, list[tuple[str, int]]] = {"incremental": [], "full": []}
 
     def note(kind: str, step: str) -> None:
-        for which in ("bronze", "requests"):
-            steps[kind].append((f"{step} {which}", _all_types(spark, pipelines, which).count()))
+        for which, stored in (("bronze", pipeline.bronze), ("requests", pipeline.requests)):
+            steps[kind].append((f"{step} {which}", spark.table(stored.name).count()))
 
-    _land_messages(first, config)
-    refresh(*pipelines)
+    _land_messages(first, config, F.lit("all"))
+    refresh(pipeline)
     note("incremental", "first run")
-    refresh(*pipelines)
+    refresh(pipeline)
     note("incremental", "no new files")
-    _land_messages(late, config)
-    refresh(*pipelines)
+    _land_messages(late, config, F.lit("all"))
+    refresh(pipeline)
     note("incremental", "new files")
-    refresh(*pipelines, full=True)
+    refresh(pipeline, full=True)
     note("full", "full refresh")
     return steps
 

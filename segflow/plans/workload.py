@@ -195,7 +195,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_parser(path: Column, content: Column) -> Column:
+def line_parser(path: Column, content: Column, options: Column) -> Column:
     """Parse result with one part per line; ``.PDF`` is version 1.0, ids ending in 0 fail."""
     lines = F.transform(F.split(content.cast("string"), "\n"), lambda line: F.struct(line.alias("content")))
     failed = path.rlike(r"0\.[^.]+$")
@@ -203,7 +203,7 @@ def line_parser(path: Column, content: Column) -> Column:
     document = F.struct(F.when(paged, lines).alias("pages"), F.when(~paged, lines).alias("elements"))
     return F.to_variant_object(
         F.struct(
-            F.struct(F.when(paged, PAGED_VERSION).otherwise("2.0").alias("version")).alias("metadata"),
+            F.struct(F.when(paged, PAGED_VERSION).otherwise(options["version"]).alias("version")).alias("metadata"),
             F.when(~failed, document).alias("document"),
             F.when(failed, "unreadable").alias("error_status"),
         )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import zip_longest
 
+from pyspark.errors import StreamingQueryException
+
 
 def refresh(*pipelines, full: bool = False) -> None:
     """Bring all tables of the pipelines up to date.
@@ -11,7 +13,8 @@ def refresh(*pipelines, full: bool = False) -> None:
     Incremental: each stream reads what arrived since its checkpoint. Full: the
     tables are dropped first, which also retires their checkpoints, and every
     file still in the landing area is read again. Streams of one stage run side
-    by side, across pipelines too, so many small file types share the cluster.
+    by side, across pipelines too, so many small file types share the cluster;
+    a failure is raised once the others of its stage are done.
     """
     if full:
         for pipeline in pipelines:
@@ -19,5 +22,11 @@ def refresh(*pipelines, full: bool = False) -> None:
                 table.drop(pipeline.spark)
     for stage in zip_longest(*(pipeline.stages() for pipeline in pipelines), fillvalue=()):
         running = [start() for starters in stage for start in starters]
+        failures = []
         for query in running:
-            query.awaitTermination()
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as failure:
+                failures.append(failure)
+        if failures:
+            raise failures[0]
