@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.functions.paths import needs_parsing
-from segflow.functions.variants import member, member_list, member_text
+from segflow.functions.variants import evaluated_once, member, member_list, member_text
 
 Parser = Callable[[Column, Column, Column], Column]
 
@@ -73,9 +73,13 @@ def parse_options(image_output_path: str | None = None) -> Column:
 
 
 def parse_files(files: DataFrame, parser: Parser, *carried: str, image_output_path: str | None = None) -> DataFrame:
-    """Apply the parser to every file; ``carried`` columns stay beside the result."""
+    """Apply the parser to every file; ``carried`` columns stay beside the result.
+
+    Filters on the result never repeat the parse, nor meet files that an earlier
+    filter took out. Store the rows if several steps read them.
+    """
     parsed = parser(F.col("path"), F.col("content"), parse_options(image_output_path))
-    return files.select(*(carried or ("path",)), parsed.alias("parsed"))
+    return files.select(*(carried or ("path",)), evaluated_once(parsed).alias("parsed"))
 
 
 def error_status(parsed: Column) -> Column:

@@ -9,10 +9,10 @@ narrow Generate; nothing is shuffled, in batch or in a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.functions.variants import member_path
+from segflow.functions.variants import member
 
 # Section and id names in the message tables.
 REQUEST_SECTION = "NcpdpRequest"
@@ -21,18 +21,19 @@ SUPPLEMENTAL_SECTION = "Supplemental"
 MESSAGE_ID = "transaction_file_source_id"
 
 
-def explode_members(rows: DataFrame, value: Column, pos: str, key: str, member: str) -> DataFrame:
-    """Append the members of ``value`` as ``pos``, ``key`` and ``member`` columns, outer."""
-    members = rows.sparkSession.tvf.variant_explode_outer(value).toDF(pos, key, member)
+def explode_members(rows: DataFrame, column: str, pos: str, key: str, value: str) -> DataFrame:
+    """Append the members of a VARIANT column as ``pos``, ``key`` and ``value`` columns, outer."""
+    members = rows.sparkSession.tvf.variant_explode_outer(F.col(column).outer()).toDF(pos, key, value)
     return rows.lateralJoin(members)
 
 
-def _section(messages: str, section: str) -> Column:
-    return F.variant_get(F.col(messages).outer(), member_path(section), "variant")
+def _one_section(variants: DataFrame, section: str, carried: list[str]) -> DataFrame:
+    """The section beside the carried columns.
 
-
-def _carried(keys: tuple[str, ...], keep_messages: bool) -> list[str]:
-    return [*keys, "messages"] if keep_messages else list(keys)
+    Selected on its own, right above the scan, it can be extracted by the scan:
+    the rest of a message is then neither decoded nor carried along.
+    """
+    return variants.select(*carried, member(F.col("messages"), section).alias("section"))
 
 
 def section_fields(
@@ -43,9 +44,9 @@ def section_fields(
     ``keep_messages=False`` leaves the whole message out of every row, which at
     scale is most of the bytes written.
     """
-    carried = _carried(keys, keep_messages)
-    exploded = explode_members(variants, _section("messages", section), "pos", "key", "value")
-    return exploded.select(*carried, "pos", "key", "value")
+    carried = [*keys, "messages"] if keep_messages else list(keys)
+    found = _one_section(variants, section, carried)
+    return explode_members(found, "section", "pos", "key", "value").select(*carried, "pos", "key", "value")
 
 
 def section_segments(
@@ -57,12 +58,11 @@ def section_segments(
     keep_messages: bool = True,
 ) -> DataFrame:
     """Two levels: segments of the section, then the fields or occurrences of each."""
-    carried = _carried(keys, keep_messages)
+    carried = [*keys, "messages"] if keep_messages else list(keys)
     pos, segment = f"{prefix}_pos", f"{prefix}_segment"
-    segments = explode_members(variants, _section("messages", section), pos, segment, "segment_value").select(
-        *carried, pos, segment, "segment_value"
-    )
-    fields = explode_members(segments, F.col("segment_value").outer(), "pos", "key", "value")
+    found = _one_section(variants, section, carried)
+    segments = explode_members(found, "section", pos, segment, "segment_value").drop("section")
+    fields = explode_members(segments, "segment_value", "pos", "key", "value")
     return fields.select(*carried, pos, segment, "pos", "key", "value")
 
 

@@ -215,6 +215,19 @@ ORACLES = {
     "docs_preview": "SELECT least(20, count(*)) AS n_rows FROM documents",
     "docs_topn": _files("SELECT path, text FROM file ORDER BY path LIMIT 50"),
     "docs_buckets": _files("SELECT path, TRUE AS in_place FROM file"),
+    "html_parse_text": r"""
+        WITH blocks AS (
+          SELECT page_id, list_filter(list_transform(string_split(
+              regexp_replace(regexp_replace(regexp_replace(html,
+                '<!--.*?-->|<(script|style)[^>]*>.*?</(script|style)>', '', 'gs'),
+                '</?(html|head|body|nav|ul|li|div|article|h1|p|br|footer|title)(\s[^>]*)?>', chr(1), 'g'),
+                '<[^>]*(>|$)', '', 'g'), chr(1)),
+            lambda part: trim(regexp_replace(regexp_replace(replace(replace(replace(part,
+              '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))),
+            lambda part: part <> '') AS parts
+          FROM pages)
+        SELECT page_id, CAST(len(parts) AS INTEGER) AS n_parts, array_to_string(parts, chr(10) || chr(10)) AS text,
+               CAST(NULL AS VARCHAR) AS error_status FROM blocks""",
     "ingest_text_stream": _customers(
         "SELECT grp AS file_type, 'msg' || k || '.xml' AS file_name, strlen(value) AS file_size, value FROM xml", XML
     ),

@@ -12,6 +12,11 @@ TEXT_SCHEMA = "value STRING"
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
+# A backlog is taken in batches of this many files, so that the listing, the plan
+# and the work lost with a failed batch stay bounded.
+FILES_PER_BATCH = 100_000
+
+
 def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
     return files.select(
         file_source_id(F.col("_metadata")).alias(id_column),
@@ -21,16 +26,21 @@ def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
     )
 
 
+def _reader(spark: SparkSession, streaming: bool, options: dict):
+    if not streaming:
+        return spark.read.options(**options)
+    return spark.readStream.options(**{"maxFilesPerTrigger": FILES_PER_BATCH, **options})
+
+
 def text_files(
     spark: SparkSession, path: str, *, streaming: bool = True, id_column: str = "transaction_file_source_id", **options
 ) -> DataFrame:
     """Whole text of every file under ``path`` in ``value``.
 
-    As a stream each file is read once; ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger`` bound a batch, ``cleanSource`` keeps the listing short.
+    As a stream each file is read once; ``maxFilesPerTrigger`` bounds a batch and
+    ``cleanSource`` keeps the listing short.
     """
-    reader = spark.readStream if streaming else spark.read
-    files = reader.format("text").schema(TEXT_SCHEMA).options(wholetext="true", **options).load(path)
+    files = _reader(spark, streaming, options).format("text").schema(TEXT_SCHEMA).option("wholetext", "true").load(path)
     return _with_source_id(files, id_column)
 
 
@@ -38,6 +48,5 @@ def binary_files(
     spark: SparkSession, path: str, *, streaming: bool = True, id_column: str = "spec_file_source_id", **options
 ) -> DataFrame:
     """Bytes of every file under ``path`` with its path, length and change time."""
-    reader = spark.readStream if streaming else spark.read
-    files = reader.format("binaryFile").schema(BINARY_SCHEMA).options(**options).load(path)
+    files = _reader(spark, streaming, options).format("binaryFile").schema(BINARY_SCHEMA).load(path)
     return _with_source_id(files, id_column)

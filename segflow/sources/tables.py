@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Table files are far larger than landed ones; see FILES_PER_BATCH there.
+TABLE_FILES_PER_BATCH = 10_000
+
+
 def stream_table(spark: SparkSession, name: str, **options) -> DataFrame:
-    """Rows appended to a table, each delivered once."""
-    return spark.readStream.options(**options).table(name)
+    """Rows appended to a table, each delivered once, a bounded number of its files at a time."""
+    return spark.readStream.options(**{"maxFilesPerTrigger": TABLE_FILES_PER_BATCH, **options}).table(name)
 
 
 def stream_table_sql(spark: SparkSession, name: str, select: str = "*") -> DataFrame:
