@@ -41,6 +41,9 @@ class DocumentPipeline:
             cluster_by=("path",),
         )
 
+    def __repr__(self) -> str:
+        return f"DocumentPipeline(config={self.config!r})"
+
     def stream_ingest(self) -> StreamingQuery:
         files = binary_files(self.spark, self.config.landing_path(), **self.source_options)
         return self.documents.append(packed(files, self.config), self.config)
