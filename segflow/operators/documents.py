@@ -122,7 +122,8 @@ def document_parts(parsed: DataFrame) -> DataFrame:
     """A row per part of each successfully parsed document, with its index."""
     return (
         parsed.filter(error_status(F.col("parsed")).isNull())
-        .select("path", F.posexplode(parts(F.col("parsed"))).alias("idx", "element"))
+        .select("path", parts(F.col("parsed")).alias("parts"))
+        .select("path", F.posexplode("parts").alias("idx", "element"))
         .select("path", "idx", member(F.col("element"), "content").alias("content"))
     )
 
@@ -137,7 +138,7 @@ def texts_by_path(parsed: DataFrame) -> DataFrame:
     """
     texts = (
         parsed.filter(error_status(F.col("parsed")).isNull())
-        .select("path", part_contents(F.col("parsed")).alias("contents"))
+        .select("path", evaluated_once(part_contents(F.col("parsed"))).alias("contents"))
         .filter(has_content(F.col("contents")))
         .select("path", F.when(has_text(F.col("contents")), join_contents(F.col("contents"))).alias("text"))
     )

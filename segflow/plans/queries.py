@@ -28,6 +28,7 @@ from segflow.plans.workload import (
     line_parser,
     order_messages,
     order_variants,
+    parsed_documents,
     per_session,
     spread_table,
     table,
@@ -122,10 +123,6 @@ def supplemental_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Documents in batch
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs.parse_files(docs.parsable_files(document_files(spark, sf_dir)), line_parser)
-
-
 def _texts(files: DataFrame) -> DataFrame:
     return files.select("path", docs.utf8_text(F.col("content")).alias("text"))
 
@@ -156,19 +153,19 @@ def docs_route_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _json(docs.error_documents(_parsed(spark, sf_dir)), "raw_parsed")
+    return _json(docs.error_documents(parsed_documents(spark, sf_dir)), "raw_parsed")
 
 
 def docs_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs.document_parts(_parsed(spark, sf_dir)).withColumn("content", F.col("content").cast("string"))
+    return docs.document_parts(parsed_documents(spark, sf_dir)).withColumn("content", F.col("content").cast("string"))
 
 
 def docs_elements_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs.texts_by_path(_parsed(spark, sf_dir))
+    return docs.texts_by_path(parsed_documents(spark, sf_dir))
 
 
 def docs_with_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = _parsed(spark, sf_dir)
+    parsed = parsed_documents(spark, sf_dir)
     joined = docs.with_raw(docs.texts_by_path(parsed), parsed)
     return joined.select("path", "text", F.size(docs.parts(F.col("raw_parsed"))).alias("n_parts"))
 

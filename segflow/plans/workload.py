@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segflow.operators.documents import PAGED_VERSION
+from segflow.operators.documents import PAGED_VERSION, parsable_files, parse_files
 from segflow.operators.messages import to_variant
 from segflow.scratch import new_scratch_dir
 
@@ -173,12 +173,16 @@ def per_session(build):
     return once
 
 
+def _stored(rows: DataFrame, label: str) -> str:
+    directory = new_scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(directory)
+    return directory
+
+
 @per_session
 def _variant_dir(spark: SparkSession, sf_dir: str) -> str:
-    directory = new_scratch_dir(spark, "variant")
     texts = order_messages(spark, sf_dir).select("transaction_file_source_id", "value")
-    to_variant(texts).write.parquet(directory)
-    return directory
+    return _stored(to_variant(texts), "variant")
 
 
 def order_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,3 +212,13 @@ def line_parser(path: Column, content: Column, options: Column) -> Column:
             F.when(failed, "unreadable").alias("error_status"),
         )
     )
+
+
+@per_session
+def _parsed_dir(spark: SparkSession, sf_dir: str) -> str:
+    return _stored(parse_files(parsable_files(document_files(spark, sf_dir)), line_parser), "parsed")
+
+
+def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse results of the documents that need parsing, stored once like the messages."""
+    return spark.read.parquet(_parsed_dir(spark, sf_dir))
