@@ -16,9 +16,9 @@ DOCUMENTS_TABLE = "specification_documents"
 PARSED_VIEW = "parsed_documents"
 
 DOCUMENT_COLUMNS = (
-    Column("spec_file_source_id", "STRING", False, "Unique identifier for the ingested file."),
-    Column("file_metadata", FILE_METADATA_TYPE, False, "Metadata about the ingested file."),
-    Column("ingest_time", "TIMESTAMP", False, "When the file was ingested.", "current_timestamp()"),
+    Column("spec_file_source_id", "STRING", False, "Hash of the file metadata, one per landed file."),
+    Column("file_metadata", FILE_METADATA_TYPE, False, "What the file source knows about the file."),
+    Column("ingest_time", "TIMESTAMP", False, "Start of the batch that read the file.", "current_timestamp()"),
     Column("path", "STRING", True, "Full path of the file."),
     Column("modificationTime", "TIMESTAMP", True, "When the file was last changed."),
     Column("length", "BIGINT", True, "File size in bytes."),

@@ -13,10 +13,10 @@ from segflow.sources.tables import stream_table
 from segflow.streaming.tables import FILE_METADATA_TYPE, Column, StreamTable, packed
 
 BRONZE_COLUMNS = (
-    Column("transaction_file_source_id", "STRING", False, "Unique identifier for the ingested file."),
-    Column("file_metadata", FILE_METADATA_TYPE, False, "Metadata about the ingested file."),
-    Column("ingest_time", "TIMESTAMP", False, "When the file was ingested.", "current_timestamp()"),
-    Column("value", "STRING", True, "The XML text of the file."),
+    Column("transaction_file_source_id", "STRING", False, "Hash of the file metadata, one per landed file."),
+    Column("file_metadata", FILE_METADATA_TYPE, False, "What the file source knows about the file."),
+    Column("ingest_time", "TIMESTAMP", False, "Start of the batch that read the file.", "current_timestamp()"),
+    Column("value", "STRING", True, "Whole text of the file."),
 )
 
 

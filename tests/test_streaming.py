@@ -1,6 +1,8 @@
 import os
 from pathlib import Path
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from samples import FILLED, REPEATED, SINGLE
@@ -92,7 +94,7 @@ def test_bronze_table_is_declared(spark, pipeline_config):
     assert properties["quality"] == "bronze" and properties["primary_key"] == "transaction_file_source_id"
     described = spark.sql(f"DESCRIBE EXTENDED {pipeline.bronze.name}").collect()
     text = "\n".join(f"{r[0]} {r[1]} {r[2]}" for r in described)
-    assert "Unique identifier" in text and "file_metadata.file_path" in text and "current_timestamp()" in text
+    assert "Hash of the file metadata" in text and "file_metadata.file_path" in text and "current_timestamp()" in text
     assert table.filter("ingest_time IS NULL").count() == 0
 
 
@@ -132,3 +134,46 @@ def test_documents_stream_and_parsed_view(spark, pipeline_config):
     assert sorted(map(tuple, rows.collect()), key=lambda r: r[0]) == [
         ("doc10.docx", "unreadable"), ("doc11.PDF", None), ("doc12.docx", None)
     ]
+
+
+def test_a_failed_batch_is_read_again_once(spark, pipeline_config):
+    for name, text in (("doc11.PDF", "a"), ("doc12.docx", "b")):
+        drop_in(pipeline_config, name, text, None)
+    pipeline = DocumentPipeline(spark, pipeline_config)
+    refresh(pipeline)
+    parsed = StreamTable(pipeline_config.table("parsed"))
+
+    def broken(path, content, options):
+        return F.when(path.endswith("docx"), F.parse_json(F.raise_error("no luck").cast("string"))).otherwise(
+            line_parser(path, content, options)
+        )
+
+    def run(parser):
+        view = pipeline.parse_documents(parser)
+        parsed.append(stream_table_sql(spark, view), pipeline_config).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run(broken)
+    assert spark.table(parsed.name).count() == 0
+    run(line_parser)
+    run(line_parser)
+    assert spark.table(parsed.name).count() == 2
+
+
+def test_a_failing_stream_lets_the_others_of_its_stage_finish(spark, pipeline_config):
+    drop_in(pipeline_config, "a.xml", SINGLE)
+    good = MessagePipeline(spark, pipeline_config, "claims")
+
+    class Failing(MessagePipeline):
+        def stream_ingest(self):
+            files = stream_table(spark, good.bronze.name)
+            return self.bronze.append(files.withColumn("value", F.raise_error("no luck").cast("string")), self.config)
+
+    refresh(good)
+    drop_in(pipeline_config, "b.xml", SINGLE)
+    bad = Failing(spark, pipeline_config, "bad")
+    with pytest.raises(StreamingQueryException):
+        refresh(bad, good)
+    assert spark.table(good.bronze.name).count() == 2
+    refresh(good)
+    assert counts(spark, good)[:3] == (2, 2, 88)
