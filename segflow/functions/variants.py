@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 _CORRUPT = "_corrupt_record"
 
 
-def is_well_formed(text: Column) -> Column:
-    """True when the text tokenises as XML; only names are read, no value is built."""
-    return F.from_xml(text, f"{_CORRUPT} string")[_CORRUPT].isNull()
+# A value like 1e200000000 would be written out digit by digit before the parser
+# falls back to text, which takes minutes or all memory. From seven exponent
+# digits on a text counts as unreadable.
+_ENDLESS_NUMBER = r"""[>"'\[]\s*[-+]?[0-9.,]+[eE][+]?[0-9]{7,}\s*[<"'\]]"""
+
+
+def is_readable_xml(text: Column) -> Column:
+    """True when the text can be parsed; only its tokens are read, no value is built."""
+    well_formed = F.from_xml(text, f"{_CORRUPT} string")[_CORRUPT].isNull()
+    return well_formed & ~text.rlike(_ENDLESS_NUMBER)
 
 
 def xml_to_variant(text: Column) -> Column:
-    """XML text as VARIANT; NULL for NULL and for text that is not well-formed.
+    """XML text as VARIANT; NULL for NULL and for text that cannot be parsed.
 
     The parser raises on malformed text in every mode, so each text is checked
     first, at about a tenth of the cost of the parse. Both steps sit in a lambda
@@ -23,7 +30,7 @@ def xml_to_variant(text: Column) -> Column:
     the rest of the stage keeps its generated code.
     """
     parsed = F.transform(
-        F.array(text), lambda doc: F.when(is_well_formed(doc), F.from_xml(doc, "VARIANT"))
+        F.array(text), lambda doc: F.when(is_readable_xml(doc), F.from_xml(doc, "VARIANT"))
     )
     return parsed[0]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.functions.variants import is_well_formed, xml_to_variant
+from segflow.functions.variants import is_readable_xml, xml_to_variant
 
 
 def to_variant(texts: DataFrame, value: str = "value") -> DataFrame:
@@ -14,8 +14,8 @@ def to_variant(texts: DataFrame, value: str = "value") -> DataFrame:
 
 
 def malformed(texts: DataFrame, value: str = "value") -> DataFrame:
-    """Rows with text that is not XML: the ones whose ``messages`` is NULL.
+    """Rows with text that cannot be parsed: the ones whose ``messages`` is NULL.
 
     The ingested table keeps every text, so this finds them there at any time.
     """
-    return texts.filter(F.col(value).isNotNull() & ~is_well_formed(F.col(value)))
+    return texts.filter(F.col(value).isNotNull() & ~is_readable_xml(F.col(value)))

@@ -187,7 +187,7 @@ ORACLES = {
     ),
     "docs_route_parsed": _files("SELECT path, text FROM file WHERE parsed"),
     "docs_route_raw": _files("SELECT path, text FROM file WHERE NOT parsed"),
-    "docs_route_sql": _files("SELECT path, parsed FROM file ORDER BY path LIMIT 50"),
+    "docs_route_sql": _files("SELECT path, parsed FROM file"),
     "docs_errors": _files(
         """SELECT path, '{"document":null,"error_status":"unreadable","metadata":{"version":"'
            || CASE doc_id % 4 WHEN 0 THEN '1.0' ELSE '2.0' END || '"}}' AS raw_parsed,
@@ -214,6 +214,7 @@ ORACLES = {
     ),
     "docs_preview": "SELECT least(20, count(*)) AS n_rows FROM documents",
     "docs_topn": _files("SELECT path, text FROM file ORDER BY path LIMIT 50"),
+    "docs_topn_sql": _files("SELECT path FROM file ORDER BY path LIMIT 50"),
     "docs_buckets": _files("SELECT path, TRUE AS in_place FROM file"),
     "html_parse_text": r"""
         WITH blocks AS (

@@ -140,15 +140,27 @@ def docs_route_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_route_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routing in SQL: list in a session variable, source name and limit as parameters."""
+    """Routing in SQL: the list in a session variable, the source name as a parameter."""
     document_files(spark, sf_dir).createOrReplaceTempView("document_files")
     listed = declare_parse_extensions(spark)
     return spark.sql(
         f"""
         SELECT path, array_contains({listed}, lower(regexp_extract(path, :pattern, 1))) AS parsed
-        FROM IDENTIFIER(:source) ORDER BY path LIMIT :n
+        FROM IDENTIFIER(:source)
         """,
-        args={"source": "document_files", "n": TOP_FILES, "pattern": EXTENSION_PATTERN},
+        args={"source": "document_files", "pattern": EXTENSION_PATTERN},
+    )
+
+
+def docs_topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-n and distribution in SQL, both numbers as parameters."""
+    document_files(spark, sf_dir).createOrReplaceTempView("document_files")
+    return spark.sql(
+        """
+        SELECT path FROM (SELECT path FROM IDENTIFIER(:source) ORDER BY path LIMIT :n)
+        DISTRIBUTE BY crc32(path) % :buckets
+        """,
+        args={"source": "document_files", "n": TOP_FILES, "buckets": BUCKETS},
     )
 
 
@@ -423,6 +435,7 @@ QUERIES = {
         docs_to_text_table,
         docs_preview,
         docs_topn,
+        docs_topn_sql,
         docs_buckets,
         html_parse_text,
         ingest_text_stream,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import FILLED, SINGLE
-from segflow.functions.variants import is_well_formed, member, member_list, member_path, member_text, xml_to_variant
+from segflow.functions.variants import is_readable_xml, member, member_list, member_path, member_text, xml_to_variant
 from segflow.operators.messages import malformed, to_variant
 
 
@@ -27,6 +27,10 @@ def as_json(spark, *texts):
         ("<M><F.1>x</F.1></M>", '{"F.1":"x"}'),
         ("<M><a>12345678901234567890</a></M>", '{"a":12345678901234567890}'),
         ("  <M><a>1</a></M>  ", '{"a":1}'),
+        ("<M><a>1e3</a><b>1e50</b><c>AB1e12345678</c></M>", '{"a":1000,"b":"1e50","c":"AB1e12345678"}'),
+        ("<M><a> -1.5E+200000000</a></M>", None),
+        ('<M><a k="1e200000000"/></M>', None),
+        ("<M><a><![CDATA[1e200000000]]></a></M>", None),
         ("<M><a><b>1</a></M>", None),
         ("<M>", None),
         ("no markup", None),
@@ -60,7 +64,7 @@ def test_damaged_texts_never_fail_the_job(spark):
         texts.append(text)
     rows = spark.createDataFrame([(t,) for t in texts], "value string").repartition(8)
     found = rows.select(
-        xml_to_variant(F.col("value")).isNull().alias("failed"), is_well_formed(F.col("value")).alias("ok")
+        xml_to_variant(F.col("value")).isNull().alias("failed"), is_readable_xml(F.col("value")).alias("ok")
     )
     counts = {(r[0], r[1]): r[2] for r in found.groupBy("failed", "ok").count().collect()}
     assert sum(counts.values()) == 4000
