@@ -16,6 +16,10 @@ BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content
 # and the work lost with a failed batch stay bounded.
 FILES_PER_BATCH = 100_000
 
+# Spark would skip a file a week older than the newest one seen. A file that lands
+# late, with the time it was made, has to be read too.
+NO_AGE_LIMIT = "36500d"
+
 
 def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
     return files.select(
@@ -29,7 +33,9 @@ def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
 def _reader(spark: SparkSession, streaming: bool, options: dict):
     if not streaming:
         return spark.read.options(**options)
-    return spark.readStream.options(**{"maxFilesPerTrigger": FILES_PER_BATCH, **options})
+    return spark.readStream.options(
+        **{"maxFilesPerTrigger": FILES_PER_BATCH, "maxFileAge": NO_AGE_LIMIT, **options}
+    )
 
 
 def text_files(
@@ -37,8 +43,9 @@ def text_files(
 ) -> DataFrame:
     """Whole text of every file under ``path`` in ``value``.
 
-    As a stream each file is read once; ``maxFilesPerTrigger`` bounds a batch and
-    ``cleanSource`` keeps the listing short.
+    As a stream each file is read once; ``maxFilesPerTrigger`` bounds a batch.
+    ``cleanSource`` and ``maxFileAge`` keep the list of known files short where
+    files leave the landing area or never land late.
     """
     files = _reader(spark, streaming, options).format("text").schema(TEXT_SCHEMA).option("wholetext", "true").load(path)
     return _with_source_id(files, id_column)

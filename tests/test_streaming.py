@@ -84,6 +84,20 @@ def test_a_backlog_is_taken_in_bounded_batches(spark, pipeline_config):
     assert spark.table(copy.name).count() == 5
 
 
+def test_a_file_that_lands_late_with_an_old_time_is_read(spark, pipeline_config):
+    drop_in(pipeline_config, "new.xml", SINGLE)
+    pipeline = MessagePipeline(spark, pipeline_config, "claims")
+    refresh(pipeline)
+    drop_in(pipeline_config, "old.xml", SINGLE)
+    folder = Path(pipeline_config.landing_path("claims").removeprefix("file://"))
+    os.utime(folder / "old.xml", (1_500_000_000, 1_500_000_000))
+    refresh(pipeline)
+    drop_in(pipeline_config, "older.xml", SINGLE)
+    os.utime(folder / "older.xml", (1_400_000_000, 1_400_000_000))
+    refresh(pipeline)
+    assert counts(spark, pipeline) == (3, 3, 132, 87, 21)
+
+
 def test_bronze_table_is_declared(spark, pipeline_config):
     drop_in(pipeline_config, "a.xml", SINGLE)
     pipeline = MessagePipeline(spark, pipeline_config, "claims")
