@@ -31,6 +31,7 @@ def _with_source_id(files: DataFrame, id_column: str) -> DataFrame:
 
 
 def _reader(spark: SparkSession, streaming: bool, options: dict):
+    options = {"recursiveFileLookup": True, **options}
     if not streaming:
         return spark.read.options(**options)
     return spark.readStream.options(
@@ -41,7 +42,7 @@ def _reader(spark: SparkSession, streaming: bool, options: dict):
 def text_files(
     spark: SparkSession, path: str, *, streaming: bool = True, id_column: str = "transaction_file_source_id", **options
 ) -> DataFrame:
-    """Whole text of every file under ``path`` in ``value``.
+    """Whole text of every file under ``path``, at any depth, in ``value``.
 
     As a stream each file is read once; ``maxFilesPerTrigger`` bounds a batch.
     ``cleanSource`` and ``maxFileAge`` keep the list of known files short where

@@ -24,6 +24,17 @@ def test_text_files_are_whole_rows_with_metadata(spark, tmp_path):
     ]
 
 
+def test_nested_empty_and_hidden_files(spark, tmp_path):
+    (tmp_path / "2026" / "day=1").mkdir(parents=True)
+    (tmp_path / "2026" / "day=1" / "deep.xml").write_text("<M/>")
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "_partial.xml").write_text("x")
+    (tmp_path / ".hidden.xml").write_text("x")
+    for read in (text_files, binary_files):
+        rows = read(spark, tmp_path.as_uri(), streaming=False).select("file_metadata.file_name", "file_metadata.file_size")
+        assert sorted(map(tuple, rows.collect())) == [("deep.xml", 4)]  # nothing to scan in an empty file
+
+
 def test_binary_files(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"\x00\xff")
     row = binary_files(spark, tmp_path.as_uri(), streaming=False).first()

@@ -49,10 +49,11 @@ def test_incremental_then_full_refresh(spark, pipeline_config):
 
 
 def test_stream_equals_batch(spark, pipeline_config):
-    for name, text in (("a.xml", SINGLE), ("b.xml", REPEATED), ("c.xml", FILLED), ("d.xml", "")):
+    for name, text in (("a.xml", SINGLE), ("b.xml", REPEATED), ("c.xml", FILLED), ("d.xml", " ")):
         drop_in(pipeline_config, name, text)
     pipeline = MessagePipeline(spark, pipeline_config, "claims", maxFilesPerTrigger="2")
     refresh(pipeline)
+    assert counts(spark, pipeline)[:2] == (4, 4)
     variants = to_variant(spark.table(pipeline.bronze.name))
     for flatten, stored in (
         (requests, pipeline.requests),
@@ -117,7 +118,7 @@ def test_file_types_are_independent(spark, pipeline_config):
 
     config = replace(pipeline_config, file_types=("A", "B"), ingest_partitions=1)
     for i in range(3):
-        drop_in(config, f"{i}.xml", SINGLE, "A")
+        drop_in(config, f"{i}.xml", SINGLE, f"A/sub{i}")
     drop_in(config, "0.xml", REPEATED, "B")
     pipelines = message_pipelines(spark, config, keep_messages=False)
     refresh(*pipelines)
