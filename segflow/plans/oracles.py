@@ -181,7 +181,7 @@ ORACLES = {
           SELECT k, 'malformed' AS outcome FROM sent WHERE broken
           UNION ALL SELECT k, CASE WHEN broken OR absent THEN 'null' ELSE 'parsed' END FROM sent)
         SELECT outcome, count(*) AS n_messages, CAST(sum(k) AS BIGINT) AS key_sum FROM told GROUP BY 1""",
-    "file_extensions": _files(
+    "file_extension": _files(
         "SELECT path, CASE doc_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.docx' WHEN 2 THEN '.txt' ELSE '' END "
         "AS extension FROM file"
     ),
@@ -201,8 +201,14 @@ ORACLES = {
     ),
     "docs_elements_agg": _files(f"SELECT path, {JOINED} AS text FROM file WHERE parsed AND NOT failed"),
     "docs_with_raw": _files(
-        f"SELECT path, {JOINED} AS text, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_parts "
-        "FROM file WHERE parsed AND NOT failed"
+        f"""SELECT path, {JOINED} AS text, '{{"document":{{' || CASE WHEN paged
+              THEN '"elements":null,"pages":' || parts ELSE '"elements":' || parts || ',"pages":null' END
+              || '}},"error_status":null,"metadata":{{"version":"' || CASE WHEN paged THEN '1.0' ELSE '2.0' END
+              || '"}}}}' AS raw_parsed
+            FROM (SELECT *, doc_id % 4 = 0 AS paged,
+                    CAST(to_json(list_transform(string_split(text, chr(10)), lambda line: {{'content': line}})) AS VARCHAR)
+                    AS parts
+                  FROM file WHERE parsed AND NOT failed)"""
     ),
     "docs_to_text": _files(
         f"""SELECT path, CASE WHEN NOT parsed THEN text WHEN NOT failed THEN {JOINED} END AS text,

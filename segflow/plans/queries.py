@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from segflow.config import PipelineConfig
 from segflow.functions.parsers import html_parser
-from segflow.functions.paths import EXTENSION_PATTERN, declare_parse_extensions, file_extension
+from segflow.functions.paths import EXTENSION_PATTERN, declare_parse_extensions
+from segflow.functions.paths import file_extension as extension_of
 from segflow.functions.variants import member, member_list, member_text, xml_to_variant
 from segflow.operators import documents as docs
 from segflow.operators import quality
@@ -127,8 +128,8 @@ def _texts(files: DataFrame) -> DataFrame:
     return files.select("path", docs.utf8_text(F.col("content")).alias("text"))
 
 
-def file_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_files(spark, sf_dir).select("path", file_extension(F.col("path")).alias("extension"))
+def file_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_files(spark, sf_dir).select("path", extension_of(F.col("path")).alias("extension"))
 
 
 def docs_route_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +180,7 @@ def docs_elements_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def docs_with_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parsed_documents(spark, sf_dir)
     joined = docs.with_raw(docs.texts_by_path(parsed), parsed)
-    return joined.select("path", "text", F.size(docs.parts(F.col("raw_parsed"))).alias("n_parts"))
+    return _json(joined, "raw_parsed")
 
 
 def docs_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,7 +424,7 @@ QUERIES = {
         variant_path,
         variant_try_cast,
         variant_malformed,
-        file_extensions,
+        file_extension,
         docs_route_parsed,
         docs_route_raw,
         docs_route_sql,
