@@ -38,8 +38,9 @@ def first_files(files: DataFrame, n: int, key: tuple[str, ...] = ("path",)) -> D
     if not key:
         return files.orderBy("path").limit(n)
     order = tuple(dict.fromkeys(("path", *key)))
-    chosen = files.select(*order).orderBy(*order).limit(n)
-    return files.join(chosen, list(order), "left_semi")
+    chosen = files.select(*order).orderBy(*order).limit(n).toDF(*[f"chosen_{name}" for name in order])
+    same = [F.col(name).eqNullSafe(F.col(f"chosen_{name}")) for name in order]
+    return files.join(chosen, same, "left_semi")
 
 
 def bucket_of(path: Column, buckets: int) -> Column:

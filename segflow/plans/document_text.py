@@ -39,8 +39,9 @@ def documents_to_text(
     there is neither a union of scans, nor a sort and grouping of parts, nor a
     join back to the parse. Other files reach the parser as NULL content. Only
     ``limit`` and ``buckets`` shuffle, and the parse stays behind both, as its
-    result is kept from being inlined into the filter that reads it. ``path`` is taken to name one file;
-    ``texts_by_path`` and ``with_raw`` handle tables where it repeats.
+    result is kept from being inlined into the filter that reads it. ``path`` is
+    taken to name one file; ``texts_by_path`` and ``with_raw`` handle tables where
+    it repeats.
     """
     if limit is not None:
         files = first_files(files, limit, key)
@@ -62,7 +63,8 @@ def documents_to_text(
     )
     contents, failed = F.col("contents"), F.col("error_status").isNotNull()
     text = F.when(~parse, F.col("plain_text")).when(~failed, join_contents(contents))
-    return read.filter(~parse | failed | has_content(contents)).select("path", "raw_parsed", text.alias("text"), "error_status")
+    kept = read.filter(~parse | failed | has_content(contents))
+    return kept.select("path", "raw_parsed", text.alias("text"), "error_status")
 
 
 def replace_table(rows: DataFrame, name: str, provider: str = "parquet") -> None:

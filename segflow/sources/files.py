@@ -11,7 +11,6 @@ from segflow.functions.ids import file_source_id
 TEXT_SCHEMA = "value STRING"
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
-
 # A backlog is taken in batches of this many files, so that the listing, the plan
 # and the work lost with a failed batch stay bounded.
 FILES_PER_BATCH = 100_000

@@ -114,6 +114,12 @@ def test_first_files_with_and_without_key(spark):
     assert sorted(r["path"] for r in docs.first_files(rows, 4, ()).collect()) == ["p0", "p0", "p0", "p1"]
 
 
+def test_first_files_counts_a_missing_path(spark):
+    rows = spark.createDataFrame([(i, f"p{i}" if i else None) for i in range(9)], "id int, path string")
+    for key in (("id",), ("path",), ()):
+        assert sorted(r["id"] for r in docs.first_files(rows, 3, key).collect()) == [0, 1, 2]
+
+
 def test_first_files_sorts_no_content(spark, tmp_path):
     rows = spark.createDataFrame([(f"p{i}", bytearray(b"x")) for i in range(9)], "path string, content binary")
     rows.write.parquet(str(tmp_path / "f"))
