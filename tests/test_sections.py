@@ -1,3 +1,7 @@
+import json
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +96,49 @@ def test_flattening_does_not_shuffle_and_reads_one_section(spark, tmp_path):
     assert plan.count("Generate variant_explode") == 2
     assert "variant_get(" not in plan.replace("AS variant_get(", "")
     assert "messages:struct<0:variant>" in plan
+
+
+def test_random_messages_against_brute_force(spark):
+    """Random segments, repeats and empties, flattened in plain Python and by Spark."""
+    rng = random.Random(11)
+
+    def random_message():
+        names = rng.sample(["S_HD", "S_01", "S_07", "S_11", "S_23", "Z"], rng.randint(0, 6))
+        segments = [
+            (name, {f"F_{rng.randint(1, 30)}.{rng.randint(1, 2)}": rng.choice(["7", "ab", ""]) for _ in range(rng.randint(0, 4))})
+            for name in names
+            for _ in range(rng.choice([1, 1, 2, 5]))
+        ]
+        rng.shuffle(segments)
+        return segments
+
+    def xml(message):
+        inner = "".join(f"<{s}>{''.join(f'<{k}>{v}</{k}>' for k, v in f.items())}</{s}>" for s, f in message)
+        return section(inner)
+
+    def scalar(text):
+        return None if text == "" else int(text) if text.isdigit() else text
+
+    def flat(message):
+        if not message:
+            return [(None, None, None, None, None)]
+        rows, grouped = [], {}
+        for name, found in message:
+            grouped.setdefault(name, []).append({k: scalar(v) for k, v in found.items()} or None)
+        for at, name in enumerate(sorted(grouped)):
+            occurrences = grouped[name]
+            if len(occurrences) > 1:
+                rows += [(at, name, i, None, o) for i, o in enumerate(occurrences)]
+            elif occurrences[0] is None:
+                rows.append((at, name, None, None, None))
+            else:
+                rows += [(at, name, i, k, occurrences[0][k]) for i, k in enumerate(sorted(occurrences[0]))]
+        return rows
+
+    messages = [random_message() for _ in range(400)]
+    found = requests(variants(spark, *map(xml, messages)), keep_messages=False).select("*", F.to_json("value").alias("json"))
+    expected = Counter((str(i), *row[:4], json.dumps(row[4], sort_keys=True)) for i, m in enumerate(messages) for row in flat(m))
+    got = Counter(
+        (r[0], r[1], r[2], r[3], r[4], json.dumps(json.loads(r["json"] or "null"), sort_keys=True)) for r in found.collect()
+    )
+    assert got == expected
