@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segflow.llm.exact_dedup import exact_groups
+from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.tables import table
 
 SHARDS = 24
+#: Tokenizer files; they must lie at this place on every executor.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    return decode_documents(ids, WORD_BPE).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +43,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_sharding": op7_sharding,
 }
