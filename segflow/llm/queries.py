@@ -10,6 +10,7 @@ from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.tables import table
+from segflow.llm.toxicity import fit_toxicity, score_toxicity
 
 SHARDS = 24
 #: Tokenizer files; they must lie at this place on every executor.
@@ -42,7 +43,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit_toxicity(documents, table(spark, sf_dir, "labels"))
+    return score_toxicity(documents, model)
+
+
 QUERIES = {
+    "op9_toxicity": op9_toxicity,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_sharding": op7_sharding,
