@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segflow.llm.containment import contaminated
 from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
@@ -31,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled_shards(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id",
@@ -53,6 +58,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_decontamination": op4_decontamination,
     "op7_sharding": op7_sharding,
 }
 
@@ -68,4 +74,27 @@ ORACLES = {
             sha256(whole) AS text_sha256
         FROM texts
     """,
+    "op4_decontamination": """
+        WITH spaced AS (
+            SELECT doc_id, NULL AS item_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t
+            FROM documents
+            UNION ALL
+            SELECT NULL, item_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'))
+            FROM benchmark
+        ), worded AS (
+            SELECT doc_id, item_id, string_split(t, ' ') AS w FROM spaced WHERE t <> ''
+        ), shingled AS (
+            SELECT DISTINCT doc_id, item_id, unnest(
+                list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))
+            ) AS shingle
+            FROM worded
+        ), items AS (
+            SELECT item_id, shingle, count(*) OVER (PARTITION BY item_id) AS n FROM shingled WHERE item_id IS NOT NULL
+        )
+        SELECT d.doc_id, i.item_id, count(*)::INT AS n_shared, count(*) / any_value(i.n) AS containment
+        FROM shingled d JOIN items i ON d.shingle = i.shingle
+        WHERE d.doc_id IS NOT NULL
+        GROUP BY d.doc_id, i.item_id
+        HAVING count(*) / any_value(i.n) >= 0.8
+    """,
 }
