@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from segflow.llm.containment import contaminated
 from segflow.llm.exact_dedup import exact_groups
+from segflow.llm.near_duplicates import near_classes
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.tables import table
@@ -18,6 +19,10 @@ SHARDS = 24
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents")).drop("print")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
     return decode_documents(ids, WORD_BPE).select(
@@ -55,6 +60,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
@@ -97,4 +103,33 @@ ORACLES = {
         GROUP BY d.doc_id, i.item_id
         HAVING count(*) / any_value(i.n) >= 0.8
     """,
+    "op1_jaccard_join": """
+        WITH RECURSIVE spaced AS (
+            SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS t FROM documents
+        ), worded AS (
+            SELECT doc_id, string_split(t, ' ') AS w FROM spaced WHERE t <> ''
+        ), shingled AS (
+            SELECT DISTINCT doc_id, unnest(
+                list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))
+            ) AS shingle
+            FROM worded
+        ), sized AS (
+            SELECT doc_id, shingle, count(*) OVER (PARTITION BY doc_id) AS n FROM shingled
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9
+        ), reached(a, b) AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ), classes AS (
+            SELECT a, min(b) AS least FROM reached GROUP BY a
+        ), counts AS (
+            SELECT a, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id)) AS class_id, coalesce(n.n, 0) AS n_links
+        FROM documents d LEFT JOIN classes c ON c.a = d.doc_id LEFT JOIN counts n ON n.a = d.doc_id
+    """,
 }
