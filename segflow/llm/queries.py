@@ -12,10 +12,13 @@ from segflow.llm.near_duplicates import near_classes
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.tables import table
+from segflow.llm.token_files import read_tokens, write_tokens
 from segflow.llm.toxicity import fit_toxicity, score_toxicity
+from segflow.scratch import new_scratch_dir
 
 SHARDS = 24
 #: Tokenizer files; they must lie at this place on every executor.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -53,6 +56,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_scratch_dir(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, out)
+    return read_tokens(spark, out).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit_toxicity(documents, table(spark, sf_dir, "labels"))
@@ -60,6 +71,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_token_files": op8_token_files,
     "op1_jaccard_join": op1_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op2_bpe": op2_bpe,
