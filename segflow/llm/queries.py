@@ -11,6 +11,7 @@ from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.near_duplicates import near_classes
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.sharding import shuffled_shards
+from segflow.llm.site_style_tree import main_text
 from segflow.llm.tables import table
 from segflow.llm.token_files import read_tokens, write_tokens
 from segflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -44,6 +45,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled_shards(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id",
@@ -71,6 +76,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_main_text": op6_main_text,
     "op8_token_files": op8_token_files,
     "op1_jaccard_join": op1_jaccard_join,
     "op9_toxicity": op9_toxicity,
