@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segflow.llm.chat import format_chats
 from segflow.llm.containment import contaminated
 from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.near_duplicates import near_classes
@@ -45,6 +46,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -76,6 +81,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_chat": op5_chat,
     "op6_main_text": op6_main_text,
     "op8_token_files": op8_token_files,
     "op1_jaccard_join": op1_jaccard_join,
