@@ -300,6 +300,29 @@ def near_classes(documents: DataFrame, key: str = "doc_id", text: str = "text",
     copies nor large groups become rows of pairs. Repeated rows are documents like others. An empty
     table gives no rows.
     """
+    found = _classes(documents, key, text, similarity)
+    return found.select(F.col("doc").alias(key), "print", "class_id", "n_links")
+
+
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The documents, all columns, with one document of each class of near_classes().
+
+    The one with the smallest key stays, null keys last, and of equal keys one text; of repeated
+    rows one stays. Documents without links stay as they are.
+    """
+    classes = _classes(documents, key, text, similarity).filter("n_links > 0")
+    classes = stored(classes.select("doc", "print", "root"), "linked")
+    first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "print")).alias("first")
+    keepers = classes.groupBy("root").agg(first).select(F.col("first.doc").alias("_seg_doc"), F.col("first.print").alias("_seg_print"))
+    linked = classes.select(F.col("doc").alias("_seg_doc"), F.col("print").alias("_seg_print")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_seg_doc")) & (F.xxhash64(text_of(text)) == F.col("_seg_print"))
+    alone = documents.join(linked, same, "left_anti")
+    kept = documents.join(keepers, same).dropDuplicates(["_seg_doc", "_seg_print"])
+    return alone.unionByName(kept.drop("_seg_doc", "_seg_print"))
+
+
+def _classes(documents: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
+    """doc, print, root (number of the class, null without links of any kind), class_id and n_links."""
     rows, sets = _sets(documents, key, text, similarity)
     linked = _links(documents, sets, key, text, similarity)
     edges = linked.select(F.col("set").alias("a"), F.col("other").alias("b"))
@@ -311,12 +334,13 @@ def near_classes(documents: DataFrame, key: str = "doc_id", text: str = "text",
     named = join_groups(named, classes, ["root"], "n", "inner")
     links = F.col("copies") - 1 + F.coalesce("near", F.lit(0))
     whole = stored(
-        named.filter("size > 0").select("mark", "copies", "class_id", links.cast("long").alias("n_links")), "classes"
+        named.filter("size > 0").select("mark", "copies", "root", "class_id", links.cast("long").alias("n_links")), "classes"
     )
     found = join_groups(rows, whole, ["mark"], "copies")
     return found.select(
-        F.col("doc").alias(key),
+        "doc",
         "print",
+        "root",
         F.when(F.col("n_links").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
