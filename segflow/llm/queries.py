@@ -11,6 +11,7 @@ from segflow.llm.containment import contaminated
 from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.near_duplicates import near_classes
 from segflow.llm.rank_bpe import decode_documents, encode_documents
+from segflow.llm.repeats import remove_repeats
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.site_style_tree import main_text
 from segflow.llm.tables import table
@@ -80,7 +81,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents, model)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
+    "op10_repeats": op10_repeats,
     "op5_chat": op5_chat,
     "op6_main_text": op6_main_text,
     "op8_token_files": op8_token_files,
