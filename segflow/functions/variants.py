@@ -8,29 +8,44 @@ from pyspark.sql import functions as F
 _CORRUPT = "_corrupt_record"
 
 
-# A value like 1e200000000 would be written out digit by digit before the parser
-# falls back to text, which takes minutes or all memory. From seven exponent
-# digits on a text counts as unreadable.
-_ENDLESS_NUMBER = r"""[>"'\[]\s*[-+]?[0-9.,]+[eE][+]?[0-9]{7,}\s*[<"'\]]"""
+# A value with so large an exponent would be written out digit by digit before the
+# parser falls back to text, which takes minutes or all memory. Seven exponent
+# digits, after leading zeros, are more than any number that stays one.
+_ENDLESS_NUMBER = r"""([>"'\[]\s*)([-+]?[0-9.,]+[eE][+]?0*[1-9][0-9]{6,}\s*[<"'\]])"""
 
 
 def is_readable_xml(text: Column) -> Column:
-    """True when the text can be parsed; only its tokens are read, no value is built."""
-    well_formed = F.from_xml(text, f"{_CORRUPT} string")[_CORRUPT].isNull()
-    return well_formed & ~text.rlike(_ENDLESS_NUMBER)
+    """True when the text is well-formed; only its tokens are read, no value is built."""
+    return F.from_xml(text, f"{_CORRUPT} string")[_CORRUPT].isNull()
+
+
+def _parsed_as_text(text: Column) -> Column:
+    """The parse of a text with endless numbers: these stay text, as the parser would leave them in the end.
+
+    A mark made of the text's own hash keeps each such number from being read as
+    one, and is taken out of the result's JSON form. Decimals of the message may
+    come back as integers of the same value.
+    """
+    mark = F.concat(F.lit("\u2060"), F.sha2(text.cast("binary"), 256), F.lit("\u2060"))
+    marked = F.regexp_replace(text, F.lit(_ENDLESS_NUMBER), F.concat(F.lit("$1"), mark, F.lit("$2")))
+    return F.parse_json(F.replace(F.to_json(F.from_xml(marked, "VARIANT")), mark, F.lit("")))
 
 
 def xml_to_variant(text: Column) -> Column:
-    """XML text as VARIANT; NULL for NULL and for text that cannot be parsed.
+    """XML text as VARIANT; NULL for NULL and for text that is not well-formed.
 
     The parser raises on malformed text in every mode, so each text is checked
-    first, at about a tenth of the cost of the parse. Both steps sit in a lambda
+    first, at about a tenth of the cost of the parse. All steps sit in a lambda
     over a one-element array: Spark 4.1 generates code for a VARIANT
     ``from_xml`` that does not compile, and lambdas are evaluated without it, so
     the rest of the stage keeps its generated code.
     """
     parsed = F.transform(
-        F.array(text), lambda doc: F.when(is_readable_xml(doc), F.from_xml(doc, "VARIANT"))
+        F.array(text),
+        lambda doc: F.when(
+            is_readable_xml(doc),
+            F.when(doc.rlike(_ENDLESS_NUMBER), _parsed_as_text(doc)).otherwise(F.from_xml(doc, "VARIANT")),
+        ),
     )
     return parsed[0]
 

@@ -6,31 +6,38 @@ computed from the table columns directly.
 
 from __future__ import annotations
 
+# A claim for each line or order: s numbers the claims of a message, the rest is its fields.
 ORDERS = """
+parts AS (SELECT l_orderkey AS owner, CAST(ceil(count(*) / 8) AS BIGINT) AS messages FROM lineitem GROUP BY 1),
+line AS (
+  SELECT l_orderkey AS owner, l_orderkey + (l_partkey + l_suppkey + l_linenumber) % messages * 1000000000000 AS k,
+         l_linenumber AS num, l_partkey AS p, CAST(l_quantity AS BIGINT) AS q, l_returnflag = 'R' AS r
+  FROM lineitem JOIN parts ON l_orderkey = owner),
+slot AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY num, p, q, r) - 1 AS s FROM line),
 msg AS (
-  SELECT o_orderkey AS k, o_custkey AS party, o_orderpriority AS label, o_orderstatus AS status,
+  SELECT coalesce(m.k, o_orderkey) AS k, o_custkey AS party, o_orderpriority AS label, o_orderstatus AS status,
          strftime(o_orderdate, '%Y-%m-%d') AS stamp, o_orderstatus AS grp
-  FROM orders),
-slot AS (
-  SELECT l_orderkey AS k, l_linenumber % 4 AS s, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS q,
-         min(l_partkey) AS p, count(*) FILTER (WHERE l_returnflag = 'R') AS r
-  FROM lineitem GROUP BY 1, 2)"""
+  FROM orders LEFT JOIN (SELECT DISTINCT owner, k FROM line) m ON m.owner = o_orderkey)"""
 
 CUSTOMERS = """
+parts AS (SELECT o_custkey AS owner, CAST(ceil(count(*) / 8) AS BIGINT) AS messages FROM orders GROUP BY 1),
+line AS (
+  SELECT o_custkey AS owner, o_custkey + o_orderkey % messages * 1000000000000 AS k, o_orderkey AS num, o_orderkey AS p,
+         CAST(length(o_orderpriority) AS BIGINT) AS q, o_orderstatus = 'F' AS r
+  FROM orders JOIN parts ON o_custkey = owner),
+slot AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY num, p, q, r) - 1 AS s FROM line),
 msg AS (
-  SELECT c_custkey AS k, c_nationkey AS party, c_mktsegment AS label,
+  SELECT coalesce(m.k, c_custkey) AS k, c_nationkey AS party, c_mktsegment AS label,
          CASE WHEN c_acctbal < 0 THEN 'P' WHEN c_acctbal < 5000 THEN 'F' ELSE 'O' END AS status,
          c_name AS stamp, c_mktsegment AS grp
-  FROM customer),
-slot AS (
-  SELECT o_custkey AS k, o_orderkey % 4 AS s, count(*) AS n, sum(CAST(length(o_orderpriority) AS BIGINT)) AS q,
-         min(o_orderkey) AS p, count(*) FILTER (WHERE o_orderstatus = 'F') AS r
-  FROM orders GROUP BY 1, 2)"""
+  FROM customer LEFT JOIN (SELECT DISTINCT owner, k FROM line) m ON m.owner = c_custkey)"""
 
-# From messages and claim slots to segment and field rows of both sections.
+# From messages and claims to segment and field rows of both sections.
 FLAT = """,
-claim AS (SELECT m.k, m.status, slot.s, slot.n, slot.q, slot.p, slot.r FROM msg m JOIN slot USING (k)),
-counted AS (SELECT m.*, (SELECT count(*) FROM slot WHERE slot.k = m.k) AS claims FROM msg m),
+claim AS (SELECT m.k, m.status, slot.s, slot.num, slot.q, slot.p, slot.r FROM msg m JOIN slot USING (k)),
+counted AS (
+  SELECT m.*, coalesce(c.claims, 0) AS claims
+  FROM msg m LEFT JOIN (SELECT k, count(*) AS claims FROM slot GROUP BY 1) c USING (k)),
 field AS (
   SELECT k, 'req' AS sec, 'S_HD' AS seg, 0 AS occ, 'F_102_A2' AS key, '"D0"' AS val FROM counted
   UNION ALL SELECT k, 'req', 'S_HD', 0, 'F_103_A3', '"B1"' FROM counted
@@ -39,15 +46,15 @@ field AS (
   UNION ALL SELECT k, 'req', 'S_HD', 0, 'F_401_D1', '"' || stamp || '"' FROM counted
   UNION ALL SELECT k, 'req', 'S_01', 0, 'F_302_C2', CAST(party AS VARCHAR) FROM counted
   UNION ALL SELECT k, 'req', 'S_05', 0, NULL, NULL FROM counted WHERE status = 'P'
-  UNION ALL SELECT k, 'req', 'S_07', s, 'F_402_D2', CAST(s + 1 AS VARCHAR) FROM claim
+  UNION ALL SELECT k, 'req', 'S_07', s, 'F_402_D2', CAST(num AS VARCHAR) FROM claim
   UNION ALL SELECT k, 'req', 'S_07', s, 'F_407_D7', CAST(p AS VARCHAR) FROM claim
   UNION ALL SELECT k, 'req', 'S_07', s, 'F_442_E7', CAST(q AS VARCHAR) FROM claim
-  UNION ALL SELECT k, 'req', 'S_11', s, 'F_409_D9', CAST(r AS VARCHAR) FROM claim WHERE r > 0
+  UNION ALL SELECT k, 'req', 'S_11', s, 'F_409_D9', CAST(num AS VARCHAR) FROM claim WHERE r
   UNION ALL SELECT k, 'res', 'S_HD', 0, 'F_102_A2', '"D0"' FROM counted WHERE status <> 'P'
   UNION ALL SELECT k, 'res', 'S_HD', 0, 'F_501_F1', CASE WHEN status = 'F' THEN '"A"' ELSE '"R"' END
             FROM counted WHERE status <> 'P'
   UNION ALL SELECT k, 'res', 'S_25', 0, 'F_524_FO', '"' || label || '"' FROM counted WHERE status <> 'P'
-  UNION ALL SELECT k, 'res', 'S_21', s, 'F_112_AN', CASE WHEN r > 0 THEN '"R"' ELSE '"P"' END
+  UNION ALL SELECT k, 'res', 'S_21', s, 'F_112_AN', CASE WHEN r THEN '"R"' ELSE '"P"' END
             FROM claim WHERE status <> 'P'
   UNION ALL SELECT k, 'res', 'S_21', s, 'F_526_FQ.1', '"QTY ' || q || ' & ITEM ' || p || '"'
             FROM claim WHERE status <> 'P'),
@@ -73,8 +80,8 @@ flat AS (
   UNION ALL
   SELECT k, 'res', NULL, NULL, NULL, NULL, NULL FROM msg WHERE status = 'P'),
 drug AS (
-  SELECT k, CASE WHEN count(*) = 1 THEN '{"Units":' || min(n) || '}'
-         ELSE '[' || string_agg('{"Units":' || n || '}', ',' ORDER BY s) || ']' END AS json
+  SELECT k, CASE WHEN count(*) = 1 THEN '{"Units":' || min(q) || '}'
+         ELSE '[' || string_agg('{"Units":' || q || '}', ',' ORDER BY s) || ']' END AS json
   FROM slot GROUP BY k),
 extra AS (
   SELECT k, 'Drug' AS key, json AS val FROM drug WHERE k IN (SELECT k FROM msg)
@@ -99,7 +106,7 @@ message AS (
 XML = """,
 xml AS (
   SELECT m.k, m.grp, m.status, m.label,
-    '<?xml version="1.0" encoding="utf-8"?>  <ClaimBilling><Supplemental><Vendor>' || m.label
+    '<?xml version="1.0" encoding="utf-8"?><ClaimBilling><Supplemental><Vendor>' || m.label
     || '</Vendor><RecordType>Claim</RecordType><SwitchTransactionId>' || m.k || '</SwitchTransactionId>'
     || '<Store><StoreId>' || m.party || '</StoreId><State>MN</State></Store>'
     || coalesce(c.drugs, '') || '</Supplemental><NcpdpRequest><S_HD><F_102_A2>D0</F_102_A2>'
@@ -113,11 +120,11 @@ xml AS (
     || '</ClaimBilling>' AS value
   FROM msg m LEFT JOIN (
     SELECT k, count(*) AS claims,
-      string_agg('<Drug><Units>' || n || '</Units></Drug>', '' ORDER BY s) AS drugs,
-      string_agg('<S_07><F_402_D2>' || (s + 1) || '</F_402_D2><F_407_D7>' || p || '</F_407_D7><F_442_E7>' || q
-        || '</F_442_E7></S_07>' || CASE WHEN r > 0 THEN '<S_11><F_409_D9>' || r || '</F_409_D9></S_11>' ELSE '' END,
+      string_agg('<Drug><Units>' || q || '</Units></Drug>', '' ORDER BY s) AS drugs,
+      string_agg('<S_07><F_402_D2>' || num || '</F_402_D2><F_407_D7>' || p || '</F_407_D7><F_442_E7>' || q
+        || '</F_442_E7></S_07>' || CASE WHEN r THEN '<S_11><F_409_D9>' || num || '</F_409_D9></S_11>' ELSE '' END,
         '' ORDER BY s) AS asked,
-      string_agg('<S_21><F_112_AN>' || CASE WHEN r > 0 THEN 'R' ELSE 'P' END || '</F_112_AN><F_526_FQ.1>QTY ' || q
+      string_agg('<S_21><F_112_AN>' || CASE WHEN r THEN 'R' ELSE 'P' END || '</F_112_AN><F_526_FQ.1>QTY ' || q
         || ' &amp; ITEM ' || p || '</F_526_FQ.1></S_21>', '' ORDER BY s) AS answered
     FROM slot GROUP BY k) c USING (k))"""
 
@@ -161,26 +168,33 @@ ORACLES = {
         f"SELECT {ROW_ID}, k AS message_key, pos, key, val AS value FROM supplemental", FLAT
     ),
     "variant_batch": _orders(f"SELECT {ROW_ID}, json AS messages FROM message", FLAT),
-    "variant_path": """
-        SELECT o_orderkey AS message_key, o_custkey AS party, o_orderpriority AS label,
-               CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'R' END AS answer,
+    "variant_path": _orders(
+        """SELECT k AS message_key, party, label, CASE status WHEN 'F' THEN 'A' WHEN 'O' THEN 'R' END AS answer,
                'null' AS empty_field, CAST(NULL AS VARCHAR) AS wrong_case
-        FROM orders""",
-    "variant_try_cast": """
-        SELECT CASE n WHEN 0 THEN 'absent' WHEN 1 THEN 'object' ELSE 'array' END AS shape,
+        FROM msg"""
+    ),
+    "variant_try_cast": _orders(
+        """SELECT CASE n WHEN 0 THEN 'absent' WHEN 1 THEN 'object' ELSE 'array' END AS shape,
                CAST(CASE WHEN n > 1 THEN n END AS INTEGER) AS occurrences, count(*) AS n_messages
-        FROM (SELECT o_orderkey, count(DISTINCT l_linenumber % 4) AS n
-              FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)
-        GROUP BY 1, 2""",
-    "variant_malformed": """
-        WITH sent AS (
-          SELECT o_orderkey AS k, o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderpriority LIKE '1%') AS broken,
-                 o_orderstatus = 'P' AND o_orderpriority LIKE '2%' AS absent
-          FROM orders),
+        FROM (SELECT msg.k, count(slot.s) AS n FROM msg LEFT JOIN slot USING (k) GROUP BY 1)
+        GROUP BY 1, 2"""
+    ),
+    "variant_malformed": _orders(
+        """,
+        sent AS (
+          SELECT k, status = 'F' OR (status = 'P' AND label LIKE '1%') AS broken,
+                 status = 'P' AND label LIKE '2%' AS absent
+          FROM msg),
         told AS (
           SELECT k, 'malformed' AS outcome FROM sent WHERE broken
           UNION ALL SELECT k, CASE WHEN broken OR absent THEN 'null' ELSE 'parsed' END FROM sent)
-        SELECT outcome, count(*) AS n_messages, CAST(sum(k) AS BIGINT) AS key_sum FROM told GROUP BY 1""",
+        SELECT outcome, count(*) AS n_messages, CAST(sum(k) AS BIGINT) AS key_sum FROM told GROUP BY 1"""
+    ),
+    "variant_long_exponents": """
+        SELECT o_orderkey AS message_key,
+               '{"a":"' || o_orderkey || 'E' || e || '","b":{"_c":"' || o_orderkey || 'e+' || (100000000 + e) || '"},"d":"'
+               || '-0.5E' || e || '","t":"lot \\"7E' || e || '\\" held","u":"7E00' || e || '","z":1000000000000}' AS messages
+        FROM (SELECT o_orderkey, 1000000 + o_orderkey % 9000000 AS e FROM orders)""",
     "file_extension": _files(
         "SELECT path, CASE doc_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.docx' WHEN 2 THEN '.txt' ELSE '' END "
         "AS extension FROM file"
@@ -238,7 +252,7 @@ ORACLES = {
     "ingest_text_stream": _customers(
         "SELECT grp AS file_type, 'msg' || k || '.xml' AS file_name, strlen(value) AS file_size, value FROM xml", XML
     ),
-    "file_source_id": "SELECT count(*) AS n_files, count(*) AS n_ids, count(*) AS n_hex FROM customer",
+    "file_source_id": _customers("SELECT count(*) AS n_files, count(*) AS n_ids, count(*) AS n_hex FROM msg"),
     "bronze_constraints": """
         SELECT unnest(['transaction_file_source_id_nulls', 'file_metadata_nulls', 'ingest_time_nulls', 'repeated_ids'])
                AS "check", CAST(0 AS BIGINT) AS violations""",

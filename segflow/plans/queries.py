@@ -15,10 +15,10 @@ from segflow.config import PipelineConfig
 from segflow.functions.parsers import html_parser
 from segflow.functions.paths import EXTENSION_PATTERN, declare_parse_extensions
 from segflow.functions.paths import file_extension as extension_of
-from segflow.functions.variants import member, member_list, member_text, xml_to_variant
+from segflow.functions.variants import is_readable_xml, member, member_list, member_text, xml_to_variant
 from segflow.operators import documents as docs
 from segflow.operators import quality
-from segflow.operators.messages import malformed, to_variant
+from segflow.operators.messages import to_variant
 from segflow.operators.sections import requests, responses, supplemental
 from segflow.plans.document_text import documents_to_text, replace_table
 from segflow.plans.documents import DocumentPipeline
@@ -31,7 +31,6 @@ from segflow.plans.workload import (
     order_variants,
     parsed_documents,
     per_session,
-    spread_table,
     table,
 )
 from segflow.scratch import new_scratch_dir
@@ -97,16 +96,32 @@ def variant_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("value"))
     )
     texts = order_messages(spark, sf_dir).select("message_key", value.alias("value"))
-    broken = malformed(texts).select("message_key", F.lit("malformed").alias("outcome"))
-    parsed = xml_to_variant(F.col("value"))
-    good = texts.select("message_key", parsed.alias("messages")).select(
-        "message_key", F.when(F.col("messages").isNotNull(), "parsed").otherwise("null").alias("outcome")
+    checked = texts.select(
+        "message_key",
+        (F.col("value").isNotNull() & ~is_readable_xml(F.col("value"))).alias("broken"),
+        xml_to_variant(F.col("value")).isNotNull().alias("parsed"),
     )
-    return broken.unionAll(good).groupBy("outcome").agg(
-        F.count("*").alias("n_messages"), F.sum("message_key").alias("key_sum")
+    outcomes = F.array_compact(
+        F.array(F.when(F.col("broken"), "malformed"), F.when(F.col("parsed"), "parsed").otherwise("null"))
+    )
+    return (
+        checked.select("message_key", F.explode(outcomes).alias("outcome"))
+        .groupBy("outcome")
+        .agg(F.count("*").alias("n_messages"), F.sum("message_key").alias("key_sum"))
     )
 
 
+def variant_long_exponents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of digits, E and many digits stay text wherever they stand; short exponents stay numbers."""
+    key, exponent = F.col("o_orderkey"), F.lit(1_000_000) + F.col("o_orderkey") % 9_000_000
+    value = F.format_string(
+        '<m><a>%1$dE%2$d</a><b c="%1$de+%3$d"/><d><![CDATA[-0.5E%2$d]]></d><t>lot "7E%2$d" held</t><u> 7E00%2$d </u><z>1E0000012</z></m>',
+        key, exponent, exponent + 100_000_000,
+    )
+    texts = table(spark, sf_dir, "orders").select(key.alias("message_key"), value.alias("value"))
+    return _json(to_variant(texts), "messages")
+
+
 def request_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json(requests(order_variants(spark, sf_dir), keep_messages=False), "value")
 
@@ -212,8 +227,13 @@ def docs_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("path", in_place.alias("in_place"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt evenly before a costly parse."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = spread_table(spark, sf_dir, "pages").select(
+    files = _spread(table(spark, sf_dir, "pages")).select(
         "page_id", F.concat(F.lit("/v/page"), "page_id", F.lit(".html")).alias("path"), F.encode("html", "utf-8").alias("content")
     )
     parsed = F.col("parsed")
@@ -424,6 +444,7 @@ QUERIES = {
         variant_path,
         variant_try_cast,
         variant_malformed,
+        variant_long_exponents,
         file_extension,
         docs_route_parsed,
         docs_route_raw,

@@ -1,10 +1,10 @@
 """Messages and document files derived from the given tables, for queries and benchmarks.
 
 Messages have the shape of claim messages: a supplemental section, a request
-and a response, each with segments that hold fields. Every order or customer
-becomes one message. Its claims are up to four slots of pre-aggregated rows, so
-a message stays small however many rows share one key, and the rows are summed
-on the map side before they are shuffled.
+and a response, each with segments that hold fields. Every line of an order, or
+order of a customer, is a claim. An order or customer with many claims becomes
+several messages: claims are dealt by arithmetic on their columns to as many
+messages as their number needs, so no message is large and no row is left out.
 """
 
 from __future__ import annotations
@@ -18,59 +18,56 @@ from segflow.operators.documents import PAGED_VERSION, parsable_files, parse_fil
 from segflow.operators.messages import to_variant
 from segflow.scratch import new_scratch_dir
 
-SLOTS = range(4)
-XML_HEADER = '<?xml version="1.0" encoding="utf-8"?>  '
+#: Claims of a message, on average, if its order or customer has more.
+MESSAGE_CLAIMS = 8
+#: Keys of further messages of an order or customer lie this far apart.
+KEY_STEP = 1_000_000_000_000
+XML_HEADER = '<?xml version="1.0" encoding="utf-8"?>'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows feed costly work: spread if it has fewer splits than cores.
-
-    A large table has splits enough and is left as it is.
-    """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def tag(name: str, *inner: Column | str) -> Column:
     parts = [F.lit(part) if isinstance(part, str) else part.cast("string") for part in inner]
     return F.concat(F.lit(f"<{name}>"), *parts, F.lit(f"</{name}>"))
 
 
-def slot_sums(rows: DataFrame, key: str, slot: Column, quantity: Column, item: Column, returned: Column) -> DataFrame:
-    """Per key and slot: number of rows, quantity, smallest item, returned rows."""
-    sums = []
-    for s in SLOTS:
-        here = slot == s
-        sums += [
-            F.count_if(here).alias(f"n{s}"),
-            F.sum(F.when(here, quantity)).alias(f"q{s}"),
-            F.min(F.when(here, item)).alias(f"p{s}"),
-            F.count_if(here & returned).alias(f"r{s}"),
-        ]
-    return rows.groupBy(F.col(key).alias("message_key")).agg(*sums)
+def claims_by_message(rows: DataFrame, key: str, deal: Column, number: Column, item: Column, quantity: Column, returned: Column):
+    """``owner, message_key, claims``: every row is a claim of one message of its key.
+
+    The rows of a key are counted on the map side; ``deal`` modulo the number of
+    messages says which one a row goes to.
+    """
+    claims = rows.select(
+        F.col(key).alias("owner"),
+        deal.cast("bigint").alias("deal"),
+        F.struct(number.alias("number"), item.alias("item"), quantity.alias("quantity"), returned.alias("returned")).alias("claim"),
+    )
+    counts = claims.groupBy("owner").agg(F.ceil(F.count("*") / MESSAGE_CLAIMS).alias("messages"))
+    message = F.col("owner") + F.col("deal") % F.col("messages") * KEY_STEP
+    return (
+        claims.join(counts, "owner")
+        .groupBy("owner", message.alias("message_key"))
+        .agg(F.array_sort(F.collect_list("claim")).alias("claims"))
+    )
 
 
-def _per_slot(make, present: str) -> Column:
-    pieces = [F.when(F.col(f"{present}{s}") > 0, make(s)) for s in SLOTS]
-    return F.concat_ws("", *pieces)
+def _per_claim(make) -> Column:
+    return F.coalesce(F.array_join(F.transform("claims", make), ""), F.lit(""))
 
 
 def message_text() -> Column:
-    """XML of one message from ``message_key, party, label, status, stamp`` and slot sums."""
+    """XML of one message from ``message_key, party, label, status, stamp`` and ``claims``."""
     col = F.col
-    claims = sum((F.when(col(f"n{s}") > 0, 1).otherwise(0) for s in SLOTS), start=F.lit(0))
     supplemental = tag(
         "Supplemental",
         tag("Vendor", col("label")),
         tag("RecordType", "Claim"),
         tag("SwitchTransactionId", col("message_key")),
         tag("Store", tag("StoreId", col("party")), tag("State", "MN")),
-        _per_slot(lambda s: tag("Drug", tag("Units", col(f"n{s}"))), "n"),
+        _per_claim(lambda c: tag("Drug", tag("Units", c["quantity"]))),
     )
     request = tag(
         "NcpdpRequest",
@@ -78,17 +75,16 @@ def message_text() -> Column:
             "S_HD",
             tag("F_102_A2", "D0"),
             tag("F_103_A3", "B1"),
-            tag("F_109_A9", claims),
+            tag("F_109_A9", F.coalesce(F.size("claims"), F.lit(0))),
             tag("F_401_D1", col("stamp")),
             "<F_110_AK/>",
         ),
         tag("S_01", tag("F_302_C2", F.lpad(col("party").cast("string"), 12, "0"))),
-        _per_slot(
-            lambda s: F.concat(
-                tag("S_07", tag("F_402_D2", str(s + 1)), tag("F_407_D7", col(f"p{s}")), tag("F_442_E7", col(f"q{s}"))),
-                F.when(col(f"r{s}") > 0, tag("S_11", tag("F_409_D9", col(f"r{s}")))).otherwise(""),
-            ),
-            "n",
+        _per_claim(
+            lambda c: F.concat(
+                tag("S_07", tag("F_402_D2", c["number"]), tag("F_407_D7", c["item"]), tag("F_442_E7", c["quantity"])),
+                F.when(c["returned"], tag("S_11", tag("F_409_D9", c["number"]))).otherwise(""),
+            )
         ),
         F.when(col("status") == "P", "<S_05/>").otherwise(""),
     )
@@ -96,13 +92,12 @@ def message_text() -> Column:
         "NcpdpResponse",
         tag("S_HD", tag("F_102_A2", "D0"), tag("F_501_F1", F.when(col("status") == "F", "A").otherwise("R"))),
         tag("S_25", tag("F_524_FO", col("label"))),
-        _per_slot(
-            lambda s: tag(
+        _per_claim(
+            lambda c: tag(
                 "S_21",
-                tag("F_112_AN", F.when(col(f"r{s}") > 0, "R").otherwise("P")),
-                tag("F_526_FQ.1", "QTY ", col(f"q{s}"), " &amp; ITEM ", col(f"p{s}")),
-            ),
-            "n",
+                tag("F_112_AN", F.when(c["returned"], "R").otherwise("P")),
+                tag("F_526_FQ.1", "QTY ", c["quantity"], " &amp; ITEM ", c["item"]),
+            )
         ),
     )
     answered = F.when(col("status") == "P", "").otherwise(response)
@@ -110,47 +105,50 @@ def message_text() -> Column:
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per order, its claims summed from the order's lines."""
-    lines = slot_sums(
+    """The messages of every order, a claim for each of its lines."""
+    lines = claims_by_message(
         table(spark, sf_dir, "lineitem"),
         "l_orderkey",
-        F.col("l_linenumber") % 4,
-        F.col("l_quantity").cast("bigint"),
+        F.col("l_partkey") + F.col("l_suppkey") + F.col("l_linenumber"),
+        F.col("l_linenumber").cast("bigint"),
         F.col("l_partkey"),
+        F.col("l_quantity").cast("bigint"),
         F.col("l_returnflag") == "R",
     )
-    orders = spread_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("message_key"),
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("owner"),
         F.col("o_custkey").alias("party"),
         F.col("o_orderpriority").alias("label"),
         F.col("o_orderstatus").alias("status"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("stamp"),
     )
-    return _messages(orders.join(lines, "message_key", "left"))
+    return _messages(orders.join(lines, "owner", "left"))
 
 
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per customer with its market segment as ``file_type``."""
-    orders = slot_sums(
+    """The messages of every customer, a claim for each order, with the market segment as ``label``."""
+    orders = claims_by_message(
         table(spark, sf_dir, "orders"),
         "o_custkey",
-        F.col("o_orderkey") % 4,
-        F.length("o_orderpriority").cast("bigint"),
         F.col("o_orderkey"),
+        F.col("o_orderkey"),
+        F.col("o_orderkey"),
+        F.length("o_orderpriority").cast("bigint"),
         F.col("o_orderstatus") == "F",
     )
-    customers = spread_table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("message_key"),
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("owner"),
         F.col("c_nationkey").alias("party"),
         F.col("c_mktsegment").alias("label"),
         F.when(F.col("c_acctbal") < 0, "P").when(F.col("c_acctbal") < 5000, "F").otherwise("O").alias("status"),
         F.col("c_name").alias("stamp"),
     )
-    return _messages(customers.join(orders, "message_key", "left"))
+    return _messages(customers.join(orders, "owner", "left"))
 
 
 def _messages(filled: DataFrame) -> DataFrame:
-    return filled.select(
+    keyed = filled.withColumn("message_key", F.coalesce("message_key", "owner"))
+    return keyed.select(
         "message_key",
         "label",
         "status",
@@ -194,7 +192,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a file row; the extension follows from the id."""
     extension = F.element_at(F.array(*[F.lit(e) for e in (".PDF", ".docx", ".txt", "")]), (F.col("doc_id") % 4 + 1).cast("int"))
     name = F.concat(F.lit("/v/doc"), F.lpad(F.col("doc_id").cast("string"), 8, "0"), extension)
-    return spread_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         name.alias("path"), F.encode("text", "utf-8").alias("content")
     )
 
