@@ -62,7 +62,11 @@ class PipelineConfig:
         return self._under_volume(self.volume_sub_path, file_type)
 
     def image_output_path(self) -> str:
-        return self._under_volume(self.image_sub_path)
+        """Where parsers put page images; refused at or below the landing path, where they would be ingested."""
+        path, landing = self._under_volume(self.image_sub_path), self.landing_path()
+        if self.image_sub_path and f"{path}/".startswith(f"{landing}/"):
+            raise ValueError(f"image output {path} lies in the landing folder {landing}: set volume_sub_path apart from it")
+        return path
 
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.schema}.{name}"

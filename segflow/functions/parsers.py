@@ -61,14 +61,40 @@ class _Blocks(HTMLParser):
         self._flush("body")
 
 
+# First bytes of common files that are not HTML, and what they are.
+SIGNATURES = {
+    b"%PDF-": "PDF",
+    b"PK\x03\x04": "ZIP or Office",
+    b"\xd0\xcf\x11\xe0": "Office",
+    b"\x89PNG": "PNG",
+    b"\xff\xd8\xff": "JPEG",
+    b"GIF8": "GIF",
+    b"{\\rtf": "RTF",
+}
+_BYTE_ORDER_MARKS = {b"\xff\xfe": "utf-16", b"\xfe\xff": "utf-16", b"\xef\xbb\xbf": "utf-8-sig"}
+
+
+def html_text(content: bytes) -> str:
+    """Decoded HTML; raises ValueError for bytes of another kind."""
+    for mark, encoding in _BYTE_ORDER_MARKS.items():
+        if content.startswith(mark):
+            return content.decode(encoding, errors="replace")
+    for signature, kind in SIGNATURES.items():
+        if content.lstrip()[: len(signature)] == signature:
+            raise ValueError(f"not HTML but {kind}")
+    if b"\0" in content:
+        raise ValueError("not HTML: NUL bytes")
+    return content.decode("utf-8", errors="replace")
+
+
 def html_result(content: bytes | None, version: str) -> str | None:
-    """Parse result of one HTML file as JSON text; NULL content gives None."""
+    """Parse result of one HTML file as JSON text; NULL content gives None, bytes of another kind an error status."""
     if content is None:
         return None
     result: dict = {"metadata": {"version": version}, "document": {"pages": [], "elements": []}, "error_status": None}
     try:
         blocks = _Blocks()
-        blocks.feed(bytes(content).decode("utf-8", errors="replace"))
+        blocks.feed(html_text(bytes(content)))
         blocks.close()
         result["document"]["elements"] = blocks.found
     except Exception as failure:  # a bad file becomes an error row, not a failed job

@@ -8,12 +8,12 @@ options, that returns a VARIANT shaped ``{metadata: {version}, document:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.functions.paths import needs_parsing
+from segflow.functions.paths import PARSE_EXTENSIONS, needs_parsing
 from segflow.functions.variants import evaluated_once, member, member_list, member_text
 
 Parser = Callable[[Column, Column, Column], Column]
@@ -28,39 +28,43 @@ PARSE_OPTIONS = {"version": "2.0", "descriptionElementTypes": "*"}
 
 
 def first_files(files: DataFrame, n: int, key: tuple[str, ...] = ("path",)) -> DataFrame:
-    """The first ``n`` files by path, ties broken by ``key``, which names one row.
+    """The first ``n`` files by path, ties broken by ``key``; never more than ``n`` rows.
 
     Only path and key take part in the top-n, so no file content is sorted or
-    held in a heap; the rest of the row is fetched by a semi-join on the chosen
-    keys, whose size Spark checks before it broadcasts them. Where no key exists
-    pass ``()``: then the rows themselves are sorted.
+    held in a heap; the rest of the row is fetched by semi-joins on the chosen
+    keys, whose size Spark checks before it broadcasts them. All rows of a chosen
+    key are taken but for the last one: it gives as many rows as are missing, any
+    of them if it names several. Two numbers come to the driver for that. Where
+    no key exists pass ``()``: then the rows themselves are sorted.
     """
     if not key:
         return files.orderBy("path").limit(n)
     order = tuple(dict.fromkeys(("path", *key)))
-    chosen = files.select(*order).orderBy(*order).limit(n).toDF(*[f"chosen_{name}" for name in order])
+    names = [f"chosen_{name}" for name in order]
+    chosen = files.select(*order).orderBy(*order).limit(n).toDF(*names)
+    last = chosen.orderBy(*[F.desc(name) for name in names]).limit(1)
+    is_last = [F.col(name).eqNullSafe(F.col(f"last_{name}")) for name in names]
+    whole = chosen.join(F.broadcast(last.toDF(*[f"last_{name}" for name in names])), is_last, "left_anti")
+    missing = chosen.count() - whole.count()
     same = [F.col(name).eqNullSafe(F.col(f"chosen_{name}")) for name in order]
-    return files.join(chosen, same, "left_semi")
-
-
-def bucket_of(path: Column, buckets: int) -> Column:
-    return (F.crc32(path) % buckets).cast("int")
+    return files.join(whole, same, "left_semi").unionAll(files.join(F.broadcast(last), same, "left_semi").limit(missing))
 
 
 def spread(files: DataFrame, buckets: int) -> DataFrame:
-    """Hash files over ``buckets`` partitions; bucket i is partition i.
+    """Deal files evenly over ``buckets`` partitions, files without a path left out.
 
-    Worth its shuffle when parsing costs far more than moving the bytes.
+    Worth its shuffle when parsing costs far more than moving the bytes. A path
+    that many rows share does not fill one bucket, as it would if the path were hashed.
     """
-    return files.repartitionById(buckets, F.coalesce(bucket_of(F.col("path"), buckets), F.lit(0)))
+    return files.filter(F.col("path").isNotNull()).repartition(buckets)
 
 
-def parsable_files(files: DataFrame) -> DataFrame:
-    return files.filter(needs_parsing(F.col("path")))
+def parsable_files(files: DataFrame, extensions: Sequence[str] = PARSE_EXTENSIONS) -> DataFrame:
+    return files.filter(needs_parsing(F.col("path"), extensions))
 
 
-def plain_files(files: DataFrame) -> DataFrame:
-    return files.filter(~needs_parsing(F.col("path")))
+def plain_files(files: DataFrame, extensions: Sequence[str] = PARSE_EXTENSIONS) -> DataFrame:
+    return files.filter(~needs_parsing(F.col("path"), extensions))
 
 
 def utf8_text(content: Column) -> Column:
@@ -129,10 +133,31 @@ def document_parts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def document_texts(parsed: DataFrame, *carried: str) -> DataFrame:
+    """``carried`` columns, ``raw_parsed`` and ``text`` of each document, a row being a document.
+
+    Parts are joined in index order within their row, so nothing is grouped or
+    joined, and rows that share a path stay apart. Parts without content are left
+    out, a JSON null adds nothing; errors and documents without content have no row.
+    """
+    contents = F.col("contents")
+    return (
+        parsed.filter(error_status(F.col("parsed")).isNull())
+        .select(
+            *(carried or ("path",)),
+            F.col("parsed").alias("raw_parsed"),
+            evaluated_once(part_contents(F.col("parsed"))).alias("contents"),
+        )
+        .filter(has_content(contents))
+        .withColumn("text", F.when(has_text(contents), join_contents(contents)))
+        .drop("contents")
+    )
+
+
 def texts_by_path(parsed: DataFrame) -> DataFrame:
-    """One text per path, also where several rows share a path.
+    """One text per path, for tables where a path has few rows; otherwise see ``document_texts``.
 
-    Each row joins its own parts in index order first, so the grouping moves one
+    All texts of a path are gathered in one cell. Each row joins its own parts in index order first, so the grouping moves one
     text per row instead of every part, and gathers no more than what ends up in
     one cell. Parts without content are left out, a JSON null adds nothing, and
     a path without any content has no row.
@@ -149,5 +174,5 @@ def texts_by_path(parsed: DataFrame) -> DataFrame:
 
 
 def with_raw(texts: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Put the raw parse beside the text again; documents without text drop out."""
+    """Put the raw parse beside the text of its path again, for paths of few rows; documents without text drop out."""
     return texts.join(parsed, "path").select("path", F.col("parsed").alias("raw_parsed"), "text")

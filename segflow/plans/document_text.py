@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.functions.paths import needs_parsing
+from segflow.functions.paths import PARSE_EXTENSIONS, needs_parsing
 from segflow.functions.variants import evaluated_once
 from segflow.operators.documents import (
     Parser,
@@ -27,6 +29,7 @@ def documents_to_text(
     limit: int | None = None,
     buckets: int | None = None,
     key: tuple[str, ...] = ("path",),
+    extensions: Sequence[str] = PARSE_EXTENSIONS,
     image_output_path: str | None = None,
 ) -> DataFrame:
     """``path, raw_parsed, text, error_status`` for files with ``path`` and ``content``.
@@ -39,9 +42,9 @@ def documents_to_text(
     there is neither a union of scans, nor a sort and grouping of parts, nor a
     join back to the parse. Other files reach the parser as NULL content. Only
     ``limit`` and ``buckets`` shuffle, and the parse stays behind both, as its
-    result is kept from being inlined into the filter that reads it. ``path`` is
-    taken to name one file; ``texts_by_path`` and ``with_raw`` handle tables where
-    it repeats.
+    result is kept from being inlined into the filter that reads it. A row is a
+    document, also where rows share a path. ``extensions`` says which files are
+    parsed; with an HTML parser, for instance, ``(".html", ".htm")``.
     """
     if limit is not None:
         files = first_files(files, limit, key)
@@ -49,7 +52,7 @@ def documents_to_text(
         files = spread(files, buckets)
 
     path, content, parse = F.col("path"), F.col("content"), F.col("parse")
-    routed = files.filter(path.isNotNull()).select("path", "content", needs_parsing(path).alias("parse"))
+    routed = files.filter(path.isNotNull()).select("path", "content", needs_parsing(path, extensions).alias("parse"))
     result = parser(path, F.when(parse, content), parse_options(image_output_path))
     parsed = routed.select(
         "path",

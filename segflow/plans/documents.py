@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
+from segflow.functions.paths import PARSE_EXTENSIONS
 from segflow.operators.documents import Parser, parsable_files, parse_files
 from segflow.sources.files import binary_files
 from segflow.sources.tables import stream_table
@@ -48,11 +51,11 @@ class DocumentPipeline:
         files = binary_files(self.spark, self.config.landing_path(), **self.source_options)
         return self.documents.append(packed(files, self.config), self.config)
 
-    def parse_documents(self, parser: Parser) -> str:
+    def parse_documents(self, parser: Parser, extensions: Sequence[str] = PARSE_EXTENSIONS) -> str:
         """Register the streaming view of parsed documents and return its name."""
         stored = stream_table(self.spark, self.documents.name)
         parsed = parse_files(
-            parsable_files(stored),
+            parsable_files(stored, extensions),
             parser,
             "spec_file_source_id",
             "path",

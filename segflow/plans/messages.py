@@ -1,4 +1,4 @@
-"""The five message tables of one file type."""
+"""The six message tables of one file type."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
-from segflow.operators.messages import to_variant
+from segflow.operators.messages import malformed, to_variant
 from segflow.operators.sections import requests, responses, supplemental
 from segflow.sources.files import text_files
 from segflow.sources.tables import stream_table
@@ -21,7 +21,7 @@ BRONZE_COLUMNS = (
 
 
 class MessagePipeline:
-    """Text files of one type to text, VARIANT, request, response and supplemental tables.
+    """Text files of one type to text, VARIANT, request, response, supplemental and malformed tables.
 
     Every method starts one append-only stream that stops once it has taken all
     available input. Texts and variants are stored in between, so a message is
@@ -50,6 +50,7 @@ class MessagePipeline:
             cluster_by=("file_metadata.file_path",),
         )
         self.variant = self._derived("bronze_variant", "messages parsed from XML")
+        self.malformed = self._derived("bronze_malformed", "texts that are not well-formed, kept as they came")
         self.requests = self._derived("bronze_requests", "request segments and fields")
         self.responses = self._derived("bronze_responses", "response segments and fields")
         self.supplemental = self._derived("bronze_supplemental", "supplemental fields")
@@ -73,6 +74,10 @@ class MessagePipeline:
     def variant_transform(self) -> StreamingQuery:
         return self.variant.append(to_variant(stream_table(self.spark, self.bronze.name)), self.config)
 
+    def quarantine(self) -> StreamingQuery:
+        """Texts that gave no VARIANT; each is checked when it arrives, not on every look."""
+        return self.malformed.append(malformed(stream_table(self.spark, self.bronze.name)), self.config)
+
     def extract_requests(self) -> StreamingQuery:
         return self.requests.append(requests(self._variants(), keep_messages=self.keep_messages), self.config)
 
@@ -86,13 +91,13 @@ class MessagePipeline:
         """Starters of the streams; those of one stage only need the stages before."""
         return [
             [self.stream_ingest],
-            [self.variant_transform],
+            [self.variant_transform, self.quarantine],
             [self.extract_requests, self.extract_responses, self.extract_supplemental],
         ]
 
     def tables(self) -> list[StreamTable]:
         """All tables, dependents first."""
-        return [self.supplemental, self.responses, self.requests, self.variant, self.bronze]
+        return [self.supplemental, self.responses, self.requests, self.malformed, self.variant, self.bronze]
 
 
 def message_pipelines(spark: SparkSession, config: PipelineConfig, **options) -> list[MessagePipeline]:

@@ -138,6 +138,15 @@ file AS (
 
 ROW_ID = "sha256(CAST(k AS VARCHAR)) AS transaction_file_source_id"
 JOINED = "replace(text, chr(10), chr(10) || chr(10))"
+# The parse result of a document as JSON, NULL where it is not parsed.
+RAW = """CASE WHEN NOT parsed THEN NULL
+  WHEN failed THEN '{"document":null,"error_status":"unreadable","metadata":{"version":"'
+       || CASE doc_id % 4 WHEN 0 THEN '1.0' ELSE '2.0' END || '"}}'
+  ELSE '{"document":{' || CASE doc_id % 4 WHEN 0 THEN '"elements":null,"pages":' || lines
+         ELSE '"elements":' || lines || ',"pages":null' END
+       || '},"error_status":null,"metadata":{"version":"' || CASE doc_id % 4 WHEN 0 THEN '1.0' ELSE '2.0' END || '"}}' END"""
+LINES = "CAST(to_json(list_transform(string_split(text, chr(10)), lambda line: {'content': line})) AS VARCHAR) AS lines"
+FOLDER = "'/v/folder' || (doc_id % 7) || '.pdf'"
 
 
 def _orders(select: str, *more: str) -> str:
@@ -152,6 +161,14 @@ def _files(select: str) -> str:
     return f"WITH {FILES} {select}"
 
 
+def _texts(names: str, more: str = "") -> str:
+    return _files(
+        f"""SELECT {names}, CASE WHEN NOT parsed THEN text WHEN NOT failed THEN {JOINED} END AS text,
+            CASE WHEN parsed AND failed THEN 'unreadable' END AS error_status, {RAW} AS raw_parsed
+            FROM (SELECT *, {LINES} FROM file) {more}"""
+    )
+
+
 def _segment_rows(prefix: str, key: str, join: str = "") -> str:
     return (
         f"SELECT {key}, seg_pos AS {prefix}_pos, seg AS {prefix}_segment, pos, key, val AS value "
@@ -201,7 +218,7 @@ ORACLES = {
     ),
     "docs_route_parsed": _files("SELECT path, text FROM file WHERE parsed"),
     "docs_route_raw": _files("SELECT path, text FROM file WHERE NOT parsed"),
-    "docs_route_sql": _files("SELECT path, parsed FROM file"),
+    "docs_route_sql": _files("SELECT path, parsed, CAST(strlen(text) AS INTEGER) AS n_bytes FROM file"),
     "docs_errors": _files(
         """SELECT path, '{"document":null,"error_status":"unreadable","metadata":{"version":"'
            || CASE doc_id % 4 WHEN 0 THEN '1.0' ELSE '2.0' END || '"}}' AS raw_parsed,
@@ -213,29 +230,41 @@ ORACLES = {
                         unnest(generate_series(1, len(string_split(text, chr(10))))) AS idx
                  FROM file WHERE parsed AND NOT failed)"""
     ),
-    "docs_elements_agg": _files(f"SELECT path, {JOINED} AS text FROM file WHERE parsed AND NOT failed"),
+    "docs_elements_agg": _files(f"SELECT doc_id, {FOLDER} AS path, {JOINED} AS text FROM file WHERE parsed AND NOT failed"),
     "docs_with_raw": _files(
-        f"""SELECT path, {JOINED} AS text, '{{"document":{{' || CASE WHEN paged
-              THEN '"elements":null,"pages":' || parts ELSE '"elements":' || parts || ',"pages":null' END
-              || '}},"error_status":null,"metadata":{{"version":"' || CASE WHEN paged THEN '1.0' ELSE '2.0' END
-              || '"}}}}' AS raw_parsed
-            FROM (SELECT *, doc_id % 4 = 0 AS paged,
-                    CAST(to_json(list_transform(string_split(text, chr(10)), lambda line: {{'content': line}})) AS VARCHAR)
-                    AS parts
-                  FROM file WHERE parsed AND NOT failed)"""
+        f"""SELECT doc_id, {FOLDER} AS path, {JOINED} AS text, {RAW} AS raw_parsed
+            FROM (SELECT *, {LINES} FROM file) WHERE parsed AND NOT failed"""
     ),
-    "docs_to_text": _files(
-        f"""SELECT path, CASE WHEN NOT parsed THEN text WHEN NOT failed THEN {JOINED} END AS text,
-            CASE WHEN parsed AND failed THEN 'unreadable' END AS error_status, parsed AS has_raw FROM file"""
+    "docs_texts_by_path": _files(
+        f"""SELECT path, {JOINED} AS text, {RAW} AS raw_parsed
+            FROM (SELECT *, {LINES} FROM file) WHERE parsed AND NOT failed"""
     ),
-    "docs_to_text_table": _files(
-        f"""SELECT path, CASE WHEN NOT parsed THEN text WHEN NOT failed THEN {JOINED} END AS text,
-            CASE WHEN parsed AND failed THEN 'unreadable' END AS error_status FROM file"""
-    ),
-    "docs_preview": "SELECT least(20, count(*)) AS n_rows FROM documents",
+    "docs_to_text": _texts("path"),
+    "docs_to_text_table": _texts("path"),
+    "specification_text": _texts("file_name"),
+    "specification_text_top": _texts("file_name", "ORDER BY file_name LIMIT 50"),
+    "docs_preview": "SELECT least(20, count(*)) AS n_rows, least(20, count(*)) AS n_found FROM documents",
     "docs_topn": _files("SELECT path, text FROM file ORDER BY path LIMIT 50"),
-    "docs_topn_sql": _files("SELECT path FROM file ORDER BY path LIMIT 50"),
-    "docs_buckets": _files("SELECT path, TRUE AS in_place FROM file"),
+    "docs_topn_sql": _files("SELECT path, sha256(text) AS content_hash FROM file ORDER BY path LIMIT 50"),
+    "docs_topn_repeated": _files(
+        f"SELECT path, count(*) AS n_rows FROM (SELECT {FOLDER} AS path FROM file ORDER BY 1 LIMIT 50) GROUP BY 1"
+    ),
+    "docs_buckets": _files("SELECT path, sha256(text) AS content_hash, TRUE AS in_bucket FROM file"),
+    "html_mixed_bytes": """
+        SELECT page_id, page_id % 5 > 2 AS has_text, CASE page_id % 5
+          WHEN 0 THEN 'ValueError: not HTML but PDF' WHEN 1 THEN 'ValueError: not HTML but ZIP or Office'
+          WHEN 2 THEN 'ValueError: not HTML: NUL bytes' END AS error_status
+        FROM pages""",
+    "malformed_stream": _customers(
+        "SELECT 'msg' || k || '.xml' AS file_name, left(value, length(value) - 3) AS value FROM xml WHERE status = 'F'", XML
+    ),
+    "constraint_violations": """
+        SELECT count(*) FILTER (WHERE o_custkey IS NULL) AS id_nulls,
+               count(*) FILTER (WHERE o_orderstatus = 'P' OR o_orderpriority IS NULL) AS label_nulls,
+               (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) AS repeated_ids,
+               (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1))
+               AS repeated_rows
+        FROM orders""",
     "html_parse_text": r"""
         WITH blocks AS (
           SELECT page_id, list_filter(list_transform(string_split(
@@ -272,18 +301,25 @@ ORACLES = {
             CASE WHEN failed THEN 'unreadable' END AS error_status FROM file WHERE parsed"""
     ),
     "refresh_incremental": _customers(
-        """SELECT step || ' ' || which AS step, n AS n_rows FROM (
-             SELECT 'bronze' AS which, count(*) AS n_all, count(*) FILTER (WHERE status <> 'P') AS n_first FROM msg
-             UNION ALL
-             SELECT 'requests', count(*), count(*) FILTER (WHERE status <> 'P')
-             FROM flat JOIN msg USING (k) WHERE sec = 'req') t,
+        """, stages AS (
+             SELECT which, count(*) AS n_all, count(*) FILTER (WHERE status <> 'P') AS n_first FROM (
+               SELECT 'bronze' AS which, status FROM msg UNION ALL SELECT 'variant', status FROM msg
+               UNION ALL SELECT 'requests', status FROM flat JOIN msg USING (k) WHERE sec = 'req'
+               UNION ALL SELECT 'responses', status FROM flat JOIN msg USING (k) WHERE sec = 'res'
+               UNION ALL SELECT 'supplemental', status FROM supplemental JOIN msg USING (k))
+             GROUP BY 1 UNION ALL SELECT 'malformed', 0, 0)
+           SELECT step || ' ' || which AS step, n AS n_rows FROM stages,
            LATERAL (SELECT unnest(['first run', 'no new files', 'new files']) AS step,
                            unnest([n_first, n_first, n_all]) AS n)""",
         FLAT,
     ),
     "refresh_full": _customers(
         """SELECT 'full refresh bronze' AS step, count(*) AS n_rows FROM msg
-           UNION ALL SELECT 'full refresh requests', count(*) FROM flat WHERE sec = 'req'""",
+           UNION ALL SELECT 'full refresh variant', count(*) FROM msg
+           UNION ALL SELECT 'full refresh malformed', 0
+           UNION ALL SELECT 'full refresh requests', count(*) FROM flat WHERE sec = 'req'
+           UNION ALL SELECT 'full refresh responses', count(*) FROM flat WHERE sec = 'res'
+           UNION ALL SELECT 'full refresh supplemental', count(*) FROM supplemental""",
         FLAT,
     ),
     "multi_type_counts": _customers(

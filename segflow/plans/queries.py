@@ -161,7 +161,8 @@ def docs_route_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = declare_parse_extensions(spark)
     return spark.sql(
         f"""
-        SELECT path, array_contains({listed}, lower(regexp_extract(path, :pattern, 1))) AS parsed
+        SELECT path, array_contains({listed}, lower(regexp_extract(path, :pattern, 1))) AS parsed,
+               octet_length(content) AS n_bytes
         FROM IDENTIFIER(:source)
         """,
         args={"source": "document_files", "pattern": EXTENSION_PATTERN},
@@ -173,7 +174,8 @@ def docs_topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     document_files(spark, sf_dir).createOrReplaceTempView("document_files")
     return spark.sql(
         """
-        SELECT path FROM (SELECT path FROM IDENTIFIER(:source) ORDER BY path LIMIT :n)
+        SELECT path, sha2(content, 256) AS content_hash
+        FROM (SELECT path, content FROM IDENTIFIER(:source) ORDER BY path LIMIT :n)
         DISTRIBUTE BY crc32(path) % :buckets
         """,
         args={"source": "document_files", "n": TOP_FILES, "buckets": BUCKETS},
@@ -188,19 +190,29 @@ def docs_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.document_parts(parsed_documents(spark, sf_dir)).withColumn("content", F.col("content").cast("string"))
 
 
+def _in_folders(rows: DataFrame) -> DataFrame:
+    """Many documents under one path."""
+    return rows.withColumn("path", F.concat(F.lit("/v/folder"), F.col("doc_id") % 7, F.lit(".pdf")))
+
+
 def docs_elements_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs.texts_by_path(parsed_documents(spark, sf_dir))
+    """Texts of documents that share paths: one per document, not per path."""
+    rows = docs.document_texts(_in_folders(parsed_documents(spark, sf_dir)), "doc_id", "path")
+    return rows.select("doc_id", "path", "text")
 
 
 def docs_with_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json(docs.document_texts(_in_folders(parsed_documents(spark, sf_dir)), "doc_id", "path"), "raw_parsed")
+
+
+def docs_texts_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-path form, on paths that name one document each."""
     parsed = parsed_documents(spark, sf_dir)
-    joined = docs.with_raw(docs.texts_by_path(parsed), parsed)
-    return _json(joined, "raw_parsed")
+    return _json(docs.with_raw(docs.texts_by_path(parsed), parsed), "raw_parsed")
 
 
 def docs_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents_to_text(document_files(spark, sf_dir), line_parser)
-    return rows.select("path", "text", "error_status", F.col("raw_parsed").isNotNull().alias("has_raw"))
+    return _json(documents_to_text(document_files(spark, sf_dir), line_parser), "raw_parsed")
 
 
 def docs_to_text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,23 +220,33 @@ def docs_to_text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{_scratch_schema(spark, 'texts')}.document_text"
     for _ in range(2):
         replace_table(documents_to_text(document_files(spark, sf_dir), line_parser, buckets=BUCKETS), name)
-    return table_by_parameter(spark, name).select("path", "text", "error_status")
+    return _json(table_by_parameter(spark, name), "raw_parsed")
 
 
 def docs_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    document_files(spark, sf_dir).createOrReplaceTempView("document_files")
-    return preview(spark, "document_files").agg(F.count("*").alias("n_rows"))
+    files = document_files(spark, sf_dir)
+    files.createOrReplaceTempView("document_files")
+    shown = preview(spark, "document_files")
+    found = shown.join(files, ["doc_id", "path", "content"], "left_semi")
+    return shown.agg(F.count("*").alias("n_rows")).crossJoin(found.agg(F.count("*").alias("n_found")))
 
 
 def docs_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(docs.first_files(document_files(spark, sf_dir), TOP_FILES))
 
 
+def docs_topn_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows where many share a path: as many as asked for, the last path's share of them."""
+    first = docs.first_files(_in_folders(document_files(spark, sf_dir)), TOP_FILES)
+    return first.groupBy("path").agg(F.count("*").alias("n_rows"))
+
+
 def docs_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file sits in the partition numbered like its bucket."""
+    """Every file, with its content, dealt to one of the buckets."""
     files = docs.spread(document_files(spark, sf_dir), BUCKETS)
-    in_place = F.spark_partition_id() == docs.bucket_of(F.col("path"), BUCKETS)
-    return files.select("path", in_place.alias("in_place"))
+    return files.select(
+        "path", F.sha2("content", 256).alias("content_hash"), (F.spark_partition_id() < BUCKETS).alias("in_bucket")
+    )
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -236,8 +258,16 @@ def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _spread(table(spark, sf_dir, "pages")).select(
         "page_id", F.concat(F.lit("/v/page"), "page_id", F.lit(".html")).alias("path"), F.encode("html", "utf-8").alias("content")
     )
+    return _html_texts(files)
+
+
+HTML_EXTENSIONS = (".html", ".htm")
+
+
+def _html_texts(files: DataFrame) -> DataFrame:
+    """Files routed to the HTML parser by their extension, and what it makes of them."""
     parsed = F.col("parsed")
-    return docs.parse_files(files, html_parser, "page_id").select(
+    return docs.parse_files(docs.parsable_files(files, HTML_EXTENSIONS), html_parser, "page_id").select(
         "page_id",
         F.size(docs.parts(parsed)).alias("n_parts"),
         docs.join_contents(docs.part_contents(parsed)).alias("text"),
@@ -245,6 +275,19 @@ def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of which some are PDF or ZIP by their first bytes, or hold NUL bytes: errors, not texts."""
+    kind = F.col("page_id") % 5
+    head = F.when(kind == 0, F.lit(b"%PDF-1.7 ")).when(kind == 1, F.lit(b"PK\x03\x04")).when(kind == 2, F.lit(b"\0"))
+    html = F.encode("html", "utf-8")
+    files = _spread(table(spark, sf_dir, "pages")).select(
+        "page_id",
+        F.concat(F.lit("/v/page"), "page_id", F.lit(".HTM")).alias("path"),
+        F.when(head.isNull(), html).otherwise(F.concat(head, html)).alias("content"),
+    )
+    return _html_texts(files).select("page_id", (F.col("n_parts") > 0).alias("has_text"), "error_status")
+
+
 # Streams over landed files
 
 
@@ -354,6 +397,34 @@ def multi_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
+def _quarantined(spark: SparkSession, sf_dir: str) -> str:
+    """Messages of which some were cut short, streamed into the tables of one type; the name of the last table."""
+    config = _config(spark, "quarantine", file_types=("mixed",))
+    (pipeline,) = message_pipelines(spark, config, keep_messages=False)
+    cut = F.when(F.col("status") == "F", F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
+    _land_messages(customer_messages(spark, sf_dir).withColumn("value", cut), config, F.lit("mixed"))
+    refresh(pipeline)
+    return pipeline.malformed.name
+
+
+def malformed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts set aside as malformed, as they came."""
+    rows = spark.table(_quarantined(spark, sf_dir))
+    return rows.select(F.col("file_metadata.file_name").alias("file_name"), "value")
+
+
+def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks on rows that break them: repeated keys and nulls that the tables hold."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("label")
+    )
+    repeated = quality.duplicate_keys(rows, "id").agg(F.count("*").alias("n"), F.sum("n_rows").alias("n_rows"))
+    return quality.null_counts(rows, "id", "label").crossJoin(
+        repeated.select(F.col("n").alias("repeated_ids"), F.col("n_rows").alias("repeated_rows"))
+    )
+
+
 def _waves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     messages = customer_messages(spark, sf_dir)
     late = F.col("status") == "P"
@@ -366,15 +437,15 @@ def _steps(spark: SparkSession, steps: list[tuple[str, int]]) -> DataFrame:
 
 @per_session
 def _refresh_steps(spark: SparkSession, sf_dir: str) -> dict[str, list[tuple[str, int]]]:
-    """Row counts of the text and request tables after each kind of refresh."""
+    """Row counts of all six tables after each kind of refresh."""
     config = _config(spark, "refresh", file_types=("all",))
     (pipeline,) = message_pipelines(spark, config, keep_messages=False)
     first, late = _waves(spark, sf_dir)
     steps: dict[str, list[tuple[str, int]]] = {"incremental": [], "full": []}
 
     def note(kind: str, step: str) -> None:
-        for which, stored in (("bronze", pipeline.bronze), ("requests", pipeline.requests)):
-            steps[kind].append((f"{step} {which}", spark.table(stored.name).count()))
+        for which in ("bronze", "variant", "malformed", "requests", "responses", "supplemental"):
+            steps[kind].append((f"{step} {which}", spark.table(getattr(pipeline, which).name).count()))
 
     _land_messages(first, config, F.lit("all"))
     refresh(pipeline)
@@ -415,6 +486,24 @@ def ingest_binary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _specification_text(spark: SparkSession, sf_dir: str, limit: int | None) -> DataFrame:
+    """Landed files, ingested, turned to texts, in a replaced table read by its name."""
+    files = spark.table(_document_tables(spark, sf_dir).documents.name)
+    name = f"{_scratch_schema(spark, 'specification')}.document_text"
+    texts = documents_to_text(files, line_parser, limit=limit, buckets=BUCKETS, key=("spec_file_source_id",))
+    replace_table(texts, name)
+    rows = table_by_parameter(spark, name).withColumn("file_name", F.substring_index("path", "/", -1)).drop("path")
+    return _json(rows, "raw_parsed")
+
+
+def specification_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _specification_text(spark, sf_dir, None)
+
+
+def specification_text_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _specification_text(spark, sf_dir, TOP_FILES)
+
+
 @per_session
 def _parsed_table(spark: SparkSession, sf_dir: str) -> str:
     """The streaming parsed view, read in SQL and appended to a table."""
@@ -458,7 +547,14 @@ QUERIES = {
         docs_preview,
         docs_topn,
         docs_topn_sql,
+        docs_topn_repeated,
+        docs_texts_by_path,
         docs_buckets,
+        html_mixed_bytes,
+        malformed_stream,
+        specification_text,
+        specification_text_top,
+        constraint_violations,
         html_parse_text,
         ingest_text_stream,
         ingest_binary_stream,

@@ -193,7 +193,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     extension = F.element_at(F.array(*[F.lit(e) for e in (".PDF", ".docx", ".txt", "")]), (F.col("doc_id") % 4 + 1).cast("int"))
     name = F.concat(F.lit("/v/doc"), F.lpad(F.col("doc_id").cast("string"), 8, "0"), extension)
     return table(spark, sf_dir, "documents").select(
-        name.alias("path"), F.encode("text", "utf-8").alias("content")
+        "doc_id", name.alias("path"), F.encode("text", "utf-8").alias("content")
     )
 
 
@@ -214,7 +214,7 @@ def line_parser(path: Column, content: Column, options: Column) -> Column:
 
 @per_session
 def _parsed_dir(spark: SparkSession, sf_dir: str) -> str:
-    return _stored(parse_files(parsable_files(document_files(spark, sf_dir)), line_parser), "parsed")
+    return _stored(parse_files(parsable_files(document_files(spark, sf_dir)), line_parser, "doc_id", "path"), "parsed")
 
 
 def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names; a local folder only in local mode."""
+    """The shared folder the session names; where it names none, a local folder, in local mode only."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
@@ -18,9 +18,19 @@ def scratch_root(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
+def _session_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/segflow-{spark.sparkContext.applicationId}"
+
+
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, fully qualified directory name; nothing is created yet."""
-    return qualified(spark, f"{scratch_root(spark)}/segflow-{label}-{uuid.uuid4().hex}")
+    """A fresh, fully qualified directory name below the session's folder; nothing is created yet."""
+    return qualified(spark, f"{_session_root(spark)}/{label}-{uuid.uuid4().hex}")
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all working folders of this session; tables stored in them can no longer be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

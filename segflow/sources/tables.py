@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segflow.sources.files import NO_AGE_LIMIT
 
-
-# Table files are far larger than landed ones; see FILES_PER_BATCH for those.
+# Table files are far larger than landed ones; see FILES_PER_BATCH for those. They are
+# written in time order and read oldest first, so Spark's own age limit loses none and
+# keeps the list of known files short.
 TABLE_FILES_PER_BATCH = 10_000
 
 
 def stream_table(spark: SparkSession, name: str, **options) -> DataFrame:
     """Rows appended to a table, each delivered once, a bounded number of its files at a time."""
-    bounds = {"maxFilesPerTrigger": TABLE_FILES_PER_BATCH, "maxFileAge": NO_AGE_LIMIT}
-    return spark.readStream.options(**{**bounds, **options}).table(name)
+    return spark.readStream.options(**{"maxFilesPerTrigger": TABLE_FILES_PER_BATCH, **options}).table(name)
 
 
 def stream_table_sql(spark: SparkSession, name: str, select: str = "*") -> DataFrame:

@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import zip_longest
 
-from pyspark.errors import StreamingQueryException
 
+# Streams that run at once; the others of a stage wait for their turn.
+STREAMS_AT_ONCE = 16
 
-def refresh(*pipelines, full: bool = False) -> None:
+
+class RefreshError(RuntimeError):
+    """Streams that failed, each by its name, with what it raised in ``failures``."""
+
+    def __init__(self, failures: list[tuple[str, Exception]]) -> None:
+        super().__init__("; ".join(f"{name}: {failure}" for name, failure in failures))
+        self.failures = failures
+
+
+def refresh(*pipelines, full: bool = False, at_once: int = STREAMS_AT_ONCE) -> None:
     """Bring all tables of the pipelines up to date.
 
     Incremental: each stream reads what arrived since its checkpoint. Full: the
     tables are dropped first, which also retires their checkpoints, and every
     file still in the landing area is read again. Streams of one stage run side
-    by side, across pipelines too, so many small file types share the cluster;
-    a failure is raised once the others of its stage are done.
+    by side, ``at_once`` of them, across pipelines too, so many small file types
+    share the cluster. Failures, to start as well as later, are raised together
+    as RefreshError once all streams of their stage have ended; later stages are
+    not started then.
     """
     if full:
         for pipeline in pipelines:
             for table in pipeline.tables():
                 table.drop(pipeline.spark)
     for stage in zip_longest(*(pipeline.stages() for pipeline in pipelines), fillvalue=()):
-        running = [start() for starters in stage for start in starters]
-        failures = []
-        for query in running:
-            try:
-                query.awaitTermination()
-            except StreamingQueryException as failure:
-                failures.append(failure)
+        failures = run_streams([start for starters in stage for start in starters], at_once)
         if failures:
-            raise failures[0]
+            raise RefreshError(failures)
+
+
+def run_streams(starters: list, at_once: int) -> list[tuple[str, Exception]]:
+    """Start streams, at most ``at_once`` at a time, await them all, and return what failed."""
+    failures: list[tuple[str, Exception]] = []
+
+    def run(start) -> None:
+        name = getattr(start, "__qualname__", repr(start))
+        try:
+            query = start()
+            name = query.name or name
+            query.awaitTermination()
+        except Exception as failure:  # every stream is reported, whatever another one does
+            failures.append((name, failure))
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        list(pool.map(run, starters))
+    return failures

@@ -82,7 +82,10 @@ class StreamTable:
 
     def _generation(self, spark: SparkSession) -> str:
         """Id of this incarnation of the table; its checkpoint belongs to it alone."""
-        return spark.sql(f"SHOW TBLPROPERTIES {self.name} ('{_GENERATION}')").first()["value"]
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        if _GENERATION not in properties:
+            raise ValueError(f"{self.name} was not made as a stream table: it has no {_GENERATION}")
+        return properties[_GENERATION]
 
 
 def packed(files: DataFrame, config: PipelineConfig) -> DataFrame:
