@@ -48,7 +48,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_chats(table(spark, sf_dir, "conversations"))
+    rows = format_chats(table(spark, sf_dir, "conversations"))
+    return rows.withColumn("inserted", F.array_join("inserted", ","))
 
 
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
