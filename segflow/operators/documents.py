@@ -9,6 +9,7 @@ options, that returns a VARIANT shaped ``{metadata: {version}, document:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,23 +32,22 @@ def first_files(files: DataFrame, n: int, key: tuple[str, ...] = ("path",)) -> D
     """The first ``n`` files by path, ties broken by ``key``; never more than ``n`` rows.
 
     Only path and key take part in the top-n, so no file content is sorted or
-    held in a heap; the rest of the row is fetched by semi-joins on the chosen
-    keys, whose size Spark checks before it broadcasts them. All rows of a chosen
-    key are taken but for the last one: it gives as many rows as are missing, any
-    of them if it names several. Two numbers come to the driver for that. Where
-    no key exists pass ``()``: then the rows themselves are sorted.
+    held in a heap. The last key it finds, and how many rows of it belong, come
+    to the driver; all rows of smaller keys are taken, and of the last one as
+    many as are missing, any of them if it names several. Where no key exists
+    pass ``()``: then the rows themselves are sorted.
     """
     if not key:
         return files.orderBy("path").limit(n)
     order = tuple(dict.fromkeys(("path", *key)))
-    names = [f"chosen_{name}" for name in order]
-    chosen = files.select(*order).orderBy(*order).limit(n).toDF(*names)
-    last = chosen.orderBy(*[F.desc(name) for name in names]).limit(1)
-    is_last = [F.col(name).eqNullSafe(F.col(f"last_{name}")) for name in names]
-    whole = chosen.join(F.broadcast(last.toDF(*[f"last_{name}" for name in names])), is_last, "left_anti")
-    missing = chosen.count() - whole.count()
-    same = [F.col(name).eqNullSafe(F.col(f"chosen_{name}")) for name in order]
-    return files.join(whole, same, "left_semi").unionAll(files.join(F.broadcast(last), same, "left_semi").limit(missing))
+    chosen = files.select(*order).orderBy(*order).limit(n)
+    last = chosen.groupBy(*order).agg(F.count("*").alias("rows_of_last")).orderBy(*[F.desc(c) for c in order]).first()
+    if last is None:
+        return files.limit(0)
+    ends = [F.lit(last[c]).cast(files.schema[c].dataType) for c in order]
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(end) for c, end in zip(order, ends)])
+    before = F.struct(*order) < F.struct(*[end.alias(c) for c, end in zip(order, ends)])
+    return files.filter(before).unionAll(files.filter(same).limit(last["rows_of_last"]))
 
 
 def spread(files: DataFrame, buckets: int) -> DataFrame:

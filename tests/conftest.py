@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="segflow-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

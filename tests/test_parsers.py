@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from segflow.functions.parsers import html_parser, html_result
@@ -45,3 +46,15 @@ def test_parser_in_a_plan(spark):
         "path", docs.join_contents(docs.part_contents(F.col("parsed"))), F.col("parsed").isNull()
     ).collect()
     assert [tuple(r) for r in got] == [("a.html", "x\n\ny", False), ("b.html", None, True)]
+
+
+@pytest.mark.parametrize("content", [b"%PDF-1.4 text", b"PK\x03\x04doc", b"\x89PNG\r\n", b"<p>a\x00b</p>"])
+def test_bytes_of_another_kind_give_an_error(content):
+    result = json.loads(html_result(content, "2.0"))
+    assert result["document"]["elements"] == [] and "not HTML" in result["error_status"]
+
+
+def test_byte_order_marks():
+    for encoding in ("utf-16", "utf-8-sig"):
+        result = json.loads(html_result("<p>é</p>".encode(encoding), "2.0"))
+        assert [e["content"] for e in result["document"]["elements"]] == ["é"] and result["error_status"] is None

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -75,7 +76,10 @@ def test_landing_path():
     assert base.landing_path() == "/Volumes/c/s/v"
     for sub, expected in ((None, "/Volumes/c/s/v/T"), ("", "/Volumes/c/s/v/T"), ("in", "/Volumes/c/s/v/in/T")):
         assert PipelineConfig("c", "s", "v", volume_sub_path=sub).landing_path("T") == expected
-    assert PipelineConfig("c", "s", "v", image_sub_path="img").image_output_path() == "/Volumes/c/s/v/img"
+    assert PipelineConfig("c", "s", "v", volume_sub_path="in", image_sub_path="img").image_output_path() == "/Volumes/c/s/v/img"
+    for landing, images in ((None, "img"), ("in", "in"), ("in", "in/img")):
+        with pytest.raises(ValueError, match="landing folder"):
+            PipelineConfig("c", "s", "v", volume_sub_path=landing, image_sub_path=images).image_output_path()
     assert base.table("x") == "c.s.x"
     assert base.properties()["quality"] == "bronze"
 

@@ -187,8 +187,31 @@ def test_a_failing_stream_lets_the_others_of_its_stage_finish(spark, pipeline_co
     refresh(good)
     drop_in(pipeline_config, "b.xml", SINGLE)
     bad = Failing(spark, pipeline_config, "bad")
-    with pytest.raises(StreamingQueryException):
-        refresh(bad, good)
-    assert spark.table(good.bronze.name).count() == 2
+
+    class Unstarted(MessagePipeline):
+        def stream_ingest(self):
+            raise OSError("no folder")
+
+    with pytest.raises(RefreshError) as raised:
+        refresh(Unstarted(spark, pipeline_config, "none"), bad, good, at_once=1)
+    assert len(raised.value.failures) == 2 and "no folder" in str(raised.value) and "no luck" in str(raised.value)
+    assert spark.table(good.bronze.name).count() == 2 and not spark.streams.active
     refresh(good)
     assert counts(spark, good)[:3] == (2, 2, 88)
+
+
+def test_malformed_texts_are_set_aside(spark, pipeline_config):
+    drop_in(pipeline_config, "a.xml", SINGLE)
+    drop_in(pipeline_config, "b.xml", SINGLE[:-3])
+    pipeline = MessagePipeline(spark, pipeline_config, "claims")
+    refresh(pipeline)
+    refresh(pipeline)
+    assert [r["value"] for r in spark.table(pipeline.malformed.name).collect()] == [SINGLE[:-3]]
+    assert spark.table(pipeline.bronze.name).count() == 2
+
+
+def test_a_table_of_other_origin_is_refused(spark, pipeline_config):
+    pipeline = MessagePipeline(spark, pipeline_config, "claims")
+    spark.sql(f"CREATE TABLE {pipeline.bronze.name} (value STRING) USING parquet")
+    with pytest.raises(RefreshError, match="not made as a stream table"):
+        refresh(pipeline)

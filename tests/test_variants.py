@@ -28,9 +28,12 @@ def as_json(spark, *texts):
         ("<M><a>12345678901234567890</a></M>", '{"a":12345678901234567890}'),
         ("  <M><a>1</a></M>  ", '{"a":1}'),
         ("<M><a>1e3</a><b>1e50</b><c>AB1e12345678</c></M>", '{"a":1000,"b":"1e50","c":"AB1e12345678"}'),
-        ("<M><a> -1.5E+200000000</a></M>", None),
-        ('<M><a k="1e200000000"/></M>', None),
-        ("<M><a><![CDATA[1e200000000]]></a></M>", None),
+        ("<M><a> -1.5E+200000000</a></M>", '{"a":"-1.5E+200000000"}'),
+        ('<M><a k="1e200000000"/></M>', '{"a":{"_k":"1e200000000"}}'),
+        ("<M><a><![CDATA[1e200000000]]></a></M>", '{"a":"1e200000000"}'),
+        ('<M><a>batch "7E1234567" held</a><b>7E1234567</b></M>', '{"a":"batch \\"7E1234567\\" held","b":"7E1234567"}'),
+        ("<M><a>1E0000012</a><b>1E00123456789</b></M>", '{"a":1000000000000,"b":"1E00123456789"}'),
+        ("<M><a>7E1234567</a><b><c>1</a></M>", None),
         ("<M><a><b>1</a></M>", None),
         ("<M>", None),
         ("no markup", None),

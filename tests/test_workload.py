@@ -3,31 +3,37 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from segflow.plans.workload import SLOTS, message_text, order_messages, slot_sums
+from segflow.plans.queries import request_segments
+from segflow.plans.workload import KEY_STEP, claims_by_message, message_text, order_messages, table
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_a_hot_key_stays_one_small_message(spark):
+def test_a_hot_key_becomes_many_small_messages(spark):
     rows = spark.range(90_000).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
-        (F.col("id") % 7).alias("n"),
-        F.lit(1).cast("bigint").alias("q"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id", F.lit(1).cast("bigint").alias("q")
     )
-    sums = slot_sums(rows, "k", F.col("n") % len(SLOTS), F.col("q"), F.col("n"), F.col("n") == 1)
-    texts = sums.select(
-        "*",
-        F.col("message_key").alias("party"),
-        F.lit("L").alias("label"),
-        F.lit("F").alias("status"),
-        F.lit("S").alias("stamp"),
-    ).select("message_key", F.length(message_text()).alias("chars"), sum(F.col(f"n{s}") for s in SLOTS).alias("rows"))
-    hot = texts.filter("message_key = 1").first()
-    assert hot["rows"] >= 30_000 and hot["chars"] < 2_000
+    claims = claims_by_message(rows, "k", F.col("id"), F.col("id"), F.col("id"), F.col("q"), F.col("id") % 2 == 0)
+    filled = {"party": F.col("owner"), "label": F.lit("L"), "status": F.lit("F"), "stamp": F.lit("S")}
+    texts = claims.withColumns(filled).select(
+        "owner", "message_key", F.size("claims").alias("rows"), F.length(message_text()).alias("chars")
+    )
+    hot = texts.filter("owner = 1").agg(F.sum("rows"), F.max("rows"), F.max("chars"), F.count_distinct("message_key")).first()
+    assert hot[0] >= 30_000 and hot[1] <= 40 and hot[2] < 12_000 and hot[3] > 1_000
     assert texts.agg(F.sum("rows")).first()[0] == 90_000
+    assert texts.filter("message_key % 1000000000000 <> owner").count() == 0 and KEY_STEP == 10**12
+
+
+def test_every_line_is_an_occurrence(spark):
+    rows = request_segments(spark, SF).filter("request_segment = 'S_07'")
+    once = rows.filter("key = 'F_402_D2'").count()
+    repeated = rows.filter("key IS NULL")
+    assert once + repeated.count() == table(spark, SF, "lineitem").join(
+        table(spark, SF, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"
+    ).count()
+    assert repeated.agg(F.max("pos")).first()[0] > 3
 
 
-def test_rows_are_summed_before_the_shuffle(spark):
+def test_counts_are_taken_before_the_shuffle(spark):
     plan = plan_of(order_messages(spark, SF))
-    below = plan[re.search(r"Exchange hashpartitioning", plan).start() :]
-    assert "partial_sum" in below and "collect_list" not in plan
+    assert re.search(r"partial_count", plan)
