@@ -2,7 +2,6 @@ import os
 from pathlib import Path
 
 import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from samples import FILLED, REPEATED, SINGLE
@@ -12,6 +11,7 @@ from segflow.operators.sections import requests, responses, supplemental
 from segflow.plans.messages import message_pipelines
 from segflow.plans.workload import line_parser
 from segflow.sources.tables import stream_table, stream_table_sql
+from segflow.streaming.refresh import RefreshError
 from segflow.streaming.tables import StreamTable
 
 
