@@ -21,7 +21,7 @@ LAST = 3
 #: Other names of roles.
 ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "function": "tool", "developer": "system"}
 #: Costs: joining a turn to the message before it, changing its role, inserting an empty message.
-MERGE, RELABEL, INSERT = 1.0, 2.0, 3.0
+MERGE, RELABEL, INSERT = 1.0, 4.0, 2.0
 UNKNOWN = 0
 #: Turns of a range of conversations, on average.
 RANGE_TURNS = 20_000

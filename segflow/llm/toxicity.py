@@ -242,10 +242,11 @@ def _selected_features(sample: DataFrame, names: list[str]) -> list[str]:
                 for counter, hit in zip(by_name, row.labels):
                     if hit:
                         counter.update(found)
-        yield pd.DataFrame(
-            {"feature": list(whole), "n": list(whole.values())}
-            | {f"n{k}": [c[f] for f in whole] for k, c in enumerate(by_name)}
-        )
+        if whole:
+            yield pd.DataFrame(
+                {"feature": list(whole), "n": list(whole.values())}
+                | {f"n{k}": [c[f] for f in whole] for k, c in enumerate(by_name)}
+            )
 
     columns = ", ".join(f"n{k} long" for k in range(len(names)))
     counted = sample.select("text", "labels").mapInPandas(count, f"feature string, n long, {columns}")
