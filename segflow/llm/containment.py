@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.tables import join_groups, stored, text_of
+from segflow.llm.tables import join_groups, split_by_keys, stored, text_of
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -110,8 +110,11 @@ def _hits(documents: DataFrame, items: DataFrame, key: str, text: str, item_key:
     pairs = join_groups(pairs, stored(wanted, "wanted"), ["item_ref"], "n", "inner")
     same_doc = F.col("d.doc").eqNullSafe(F.col("p.doc")) & (F.col("d.print") == F.col("p.print"))
     shared = F.size(F.array_intersect("item_shingles", "doc_shingles"))
+    texts = documents.select(F.col(key).alias("doc"), F.xxhash64(text_of(text)).alias("print"), F.col(text).alias("text"))
+    # Words are made below the join: above it, the filter on the result would repeat their making for each shingle.
+    possible = split_by_keys(texts, "print", candidates)[0].select("doc", "print", words_of(text_of("text")).alias("words"))
     return (
-        source.alias("d")
+        possible.alias("d")
         .join(pairs.alias("p"), same_doc)
         .select("p.doc", "p.print", "item", "item_print", "item_shingles", shingles("words").alias("doc_shingles"))
         .withColumn("n_shared", shared)
@@ -155,5 +158,7 @@ def decontaminate(
     """The documents, all columns, that hold no item; see contaminated()."""
     hits = _hits(documents, items, key, text, item_key, item_text, threshold)
     found = stored(hits.select(F.col("doc").alias("_seg_doc"), F.col("print").alias("_seg_print")).distinct(), "contaminated")
-    same = F.col(key).eqNullSafe(F.col("_seg_doc")) & (F.xxhash64(text_of(text)) == F.col("_seg_print"))
-    return documents.join(found, same, "left_anti")
+    same = F.col(key).eqNullSafe(F.col("_seg_doc")) & (F.col("_seg_text") == F.col("_seg_print"))
+    marked = documents.withColumn("_seg_text", F.xxhash64(text_of(text)))
+    possible, clean = split_by_keys(marked, "_seg_text", found.select(F.col("_seg_print").alias("_seg_text")))
+    return clean.unionByName(possible.join(found, same, "left_anti")).drop("_seg_text")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.llm.quotient_filter import CountingQuotientFilter
-from segflow.llm.tables import join_groups, parts_for, stored, text_of
+from segflow.llm.tables import join_groups, parts_for, split_by_keys, stored, text_of
 
 #: Fingerprints that one merged filter holds on average.
 RANGE_ROWS = 500_000
@@ -87,7 +87,8 @@ def exact_groups(documents: DataFrame, key: str = "doc_id", text: str = "text")
     repeated = stored(repeated_fingerprints(rows, "print", rows.count()), "repeated")
 
     # Whole texts meet only where a fingerprint repeats; equal texts are summed up before they move.
-    texts = source.withColumn("print", F.xxhash64("whole")).join(repeated, "print", "left_semi")
+    possible, _ = split_by_keys(source.withColumn("print", F.xxhash64("whole")), "print", repeated)
+    texts = possible.join(repeated, "print", "left_semi")
     verified = (
         texts.groupBy("whole")
         .agg(F.count("*").alias("group_size"), F.min("key").alias("keep_id"))
@@ -121,8 +122,12 @@ def exact_dedup(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     marked = documents.withColumn("_seg_whole", normalised(text_of(text))).withColumn("_seg_print", F.xxhash64("_seg_whole"))
     prints = stored(marked.select("_seg_print"), "prints")
     repeated = stored(repeated_fingerprints(prints, "_seg_print", prints.count()), "repeated")
-    alone = marked.join(repeated, "_seg_print", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    possible, single = split_by_keys(marked, "_seg_print", repeated)
+    possible = possible.select("_seg_print", *columns)
+    alone = single.select(*columns).unionByName(possible.join(repeated, "_seg_print", "left_anti").select(*columns))
+    row = F.struct(*columns)
     order = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(row))
-    first = marked.join(repeated, "_seg_print", "left_semi").groupBy("_seg_whole").agg(F.min_by(row, order).alias("_seg_row"))
+    copies = possible.join(repeated, "_seg_print", "left_semi").withColumn("_seg_whole", normalised(text_of(text)))
+    first = copies.groupBy("_seg_whole").agg(F.min_by(row, order).alias("_seg_row"))
     return alone.unionByName(first.select("_seg_row.*"))

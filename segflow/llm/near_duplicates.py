@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from segflow.llm.components import connected_components
 from segflow.llm.rank_bpe import chunks
-from segflow.llm.tables import join_groups, stored, text_of
+from segflow.llm.tables import join_groups, split_by_keys, stored, text_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -315,10 +315,12 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", simi
     first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "print")).alias("first")
     keepers = classes.groupBy("root").agg(first).select(F.col("first.doc").alias("_seg_doc"), F.col("first.print").alias("_seg_print"))
     linked = classes.select(F.col("doc").alias("_seg_doc"), F.col("print").alias("_seg_print")).distinct()
-    same = F.col(key).eqNullSafe(F.col("_seg_doc")) & (F.xxhash64(text_of(text)) == F.col("_seg_print"))
-    alone = documents.join(linked, same, "left_anti")
-    kept = documents.join(keepers, same).dropDuplicates(["_seg_doc", "_seg_print"])
-    return alone.unionByName(kept.drop("_seg_doc", "_seg_print"))
+    same = F.col(key).eqNullSafe(F.col("_seg_doc")) & (F.col("_seg_text") == F.col("_seg_print"))
+    marked = documents.withColumn("_seg_text", F.xxhash64(text_of(text)))
+    possible, alone = split_by_keys(marked, "_seg_text", linked.select(F.col("_seg_print").alias("_seg_text")))
+    unlinked = possible.join(linked, same, "left_anti")
+    kept = possible.join(keepers, same).dropDuplicates(["_seg_doc", "_seg_print"]).drop("_seg_doc", "_seg_print")
+    return alone.unionByName(unlinked).unionByName(kept).drop("_seg_text")
 
 
 def _classes(documents: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
@@ -375,7 +377,8 @@ def _links(documents: DataFrame, sets: DataFrame, key: str, text: str, similarit
     samples = members.select("set", F.col("sample.doc").alias("sample_doc"), F.col("sample.print").alias("sample_print"))
     same = F.col("doc").eqNullSafe(F.col("sample_doc")) & (F.col("print") == F.col("sample_print"))
     source = documents.select(F.col(key).alias("doc"), F.xxhash64(text_of(text)).alias("print"), text_of(text).alias("text"))
-    texts = source.join(samples, same).select("set", "text")
+    possible, _ = split_by_keys(source, "print", samples.select(F.col("sample_print").alias("print")))
+    texts = possible.join(samples, same).select("set", "text")
     if members.filter("copies > 1").limit(1).count():
         texts = texts.dropDuplicates(["set"])
     dealt = join_groups(members.select("set", "copies", "family"), families, ["family"], "n", "inner")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from segflow.llm.anchors import anchored, gram_hashes, segment_hash
 from segflow.llm.linear_grouping import suffix_array
 from segflow.llm.near_duplicates import grouped
-from segflow.llm.tables import join_groups, stored, text_of
+from segflow.llm.tables import join_groups, split_by_keys, stored, text_of
 
 LENGTH = 400
 ANCHOR = 160
@@ -251,7 +251,8 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     by_doc = mixed.groupBy("s_doc", "s_print").agg(F.collect_list(wanted).alias("wanted"))
     cut = F.expr(f"substring(cast(text AS binary), w.s_first + 1, w.n_starts + {LENGTH - 1})")
     bytes_of = (
-        source.join(by_doc, same)
+        split_by_keys(source, "print", mixed.select(F.col("s_print").alias("print")))[0]
+        .join(by_doc, same)
         .select("text", F.explode("wanted").alias("w"))
         .select("w.anchor", "w.segment", "w.n", "w.n_starts", F.col("w.bytes").alias("group_bytes"), cut.alias("bytes"))
         .dropDuplicates(["anchor", "segment"])
@@ -267,7 +268,11 @@ def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text"
     spans = runs_of.groupBy(F.col("doc").alias("s_doc"), F.col("print").alias("s_print")).agg(
         F.collect_list(F.struct("first", "runs")).alias("runs")
     )
-    return _cut(source.join(spans, same, "left").select("doc", "text", "runs"), key)
+    spans = stored(spans, "spans")
+    possible, whole_texts = split_by_keys(source, "print", spans.select(F.col("s_print").alias("print")))
+    none = F.lit(None).cast(spans.schema["runs"].dataType)
+    rows = possible.join(spans, same, "left").select("doc", "text", "runs")
+    return _cut(rows.unionByName(whole_texts.select("doc", "text", none.alias("runs"))), key)
 
 
 def _cut(rows: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,8 @@ from segflow.scratch import new_scratch_dir
 
 #: A key with more than one in HOT_SHARE of all rows counts as hot, so there are fewer than HOT_SHARE such keys.
 HOT_SHARE = 4096
+#: Cells of split_by_keys; all of them take some 60 MB as a broadcast table.
+KEY_CELLS = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,22 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, ho
     return common.unionByName(rest)
 
 
+def split_by_keys(rows: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose 64-bit `column` may be among the keys' values of that column, and rows for which it is not.
+
+    The keys' values fall in KEY_CELLS cells, and the cells that hold any are broadcast: never more
+    than KEY_CELLS numbers, however many keys there are. Few keys spare most rows the shuffle of an
+    exact join; the more there are, the more rows it gets, and it decides for all of them.
+    """
+    cell = F.pmod(F.xxhash64(column), F.lit(KEY_CELLS)).cast("int").alias("_seg_cell")
+    cells = F.broadcast(keys.select(cell).distinct())
+    marked = rows.withColumn("_seg_cell", cell)
+    return (
+        marked.join(cells, "_seg_cell", "left_semi").drop("_seg_cell"),
+        marked.join(cells, "_seg_cell", "left_anti").drop("_seg_cell"),
+    )
+
+
 def parts_for(n: int, each: int, least: int = 1) -> int:
     """How many parts of at most about `each` rows hold n rows."""
     return max(least, -(-n // each))
