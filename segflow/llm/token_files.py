@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,19 @@ _WIDE_WORDS = regex.compile(
 ).findall
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first looked up; `new` lists those not yet learned."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class ByteBpe:
     """The tokenizers library's encoder for a byte-level file; each distinct word is encoded once."""
 
@@ -51,7 +65,10 @@ class ByteBpe:
         self.special = special
         names = "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))
         self.specials = re.compile(f"({names})") if names else None
-        self.known: dict[str, int] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens_word[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.known = _Numbers()
         self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def words(self, text: str) -> list[str]:
@@ -71,11 +88,21 @@ class ByteBpe:
         return _LATIN_WORDS(text)
 
     def _learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids, owners = np.array(encoded.ids, np.uint32), np.array(encoded.word_ids, np.int64)
-        lengths = np.bincount(owners, minlength=len(words)) if len(owners) else np.zeros(len(words), np.int64)
-        first = len(self.starts)
-        self.known.update(zip(words, range(first, first + len(words))))
+        """Encode new words; those of a blank and letters go together, as a blank then marks where each begins."""
+        simple = np.array([w[0] == " " and w[1:].isalpha() for w in words])
+        lengths = np.zeros(len(words), np.int64)
+        joined, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
+        lists = ["".join([words[i] for i in joined[a : a + 500]]) for a in range(0, len(joined), 500)]
+        encoded = self.tokenizer.encode_batch_fast(lists, add_special_tokens=False)
+        together = np.array([x for e in encoded for x in e.ids], np.uint32)
+        opens = np.flatnonzero(self.opens_word[together])
+        lengths[joined] = np.diff(np.r_[opens, len(together)])
+        alone = self.tokenizer.encode([words[i] for i in others], is_pretokenized=True, add_special_tokens=False)
+        lengths[others] = np.bincount(np.array(alone.word_ids, np.int64), minlength=len(others)) if others else 0
+        ids = np.empty(int(lengths.sum()), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        ids[ragged(starts[joined], lengths[joined])] = together
+        ids[ragged(starts[others], lengths[others])] = np.array(alone.ids, np.uint32)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, ids])
@@ -84,16 +111,13 @@ class ByteBpe:
         """The ids of all texts, one after another, and how many each has."""
         by_text = [self.words(t) for t in texts]
         if len(self.known) > KNOWN_WORDS:
-            self.known = {}
+            self.known = _Numbers()
             self.flat, self.starts, self.lengths = self.flat[:0], self.starts[:0], self.lengths[:0]
-        new = list(set().union(*by_text).difference(self.known))
-        if new:
-            self._learn(new)
-        places: list[int] = []
-        for words in by_text:
-            places.extend(map(self.known.__getitem__, words))
-        index = np.array(places, np.int64)
         n_words = np.fromiter(map(len, by_text), np.int64, len(by_text))
+        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(by_text)), np.int64, int(n_words.sum()))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
         lengths = self.lengths[index]
         ends = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(n_words)]]
         return self.flat[ragged(self.starts[index], lengths)], np.diff(ends)
@@ -109,7 +133,8 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndar
 
     Each round replaces the most frequent pairs by new symbols, until no pair is frequent. Pairs
     are told apart by a hash; a hash stands for the last pair that has it, whose occurrences are
-    counted exactly, and the next round hashes anew, so what one round hides a later one finds.
+    counted exactly, and the next round hashes anew, so what one round hides a later one finds. Two
+    rounds without a frequent pair end the work.
     Where occurrences overlap, every second one in such a run is replaced. No rule reaches across
     the end of a document.
     """
