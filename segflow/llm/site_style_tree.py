@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.tables import join_groups, stored
+from segflow.llm.tables import join_groups, split_by_keys, stored
 
 #: Branches of lower importance are removed, if the host shows them on so many pages at least.
 IMPORTANCE, LEAST_PAGES = 0.4, 5
@@ -281,12 +281,15 @@ def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     low = stored(unimportant_branches(parsed), "branches")
     branches = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten("chains"))).alias("path"))
     found = join_groups(branches, low, ["host", "path"], "pages", "inner")
-    removed = found.groupBy("row").agg(F.collect_set("path").alias("removed"))
+    removed = stored(found.groupBy("row").agg(F.collect_set("path").alias("removed")), "removed")
     none = F.array().cast("array<bigint>")
+    # Only pages that may lose a branch move to meet their branches.
+    pages_read = parsed.select("row", "page_id", "url", "texts", "chains", "marks")
+    possible, whole = split_by_keys(pages_read, "row", removed)
     judged = (
-        parsed.select("row", "page_id", "url", "texts", "chains", "marks")
-        .join(removed, "row", "left")
+        possible.join(removed, "row", "left")
         .withColumn("removed", F.coalesce("removed", none))
+        .unionByName(whole.withColumn("removed", none))
         .withColumn("blocks", F.arrays_zip("texts", "chains", "marks"))
         .withColumn("mark", F.when(F.array_contains("marks", "article"), "article").when(F.array_contains("marks", "main"), "main"))
         .withColumn("blocks", F.filter("blocks", lambda b: F.col("mark").isNull() | (b["marks"] == F.col("mark"))))
