@@ -152,7 +152,11 @@ def _cells(members: DataFrame, group: str) -> DataFrame:
 
 
 def shingle_rows(documents: DataFrame, key: str, text: str, forest: Forest, depth: int) -> DataFrame:
-    """A row for each document: key, hash of its text, hash and number of its shingles, signature and prefixes."""
+    """A row for each document: key, hash of its text, hash and number of its shingles, signature and prefixes.
+
+    The prefixes stand for whole values; the signature keeps the lower eight bits of each. Equal
+    values agree in them, others hardly ever do, so families lose nothing.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -172,7 +176,7 @@ def shingle_rows(documents: DataFrame, key: str, text: str, forest: Forest, dept
                     batch.column(1),
                     pa.array(marks, pa.binary()),
                     pa.array(sizes, pa.int64()),
-                    pa.array([x.tobytes() for x in matrix], pa.binary()),
+                    pa.array([x.tobytes() for x in matrix.astype(np.uint8)], pa.binary()),
                     pa.ListArray.from_arrays(
                         np.arange(0, prefixes.size + 1, forest.trees, dtype=np.int32), pa.array(prefixes.ravel())
                     ),
@@ -192,8 +196,9 @@ def _candidate_edges(sets: DataFrame, forest: Forest, least: float) -> DataFrame
     places = sets.filter("size > 0").select("set", F.explode("prefixes").alias("prefix"))
     groups = places.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1")
     groups = stored(_blocks(groups, "prefix", "n", None), "prefixes")
-    members = join_groups(places, groups, ["prefix"], "n", "inner")
-    signatures = sets.select("set", "signature")
+    possible, _ = split_by_keys(places, "prefix", groups)
+    members = stored(join_groups(possible, groups, ["prefix"], "n", "inner"), "members")
+    signatures, _ = split_by_keys(sets.select("set", "signature"), "set", members)
     cells = _cells(members, "prefix").select("cell", "alone", "block", "set").join(signatures, "set")
     cells = cells.repartition("cell").sortWithinPartitions("cell", "block", "set")
     agree = int(np.ceil(least * forest.trees * forest.deepest))
@@ -203,7 +208,7 @@ def _candidate_edges(sets: DataFrame, forest: Forest, least: float) -> DataFrame
             cell = table.column("cell").to_numpy()
             node = table.column("set").to_numpy()
             raw = b"".join(table.column("signature").to_pylist())
-            signature = np.frombuffer(raw, np.uint32).reshape(len(cell), -1)
+            signature = np.frombuffer(raw, np.uint8).reshape(len(cell), -1)
             left, right = [], []
             for step in range(1, len(cell)):
                 at = np.flatnonzero(cell[step:] == cell[:-step])
