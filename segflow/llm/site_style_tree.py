@@ -10,13 +10,15 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.llm.tables import join_groups, split_by_keys, stored
 
-#: Branches of lower importance are removed, if the host shows them on so many pages at least.
-IMPORTANCE, LEAST_PAGES = 0.4, 5
+#: What an element's place and names say of it, before its host's pages do.
+PLAIN, PLACED, NAMED = 0, 1, 2
+#: Branches and texts of lower importance, by their prior, are removed, if the host shows them on so many pages at least.
+IMPORTANCE, LEAST_PAGES = {PLAIN: 0.4, PLACED: 0.2, NAMED: 0.8}, 5
 #: How much the variety of layouts counts against content, for each layout more.
 ATTENUATION = 0.9
 
@@ -27,10 +29,9 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER_TEXT = frozenset(
-    "head nav footer aside form noscript template iframe svg math button select textarea dialog menu object "
-    "canvas audio video script style title".split()
+    "head noscript template iframe svg math button select textarea object canvas audio video script style title".split()
 )
-TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt figcaption td th ul ol dl table tbody tr section".split())
+NAMED_ELEMENTS = frozenset("nav footer aside form dialog menu".split())
 #: Roles, and words in class names and ids, of parts that are not the article.
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NEVER_NAMES = frozenset(
@@ -51,6 +52,7 @@ _TOKENS = re.compile(
 _ATTRIBUTES = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
+_OTHER = re.compile(r"[\W\d_]")
 
 
 def _hash(text: str) -> int:
@@ -62,15 +64,17 @@ class PageParser:
     """Blocks of text of a page, each with the chain of its elements, and the layouts of its elements.
 
     An element is known by its own and its ancestors' names and classes, so that equal parts of a
-    host's pages meet in one node of the style tree. Remembers how start tags are to be read.
+    host's pages meet in one node of the style tree. The last two bits of its number tell its prior:
+    PLAIN, PLACED in an article or main element, or NAMED as something else. Remembers how start
+    tags are to be read.
     """
 
     def __init__(self):
-        self.tags: dict[tuple[str, str], tuple[str, bool, str]] = {}
+        self.tags: dict[tuple[str, str], tuple[str, bool, bool, str]] = {}
         self.paths: dict[tuple[int, str], int] = {}
 
-    def _tag(self, name: str, attributes: str) -> tuple[str, bool, str]:
-        """Label, whether the element is never article text, and landmark."""
+    def _tag(self, name: str, attributes: str) -> tuple[str, bool, bool, str]:
+        """Label, whether the element is never shown as text, whether it is named as other than content, and landmark."""
         found = self.tags.get((name, attributes))
         if found is None:
             values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTES.finditer(attributes)}
@@ -79,15 +83,14 @@ class PageParser:
             style = values.get("style", "").replace(" ", "").lower()
             never = (
                 name in NEVER_TEXT
-                or role in NEVER_ROLES
-                or bool(names & NEVER_NAMES) and name not in ("html", "body", "main")
                 or "hidden" in values
                 or values.get("aria-hidden", "").lower() == "true"
                 or "display:none" in style
             )
+            named = name in NAMED_ELEMENTS or role in NEVER_ROLES or bool(names & NEVER_NAMES) and name not in ("html", "body", "main")
             landmark = "article" if name == "article" or role == "article" else "main" if name == "main" or role == "main" else ""
             label = _DIGITS.sub("0", f"{name}.{' '.join(sorted(values.get('class', '').lower().split()))}")
-            found = (label, never, landmark)
+            found = (label, never, named, landmark)
             if len(self.tags) > 50_000:
                 self.tags = {}
             self.tags[name, attributes] = found
@@ -102,33 +105,51 @@ class PageParser:
         return found
 
     def parse(self, page: str) -> tuple[list[str], list[list[int]], list[str], list[tuple[int, int]]]:
-        """Texts, chains, landmarks ("article", "main" or ""), and (path, layout) of each element."""
-        texts, chains, marks, layouts = [], [], [], []
-        # name, path, never text, landmark, tied to its landmark, names of children
-        stack: list[tuple[str, int, bool, str, bool, list[str]]] = [("", 0, False, "", False, [])]
-        held: list[str] = []
-
-        def flush() -> None:
-            if not held:
-                return
-            text = " ".join(html.unescape("".join(held)).split())
-            held.clear()
+        """Texts, chains and landmarks ("article", "main" or "") of blocks without a name, and (path, layout) of each element."""
+        texts, chains, marks, named, _, layouts = self.read(page)
+        plain = [i for i, x in enumerate(named) if not x]
+        return [texts[i] for i in plain], [chains[i] for i in plain], [marks[i] for i in plain], layouts
+
+    def read(self, page: str, root: int = 0):
+        """Texts, chains, landmarks, whether they are named as other than content and whether they are table cells of
+        all blocks, and (path, layout) of each element. Paths begin at `root`."""
+        texts: list[str] = []
+        holders: list[int] = []
+        # Of each element: path, parent, named, landmark, layout, name
+        paths, parents, names, marks, layouts, tags = [root], [-1], [False], [""], [None], [""]
+        # name, element, never text, names of children
+        stack: list[tuple[str, int, bool, list[str]]] = [("", 0, False, [])]
+        # Text of the innermost block, and of the named inline elements open in it; later, of those closed in it.
+        held: list[tuple[int, list[str]]] = [(0, [])]
+        closed: list[tuple[int, list[str]]] = []
+
+        def emit(element: int, pieces: list[str]) -> None:
+            text = " ".join(html.unescape("".join(pieces)).split())
+            pieces.clear()
             if text:
                 texts.append(text)
-                # Text that hangs directly on a landmark is content by its place; its own node is not judged.
-                judged = [s[1] for s in stack[1:] if not s[4] and s[0] not in ("html", "body")]
-                chains.append(judged)
-                marks.append(stack[-1][3])
+                holders.append(element)
+
+        def flush() -> None:
+            for element, pieces in held:
+                if pieces:
+                    emit(element or next(s[1] for s in reversed(stack) if s[0] not in INLINE), pieces)
+            for element, pieces in closed:
+                emit(element, pieces)
+            closed.clear()
 
         def pop() -> None:
-            name, path, never, _, _, children = stack.pop()
+            _, element, never, children = stack.pop()
             if not never:
-                layouts.append((path, _hash(" ".join(children))))
+                layouts[element] = _hash(" ".join(children))
+            if held[-1][0] and held[-1][0] == element:
+                closed.append(held.pop())
 
         def close(name: str) -> None:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
-                    flush()
+                    if name not in INLINE or depth < len(stack) - 1:
+                        flush()
                     while len(stack) > depth:
                         pop()
                     return
@@ -137,7 +158,7 @@ class PageParser:
         for token in _TOKENS.finditer(page):
             start = token.start()
             if start > at and not stack[-1][2]:
-                held.append(page[at:start])
+                held[-1][1].append(page[at:start])
             at = token.end()
             name = token[3] or token[6]
             if name is None:
@@ -149,14 +170,14 @@ class PageParser:
                 elif name not in INLINE or any(s[0] == name for s in stack):
                     close(name)
                 continue
-            label, never, landmark = self._tag(name, token[4] or token[7] or "")
+            label, never, named, landmark = self._tag(name, token[4] or token[7] or "")
             if name in VOID:
                 if name == "hr":
                     flush()
                 elif name == "br" and not stack[-1][2]:
-                    held.append(" ")
+                    held[-1][1].append(" ")
                 continue
-            if name in INLINE and not never:
+            if name in INLINE and not never and not named:
                 continue
             if name not in INLINE:
                 flush()
@@ -166,20 +187,46 @@ class PageParser:
                     pop()
                 if name == "body" and stack[-1][0] == "head":
                     pop()
-            top = stack[-1]
-            inside = landmark or top[3]
-            if top[3] == "article":
+            above = stack[-1][1]
+            inside = landmark or marks[above]
+            if marks[above] == "article":
                 inside = "article"
-            never = never or name == "header" and not top[3] or top[2]
-            top[5].append(name)
-            tied = bool(landmark) or (bool(top[3]) and top[4] and name in TEXT_BLOCKS)
-            stack.append((name, self._path(top[1], label), never, inside, tied, []))
+            never = never or stack[-1][2]
+            stack[-1][3].append(name)
+            element = len(paths)
+            paths.append(self._path(paths[above], label))
+            parents.append(above)
+            names.append(named or name == "header" and not marks[above])
+            marks.append(inside)
+            layouts.append(None)
+            tags.append(name)
+            stack.append((name, element, never, []))
+            if name in INLINE and named and not never:
+                held.append((element, []))
         if at < len(page) and not stack[-1][2]:
-            held.append(page[at:])
+            held[-1][1].append(page[at:])
         flush()
         while len(stack) > 1:
             pop()
-        return texts, chains, marks, layouts
+        flush()
+        numbers = [root]
+        for i in range(1, len(paths)):
+            names[i] = names[i] or names[parents[i]]
+            prior = NAMED if names[i] else PLACED if marks[i] else PLAIN
+            numbers.append(paths[i] & ~3 | prior)
+        chains = []
+        for element in holders:
+            chain = []
+            while element > 0:
+                if tags[element] not in ("html", "body"):
+                    chain.append(numbers[element])
+                element = parents[element]
+            chains.append(chain[::-1])
+        return (
+            texts, chains, [marks[e] for e in holders], [names[e] for e in holders],
+            [tags[e] in ("td", "th") for e in holders],
+            [(numbers[i], x) for i, x in enumerate(layouts) if x is not None and tags[i] not in ("html", "body")],
+        )
 
 
 def host_of(url: str | None) -> str:
@@ -190,13 +237,17 @@ def host_of(url: str | None) -> str:
 
 
 _PARSED = (
-    "row long, page_id {key}, url string, host string, texts array<string>, features array<long>, "
-    "chains array<array<long>>, marks array<string>, paths array<long>, layouts array<long>"
+    "row long, page_id {key}, url string, host long, texts array<string>, letters array<int>, features array<long>, "
+    "owns array<long>, chains array<array<long>>, marks array<string>, named array<boolean>, paths array<long>, layouts array<long>"
 )
 
 
 def parsed_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Each page with a row number, its host, its blocks and its elements' layouts."""
+    """Each page with a row number, a hash of its host, its blocks and its elements' layouts.
+
+    `features` stand for the blocks' texts, `owns` for the texts as parts of their innermost elements
+    (0 for table cells, whose words recur by nature); like the paths they are a host's own.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, row = PageParser(), TaskContext.get().partitionId() << 33
@@ -204,23 +255,30 @@ def parsed_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 urls = part.column(1).to_pylist()
-                out: list[list] = [[] for _ in range(8)]
+                out: list[list] = [[] for _ in range(11)]
                 for url, page in zip(urls, part.column(2)):
-                    texts, chains, marks, layouts = parser.parse(page.as_py() or "")
+                    host = _hash(host_of(url))
+                    texts, chains, marks, named, cells, layouts = parser.read(page.as_py() or "", host)
                     layouts = sorted(set(layouts))
+                    features = [_hash(f"{host}/{t}") for t in texts]
+                    owns = [0 if x or not c else _hash(f"{c[-1]}/{f}") for x, c, f in zip(cells, chains, features)]
+                    letters = [len(t) - len(_OTHER.findall(t)) for t in texts]
                     values = (
-                        row, host_of(url), texts, [_hash(t) for t in texts], chains, marks,
+                        row, host, texts, letters, features, owns, chains, marks, named,
                         [x for x, _ in layouts], [x for _, x in layouts],
                     )
                     for column, value in zip(out, values):
                         column.append(value)
                     row += 1
                 longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
-                kinds = [pa.int64(), pa.string(), strings, longs, pa.list_(longs), strings, longs, longs]
+                kinds = [
+                    pa.int64(), pa.int64(), strings, pa.list_(pa.int32()), longs, longs, pa.list_(longs), strings,
+                    pa.list_(pa.bool_()), longs, longs,
+                ]
                 arrays = [pa.array(v, k) for v, k in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [arrays[0], part.column(0), part.column(1), *arrays[1:]],
-                    ["row", "page_id", "url", "host", "texts", "features", "chains", "marks", "paths", "layouts"],
+                    ["row", "page_id", "url", "host", "texts", "letters", "features", "owns", "chains", "marks", "named", "paths", "layouts"],
                 )
 
     source = pages.select(F.col(key).alias("page_id"), "url", "html")
@@ -228,73 +286,117 @@ def parsed_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return source.mapInArrow(parse, _PARSED.format(key=kind))
 
 
-def unimportant_branches(parsed: DataFrame) -> DataFrame:
-    """host, path and pages of the style tree's branches whose importance is below IMPORTANCE.
+def threshold(path: Column) -> Column:
+    """The importance below which a branch is removed, by the prior in its number."""
+    prior = path.bitwiseAND(F.lit(3))
+    return F.when(prior == NAMED, IMPORTANCE[NAMED]).when(prior == PLACED, IMPORTANCE[PLACED]).otherwise(IMPORTANCE[PLAIN])
+
+
+def recurring_texts(parsed: DataFrame) -> DataFrame:
+    """feature, host and pages of texts that more than one page of a host holds."""
+    features = parsed.select("host", F.explode(F.array_distinct("features")).alias("feature"))
+    return features.groupBy("feature").agg(F.first("host").alias("host"), F.count("*").alias("pages")).filter("pages > 1")
+
+
+def unimportant_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
+    """path and pages of the style tree's branches, and of texts in them, whose importance is below their threshold.
 
     A branch's presentation is as important as its layouts differ between pages (their entropy, with
     the number of pages as base), its content as its texts do: a text on every page has entropy 1
     and no importance, one on a single page has entropy 0. The more layouts a branch has, the more
-    its presentation counts. All sums are taken before rows move, so a host with a third of all
-    pages is no larger a group than its distinct texts.
+    its presentation counts. A text that stands in one branch with others, as a notice among an
+    article's paragraphs, is judged by its own entropy there. All sums are taken before rows move,
+    so a host with a third of all pages is no larger a group than its distinct texts; texts of one
+    page have entropy 0 and are only counted.
     """
-    layouts = parsed.select("host", F.explode(F.arrays_zip("paths", "layouts")).alias("e"))
-    layouts = layouts.groupBy("host", F.col("e.paths").alias("path"), F.col("e.layouts").alias("layout")).agg(F.count("*").alias("n"))
-    styles = layouts.groupBy("host", "path").agg(
+    layouts = parsed.select(F.explode(F.arrays_zip("paths", "layouts")).alias("e"))
+    layouts = layouts.groupBy(F.col("e.paths").alias("path"), F.col("e.layouts").alias("layout")).agg(F.count("*").alias("n"))
+    styles = layouts.groupBy("path").agg(
         F.sum("n").alias("elements"), F.sum(F.col("n") * F.log("n")).alias("n_log_n"), F.count("*").alias("kinds")
     )
-    presence = parsed.select("host", F.explode(F.array_distinct(F.flatten("chains"))).alias("path"))
-    presence = presence.groupBy("host", "path").agg(F.count("*").alias("pages")).filter(F.col("pages") >= LEAST_PAGES)
-
-    blocks = parsed.select("host", "row", F.explode(F.arrays_zip("features", "chains")).alias("b"))
-    on_page = blocks.select("host", "row", F.col("b.features").alias("feature"), F.explode(F.array_distinct("b.chains")).alias("path"))
-    on_page = on_page.groupBy("host", "path", "feature", "row").agg(F.count("*").alias("c"))
-    texts = on_page.groupBy("host", "path", "feature").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("c_log_c")
-    )
-    spread = F.log("n") - F.col("c_log_c") / F.col("n")
-    content = texts.groupBy("host", "path").agg(F.avg(spread).alias("spread"))
+    presence = parsed.select(F.explode(F.array_distinct(F.flatten("chains"))).alias("path"))
+    presence = presence.groupBy("path").agg(F.count("*").alias("pages")).filter(F.col("pages") >= LEAST_PAGES)
+    presence = stored(presence, "presence")
+
+    # Once for each page, path and text: how often the page has the text there.
+    blocks = parsed.select("row", F.explode(F.arrays_zip("features", "owns", "chains")).alias("b"))
+    blocks = blocks.select("row", F.col("b.features").alias("feature"), F.col("b.owns").alias("own"), F.col("b.chains").alias("chain"))
+    repeated, single = split_by_keys(blocks, "feature", recurring)
+    alone = single.select(F.explode(F.array_distinct("chain")).alias("path")).groupBy("path").agg(F.count("*").alias("texts"))
+    alone = alone.withColumn("spreads", F.lit(0.0))
+    paths = repeated.select("row", "feature", F.explode(F.array_distinct("chain")).alias("path"))
+
+    def entropies(rows: DataFrame, *keys: str) -> DataFrame:
+        counts = rows.groupBy(*keys, "row").agg(F.count("*").alias("c"))
+        sums = counts.groupBy(*keys).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("c_log_c"), F.count("*").alias("on"))
+        return sums.withColumn("spread", F.log("n") - F.col("c_log_c") / F.col("n"))
+
+    several = entropies(paths, "path", "feature").groupBy("path").agg(F.count("*").alias("texts"), F.sum("spread").alias("spreads"))
+    content = alone.unionByName(several).groupBy("path").agg((F.sum("spreads") / F.sum("texts")).alias("spread"))
 
     base = F.log("pages")
     presentation = (F.log("elements") - F.col("n_log_n") / F.col("elements")) / base
     weight = F.pow(F.lit(ATTENUATION), F.col("kinds"))
     importance = (1 - weight) * F.coalesce(presentation, F.lit(0.0)) + weight * (1 - F.col("spread") / base)
-    return (
-        presence.join(content, ["host", "path"])
-        .join(styles, ["host", "path"], "left")
+    branches = (
+        presence.join(content, "path")
+        .join(styles, "path", "left")
         .withColumn("importance", F.when(F.col("kinds").isNull(), 1 - F.col("spread") / base).otherwise(importance))
-        .filter(F.col("importance") < IMPORTANCE)
-        .select("host", "path", "pages", "importance")
+        .filter(F.col("importance") < threshold(F.col("path")))
+        .select("path", "pages")
+    )
+    owns = repeated.filter("own <> 0").select("row", "own", F.element_at("chain", -1).alias("path"))
+    texts = (
+        entropies(owns, "own", "path")
+        .filter(F.col("on") >= LEAST_PAGES)
+        .join(presence, "path")
+        .filter(1 - F.col("spread") / base < threshold(F.col("path")))
+        .select(F.col("own").alias("path"), F.col("on").alias("pages"))
     )
+    return branches.unionByName(texts)
 
 
 def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """Key, url, text and n_chars of each page: the article's blocks in order, joined by line feeds.
 
-    Elements that by name, role, class or id are menus, headers, footers, sidebars, notices, adverts,
-    forms, scripts, styles or comments are left out. Of the rest, branches that the host's style
-    tree finds unimportant are removed, unless nothing would be left of the page. Where a page has
-    article elements only their text counts, else that of its main element, else all. Null and
-    empty pages give an empty text; pages without a host form one group; repeated keys and rows stay
-    as they are; an empty table gives no rows.
+    All elements are judged by the host's style tree, those in article and main elements and those
+    whose element, role, class or id names them as menus, headers, footers, sidebars, notices,
+    adverts, forms or comments too; place and names only shift the importance that is asked for.
+    Branches and texts that the tree finds unimportant are removed, unless nothing would be left of
+    the page. Named blocks are left out, and where a page has article elements only their text
+    counts, else that of its main element, else all. Null and empty pages give an empty text; pages
+    without a host form one group; repeated keys and rows stay as they are; an empty table gives no
+    rows.
     """
     parsed = stored(parsed_pages(pages, key), "pages")
-    low = stored(unimportant_branches(parsed), "branches")
-    branches = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten("chains"))).alias("path"))
-    found = join_groups(branches, low, ["host", "path"], "pages", "inner")
+    recurring = stored(recurring_texts(parsed), "recurring")
+    low = stored(unimportant_branches(parsed, recurring), "branches")
+    branches = parsed.select("row", F.explode(F.array_distinct(F.concat(F.flatten("chains"), "owns"))).alias("path"))
+    found = join_groups(split_by_keys(branches, "path", low)[0], low, ["path"], "pages", "inner")
     removed = stored(found.groupBy("row").agg(F.collect_set("path").alias("removed")), "removed")
     none = F.array().cast("array<bigint>")
     # Only pages that may lose a branch move to meet their branches.
-    pages_read = parsed.select("row", "page_id", "url", "texts", "chains", "marks")
+    pages_read = parsed.select("row", "page_id", "url", "texts", "letters", "owns", "chains", "marks", "named")
     possible, whole = split_by_keys(pages_read, "row", removed)
     judged = (
         possible.join(removed, "row", "left")
         .withColumn("removed", F.coalesce("removed", none))
         .unionByName(whole.withColumn("removed", none))
-        .withColumn("blocks", F.arrays_zip("texts", "chains", "marks"))
-        .withColumn("mark", F.when(F.array_contains("marks", "article"), "article").when(F.array_contains("marks", "main"), "main"))
-        .withColumn("blocks", F.filter("blocks", lambda b: F.col("mark").isNull() | (b["marks"] == F.col("mark"))))
-        .withColumn("left", F.filter("blocks", lambda b: ~F.arrays_overlap(b["chains"], F.col("removed"))))
-        .withColumn("left", F.when(F.size("left") > 0, F.col("left")).otherwise(F.col("blocks")))
+        .withColumn("blocks", F.arrays_zip("texts", "letters", "owns", "chains", "marks", "named"))
+        .withColumn("left", chosen(F.col("blocks"), F.col("removed")))
     )
     text = F.array_join(F.transform("left", lambda b: b["texts"]), "\n")
     return judged.select(F.col("page_id").alias(key), "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def chosen(blocks: Column, removed: Column) -> Column:
+    """A page's blocks that are its main text, given the branches and texts that its host's tree removes."""
+
+    def landmark(some: Column) -> Column:
+        marks = F.transform(some, lambda b: b["marks"])
+        mark = F.when(F.array_contains(marks, "article"), "article").when(F.array_contains(marks, "main"), "main")
+        return F.filter(some, lambda b: mark.isNull() | (b["marks"] == mark))
+
+    plain = landmark(F.filter(blocks, lambda b: ~b["named"]))
+    left = F.filter(plain, lambda b: ~F.arrays_overlap(b["chains"], removed) & ~F.array_contains(removed, b["owns"]))
+    return F.when(F.size(left) > 0, left).otherwise(plain)

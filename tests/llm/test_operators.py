@@ -254,6 +254,17 @@ def test_main_text(spark):
     assert all(found[200 + i][0] == "Copied article" for i in range(9))
 
 
+def test_main_text_judges_blocks_in_articles(spark):
+    notice = "Subscribe to our weekly letter."
+    pages = [
+        (i, "http://h/x", f"<body><article><h1>Title {words(rng, 3)}</h1>{''.join(f'<p>{words(rng, 9)}</p>' for _ in range(1 + i % 4))}<p>{notice}</p></article></body>")
+        for rng in [random.Random(5)] for i in range(12)
+    ]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, _, html in pages:
+        assert found[i] == "\n".join(t for t in re.findall(r"<(?:p|h1)>(.*?)</", html) if t != notice)
+
+
 def test_chats(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "user", "there"), (2, 0, "assistant", "first"), (3, 0, "Human", "q"), (3, 1, "gpt", "a"), (4, 0, None, None),
             (5, 0, "system", "s"), (5, 1, "user", "<|im_end|>"), (5, 2, "assistant", "a"), (5, 3, "system", "late"), (None, 0, "user", "no key"),
