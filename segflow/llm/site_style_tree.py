@@ -111,8 +111,8 @@ class PageParser:
         return [texts[i] for i in plain], [chains[i] for i in plain], [marks[i] for i in plain], layouts
 
     def read(self, page: str, root: int = 0):
-        """Texts, chains, landmarks, whether they are named as other than content and whether they are table cells of
-        all blocks, and (path, layout) of each element. Paths begin at `root`."""
+        """Of all blocks the texts, chains, landmarks, the outermost branch that is named as other than content (or 0) and
+        whether they are table cells; and (path, layout) of each element. Paths begin at `root`."""
         texts: list[str] = []
         holders: list[int] = []
         # Of each element: path, parent, named, landmark, layout, name
@@ -209,11 +209,24 @@ class PageParser:
         while len(stack) > 1:
             pop()
         flush()
+        # A name says nothing of an element that holds the greater part of the text in article and main elements.
+        inside = [0] * len(paths)
+        holds = [False] * len(paths)
+        for element, text in zip(holders, texts):
+            inside[element] += len(text) if marks[element] else 0
+        for i in range(len(paths) - 1, 0, -1):
+            holds[i] = holds[i] or bool(marks[i]) and marks[i] != marks[parents[i]]
+            inside[parents[i]] += inside[i]
+            holds[parents[i]] = holds[parents[i]] or holds[i]
+        for i in range(1, len(paths)):
+            names[i] = names[i] and not (holds[i] and 2 * inside[i] >= inside[0])
         numbers = [root]
+        branches = [0]
         for i in range(1, len(paths)):
             names[i] = names[i] or names[parents[i]]
             prior = NAMED if names[i] else PLACED if marks[i] else PLAIN
             numbers.append(paths[i] & ~3 | prior)
+            branches.append(branches[parents[i]] or (numbers[i] if names[i] else 0))
         chains = []
         for element in holders:
             chain = []
@@ -223,7 +236,7 @@ class PageParser:
                 element = parents[element]
             chains.append(chain[::-1])
         return (
-            texts, chains, [marks[e] for e in holders], [names[e] for e in holders],
+            texts, chains, [marks[e] for e in holders], [branches[e] for e in holders],
             [tags[e] in ("td", "th") for e in holders],
             [(numbers[i], x) for i, x in enumerate(layouts) if x is not None and tags[i] not in ("html", "body")],
         )
@@ -238,7 +251,7 @@ def host_of(url: str | None) -> str:
 
 _PARSED = (
     "row long, page_id {key}, url string, host long, texts array<string>, letters array<int>, features array<long>, "
-    "owns array<long>, chains array<array<long>>, marks array<string>, named array<boolean>, paths array<long>, layouts array<long>"
+    "owns array<long>, chains array<array<long>>, marks array<string>, named array<long>, paths array<long>, layouts array<long>"
 )
 
 
@@ -273,7 +286,7 @@ def parsed_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
                 longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
                 kinds = [
                     pa.int64(), pa.int64(), strings, pa.list_(pa.int32()), longs, longs, pa.list_(longs), strings,
-                    pa.list_(pa.bool_()), longs, longs,
+                    longs, longs, longs,
                 ]
                 arrays = [pa.array(v, k) for v, k in zip(out, kinds)]
                 yield pa.RecordBatch.from_arrays(
@@ -363,7 +376,7 @@ def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     whose element, role, class or id names them as menus, headers, footers, sidebars, notices,
     adverts, forms or comments too; place and names only shift the importance that is asked for.
     Branches and texts that the tree finds unimportant are removed, unless nothing would be left of
-    the page. Named blocks are left out, and where a page has article elements only their text
+    the page. Named branches are left out, unless one holds more text than all without a name, and where a page has article elements only their text
     counts, else that of its main element, else all. Null and empty pages give an empty text; pages
     without a host form one group; repeated keys and rows stay as they are; an empty table gives no
     rows.
@@ -390,13 +403,25 @@ def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def chosen(blocks: Column, removed: Column) -> Column:
-    """A page's blocks that are its main text, given the branches and texts that its host's tree removes."""
+    """A page's blocks that are its main text, given the branches and texts that its host's tree removes.
+
+    A named branch that the tree does not find unimportant stays left out only if the blocks without
+    a name hold as much text.
+    """
 
     def landmark(some: Column) -> Column:
         marks = F.transform(some, lambda b: b["marks"])
         mark = F.when(F.array_contains(marks, "article"), "article").when(F.array_contains(marks, "main"), "main")
         return F.filter(some, lambda b: mark.isNull() | (b["marks"] == mark))
 
-    plain = landmark(F.filter(blocks, lambda b: ~b["named"]))
-    left = F.filter(plain, lambda b: ~F.arrays_overlap(b["chains"], removed) & ~F.array_contains(removed, b["owns"]))
-    return F.when(F.size(left) > 0, left).otherwise(plain)
+    important = F.filter(blocks, lambda b: ~F.arrays_overlap(b["chains"], removed) & ~F.array_contains(removed, b["owns"]))
+    plain = F.filter(blocks, lambda b: b["named"] == 0)
+    unnamed = letters_of(F.filter(important, lambda b: b["named"] == 0))
+    branches = F.array_remove(F.array_distinct(F.transform(important, lambda b: b["named"])), 0)
+    kept = F.filter(branches, lambda x: letters_of(F.filter(important, lambda b: b["named"] == x)) > unnamed)
+    left = F.filter(important, lambda b: (b["named"] == 0) | F.array_contains(kept, b["named"]))
+    return F.when(F.size(left) > 0, landmark(left)).when(F.size(plain) > 0, landmark(plain)).otherwise(landmark(blocks))
+
+
+def letters_of(blocks: Column) -> Column:
+    return F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + b["letters"])

@@ -265,6 +265,19 @@ def test_main_text_judges_blocks_in_articles(spark):
         assert found[i] == "\n".join(t for t in re.findall(r"<(?:p|h1)>(.*?)</", html) if t != notice)
 
 
+@pytest.mark.parametrize("wrap", [
+    "<div class='content-sidebar-wrap'><article>{}</article></div>", "<div class='with-sidebar'>{}</div><p>That is all.</p>",
+    "<body class='no-comments'><div class='page has-banner'><main>{}</main></div>", "<article class='post related'>{}</article>",
+    "<form id='login'><div>{}</div></form><p>That is all.</p>",
+])
+def test_main_text_of_pages_in_named_wrappers(spark, wrap):
+    rng = random.Random(6)
+    texts = {i: words(rng, 30) for i in range(8)}
+    rows = [(i, f"http://h{i % 2}/x", wrap.format(f"<p>{t}</p>") + "<div class='comments'><p>First!</p></div>") for i, t in texts.items()]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(t in found[i].split("\n") and "First!" not in found[i] for i, t in texts.items())
+
+
 def test_chats(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "user", "there"), (2, 0, "assistant", "first"), (3, 0, "Human", "q"), (3, 1, "gpt", "a"), (4, 0, None, None),
             (5, 0, "system", "s"), (5, 1, "user", "<|im_end|>"), (5, 2, "assistant", "a"), (5, 3, "system", "late"), (None, 0, "user", "no key"),
