@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from segflow.llm.tables import join_groups, split_by_keys, stored
 
 #: What an element's place and names say of it, before its host's pages do.
-PLAIN, PLACED, NAMED = 0, 1, 2
+PLAIN, IN_MAIN, NAMED, IN_ARTICLE = 0, 1, 2, 3
 #: Branches and texts of lower importance, by their prior, are removed, if the host shows them on so many pages at least.
-IMPORTANCE, LEAST_PAGES = {PLAIN: 0.4, PLACED: 0.2, NAMED: 0.8}, 5
+IMPORTANCE, LEAST_PAGES = {PLAIN: 0.4, IN_MAIN: 0.2, NAMED: 0.8, IN_ARTICLE: 0.2}, 5
+#: Branches outside articles stay beside an article if the tree finds them so important.
+KEPT_IMPORTANCE = 0.8
 #: How much the variety of layouts counts against content, for each layout more.
 ATTENUATION = 0.9
 
@@ -65,7 +67,7 @@ class PageParser:
 
     An element is known by its own and its ancestors' names and classes, so that equal parts of a
     host's pages meet in one node of the style tree. The last two bits of its number tell its prior:
-    PLAIN, PLACED in an article or main element, or NAMED as something else. Remembers how start
+    PLAIN, IN_MAIN or IN_ARTICLE by its place, or NAMED as something else. Remembers how start
     tags are to be read.
     """
 
@@ -224,7 +226,7 @@ class PageParser:
         branches = [0]
         for i in range(1, len(paths)):
             names[i] = names[i] or names[parents[i]]
-            prior = NAMED if names[i] else PLACED if marks[i] else PLAIN
+            prior = NAMED if names[i] else {"": PLAIN, "main": IN_MAIN, "article": IN_ARTICLE}[marks[i]]
             numbers.append(paths[i] & ~3 | prior)
             branches.append(branches[parents[i]] or (numbers[i] if names[i] else 0))
         chains = []
@@ -301,8 +303,11 @@ def parsed_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def threshold(path: Column) -> Column:
     """The importance below which a branch is removed, by the prior in its number."""
-    prior = path.bitwiseAND(F.lit(3))
-    return F.when(prior == NAMED, IMPORTANCE[NAMED]).when(prior == PLACED, IMPORTANCE[PLACED]).otherwise(IMPORTANCE[PLAIN])
+    return F.element_at(F.array(*[F.lit(IMPORTANCE[x]) for x in range(4)]), (prior_of(path) + 1).cast("int"))
+
+
+def prior_of(path: Column) -> Column:
+    return path.bitwiseAND(F.lit(3))
 
 
 def recurring_texts(parsed: DataFrame) -> DataFrame:
@@ -311,8 +316,9 @@ def recurring_texts(parsed: DataFrame) -> DataFrame:
     return features.groupBy("feature").agg(F.first("host").alias("host"), F.count("*").alias("pages")).filter("pages > 1")
 
 
-def unimportant_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
-    """path and pages of the style tree's branches, and of texts in them, whose importance is below their threshold.
+def judged_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
+    """path, pages and `low` of the style tree's branches, and of texts in them, whose importance is below their
+    threshold (`low`), and of branches outside articles that are important enough to stay beside them.
 
     A branch's presentation is as important as its layouts differ between pages (their entropy, with
     the number of pages as base), its content as its texts do: a text on every page has entropy 1
@@ -355,8 +361,9 @@ def unimportant_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
         presence.join(content, "path")
         .join(styles, "path", "left")
         .withColumn("importance", F.when(F.col("kinds").isNull(), 1 - F.col("spread") / base).otherwise(importance))
-        .filter(F.col("importance") < threshold(F.col("path")))
-        .select("path", "pages")
+        .withColumn("low", F.col("importance") < threshold(F.col("path")))
+        .filter(F.col("low") | prior_of(F.col("path")).isin(PLAIN, IN_MAIN) & (F.col("importance") >= KEPT_IMPORTANCE))
+        .select("path", "pages", "low")
     )
     owns = repeated.filter("own <> 0").select("row", "own", F.element_at("chain", -1).alias("path"))
     texts = (
@@ -364,7 +371,7 @@ def unimportant_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
         .filter(F.col("on") >= LEAST_PAGES)
         .join(presence, "path")
         .filter(1 - F.col("spread") / base < threshold(F.col("path")))
-        .select(F.col("own").alias("path"), F.col("on").alias("pages"))
+        .select(F.col("own").alias("path"), F.col("on").alias("pages"), F.lit(True).alias("low"))
     )
     return branches.unionByName(texts)
 
@@ -376,52 +383,73 @@ def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
     whose element, role, class or id names them as menus, headers, footers, sidebars, notices,
     adverts, forms or comments too; place and names only shift the importance that is asked for.
     Branches and texts that the tree finds unimportant are removed, unless nothing would be left of
-    the page. Named branches are left out, unless one holds more text than all without a name, and where a page has article elements only their text
-    counts, else that of its main element, else all. Null and empty pages give an empty text; pages
+    the page. Named branches are left out, unless one holds more text than all without a name, and
+    of what is left an article or main element keeps out text that is not in it, if it holds as much
+    and the tree does not find that text important; articles with less than half of the text
+    elsewhere, as teasers beside a story, give way to it. Null and empty pages give an empty text; pages
     without a host form one group; repeated keys and rows stay as they are; an empty table gives no
     rows.
     """
     parsed = stored(parsed_pages(pages, key), "pages")
     recurring = stored(recurring_texts(parsed), "recurring")
-    low = stored(unimportant_branches(parsed, recurring), "branches")
-    branches = parsed.select("row", F.explode(F.array_distinct(F.concat(F.flatten("chains"), "owns"))).alias("path"))
-    found = join_groups(split_by_keys(branches, "path", low)[0], low, ["path"], "pages", "inner")
-    removed = stored(found.groupBy("row").agg(F.collect_set("path").alias("removed")), "removed")
+    verdicts = stored(judged_branches(parsed, recurring), "branches")
+    blocks = F.arrays_zip("texts", "owns", "chains", "marks", "named")
+
+    def meet(branches: Column, low: bool) -> DataFrame:
+        """Of each page that has any, those of its branches on which the tree has that verdict."""
+        rows = parsed.select("row", F.explode(F.array_distinct(branches)).alias("path"))
+        some = verdicts.filter(F.col("low") == low).drop("low")
+        found = join_groups(split_by_keys(rows, "path", some)[0], some, ["path"], "pages", "inner")
+        return found.select("row", "path", F.lit(low).alias("low"))
+
+    # Beside an article: the innermost branches of blocks outside it.
+    outside = F.filter(blocks, lambda b: (b["marks"] != "article") & (b["named"] == 0) & (F.size(b["chains"]) > 0))
+    outside = F.when(F.array_contains("marks", "article"), F.transform(outside, lambda b: F.element_at(b["chains"], -1)))
+    found = meet(F.concat(F.flatten("chains"), "owns"), True).unionByName(meet(outside, False))
+    removed = F.collect_set(F.when(F.col("low"), F.col("path"))).alias("removed")
+    sides = F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("sides")
+    met = stored(found.groupBy("row").agg(removed, sides), "met")
     none = F.array().cast("array<bigint>")
-    # Only pages that may lose a branch move to meet their branches.
-    pages_read = parsed.select("row", "page_id", "url", "texts", "letters", "owns", "chains", "marks", "named")
-    possible, whole = split_by_keys(pages_read, "row", removed)
+    # Only pages that may lose a branch, or keep one beside an article, move to meet their branches.
+    pages_read = parsed.select("row", "page_id", "url", "texts", "owns", "chains", "marks", "named")
+    possible, whole = split_by_keys(pages_read, "row", met)
     judged = (
-        possible.join(removed, "row", "left")
-        .withColumn("removed", F.coalesce("removed", none))
-        .unionByName(whole.withColumn("removed", none))
-        .withColumn("blocks", F.arrays_zip("texts", "letters", "owns", "chains", "marks", "named"))
-        .withColumn("left", chosen(F.col("blocks"), F.col("removed")))
+        possible.join(met, "row", "left")
+        .withColumns({x: F.coalesce(x, none) for x in ("removed", "sides")})
+        .unionByName(whole.withColumns({"removed": none, "sides": none}))
+        .withColumn("blocks", blocks)
+        .withColumn("left", chosen(F.col("blocks"), F.col("removed"), F.col("sides")))
     )
     text = F.array_join(F.transform("left", lambda b: b["texts"]), "\n")
     return judged.select(F.col("page_id").alias(key), "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def chosen(blocks: Column, removed: Column) -> Column:
-    """A page's blocks that are its main text, given the branches and texts that its host's tree removes.
+def chosen(blocks: Column, removed: Column, sides: Column) -> Column:
+    """A page's blocks that are its main text, given the branches and texts that its host's tree removes, and the
+    branches that it finds important beside an article.
 
     A named branch that the tree does not find unimportant stays left out only if the blocks without
     a name hold as much text.
     """
 
     def landmark(some: Column) -> Column:
-        marks = F.transform(some, lambda b: b["marks"])
-        mark = F.when(F.array_contains(marks, "article"), "article").when(F.array_contains(marks, "main"), "main")
-        return F.filter(some, lambda b: mark.isNull() | (b["marks"] == mark))
+        article, main, other = (length_of(F.filter(some, lambda b: b["marks"] == x)) for x in ("article", "main", ""))
+        return F.filter(
+            some,
+            lambda b: F.when(b["marks"] == "article", 2 * article >= F.greatest(main, other))
+            .when(b["marks"] == "main", main >= article)
+            .otherwise(other >= article + main)
+            | F.array_contains(sides, F.try_element_at(b["chains"], F.lit(-1)).cast("long")).eqNullSafe(True),
+        )
 
     important = F.filter(blocks, lambda b: ~F.arrays_overlap(b["chains"], removed) & ~F.array_contains(removed, b["owns"]))
     plain = F.filter(blocks, lambda b: b["named"] == 0)
-    unnamed = letters_of(F.filter(important, lambda b: b["named"] == 0))
+    unnamed = length_of(F.filter(important, lambda b: b["named"] == 0))
     branches = F.array_remove(F.array_distinct(F.transform(important, lambda b: b["named"])), 0)
-    kept = F.filter(branches, lambda x: letters_of(F.filter(important, lambda b: b["named"] == x)) > unnamed)
+    kept = F.filter(branches, lambda x: length_of(F.filter(important, lambda b: b["named"] == x)) > unnamed)
     left = F.filter(important, lambda b: (b["named"] == 0) | F.array_contains(kept, b["named"]))
     return F.when(F.size(left) > 0, landmark(left)).when(F.size(plain) > 0, landmark(plain)).otherwise(landmark(blocks))
 
 
-def letters_of(blocks: Column) -> Column:
-    return F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + b["letters"])
+def length_of(blocks: Column) -> Column:
+    return F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + F.length(b["texts"]))

@@ -278,6 +278,21 @@ def test_main_text_of_pages_in_named_wrappers(spark, wrap):
     assert all(t in found[i].split("\n") and "First!" not in found[i] for i, t in texts.items())
 
 
+@pytest.mark.parametrize("story", ["<main><div>{}</div></main>", "<div class='story'>{}</div>"])
+@pytest.mark.parametrize("hosts", [1, 8])
+def test_main_text_beside_article_cards(spark, story, hosts):
+    rng = random.Random(7)
+    rows, wanted = [], {}
+    for i in range(8):
+        wanted[i] = words(rng, 40)
+        cards = "".join(f"<article><h3>{words(rng, 3)}</h3></article>" for _ in range(3))
+        rows.append((i, f"http://h{i % hosts}/x", "<body>" + story.format(f"<p>{wanted[i]}</p>") + cards))
+    rows += [(10 + i, "http://lead/", f"<div class='lead'>Lead {words(rng, 4)}</div><article><p>{words(rng, 30)}</p></article>") for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == t for i, t in wanted.items())
+    assert all(found[10 + i].startswith("Lead ") and found[10 + i].count("\n") == 1 for i in range(8))
+
+
 def test_chats(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "user", "there"), (2, 0, "assistant", "first"), (3, 0, "Human", "q"), (3, 1, "gpt", "a"), (4, 0, None, None),
             (5, 0, "system", "s"), (5, 1, "user", "<|im_end|>"), (5, 2, "assistant", "a"), (5, 3, "system", "late"), (None, 0, "user", "no key"),
