@@ -316,6 +316,44 @@ def recurring_texts(parsed: DataFrame) -> DataFrame:
     return features.groupBy("feature").agg(F.first("host").alias("host"), F.count("*").alias("pages")).filter("pages > 1")
 
 
+def distinct_pages(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
+    """One page of each content that a host has.
+
+    Pages of equal blocks are copies. So are pages that share texts found on no more than half of
+    the host's pages, if all else that is only theirs, such as a date or a counter, has at most
+    half as many letters.
+    """
+    hosts = parsed.groupBy("host").agg(F.count("*").alias("all_pages"))
+    shared = stored(
+        join_groups(recurring, hosts, ["host"], "all_pages", "inner")
+        .select("feature", "pages", (2 * F.col("pages") <= F.col("all_pages")).alias("shared")),
+        "shared",
+    )
+    blocks = parsed.select("row", F.explode(F.array_distinct(F.arrays_zip("features", "letters"))).alias("b"))
+    blocks = blocks.select("row", F.col("b.features").alias("feature"), F.col("b.letters").alias("letters"))
+    found = join_groups(split_by_keys(blocks, "feature", shared)[0], shared, ["feature"], "pages", "inner")
+    sums = found.groupBy("row").agg(
+        F.sum("letters").alias("recurring"),
+        F.sum(F.when(F.col("shared"), F.col("letters")).otherwise(0)).alias("common"),
+        F.collect_set(F.when(F.col("shared"), F.col("feature"))).alias("features"),
+    )
+    sums = sums.select("row", "recurring", "common", F.xxhash64(F.sort_array("features")).alias("common_print"))
+    total = F.aggregate(
+        F.array_distinct(F.arrays_zip("features", "letters")), F.lit(0).cast("long"), lambda n, b: n + b["letters"]
+    )
+    prints = parsed.select("row", "host", total.alias("total"), F.xxhash64("features").alias("print")).join(sums, "row", "left")
+    alike = (F.col("common") > 0) & (2 * (F.col("total") - F.col("recurring")) <= F.col("common"))
+    prints = stored(
+        prints.select("row", F.xxhash64("host", F.when(alike, F.col("common_print")).otherwise(F.col("print")), F.coalesce(alike, F.lit(False))).alias("print")),
+        "prints",
+    )
+    contents = prints.groupBy("print").agg(F.min("row").alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    copies = join_groups(prints, stored(contents, "contents"), ["print"], "copies", "inner").filter("row <> first").select("row")
+    copies = stored(copies, "copies")
+    possible, single = split_by_keys(parsed.select("row", "features", "owns", "chains", "paths", "layouts"), "row", copies)
+    return possible.join(copies, "row", "left_anti").unionByName(single)
+
+
 def judged_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
     """path, pages and `low` of the style tree's branches, and of texts in them, whose importance is below their
     threshold (`low`), and of branches outside articles that are important enough to stay beside them.
@@ -326,8 +364,9 @@ def judged_branches(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
     its presentation counts. A text that stands in one branch with others, as a notice among an
     article's paragraphs, is judged by its own entropy there. All sums are taken before rows move,
     so a host with a third of all pages is no larger a group than its distinct texts; texts of one
-    page have entropy 0 and are only counted.
+    page have entropy 0 and are only counted. Copies of a page count once.
     """
+    parsed = distinct_pages(parsed, recurring)
     layouts = parsed.select(F.explode(F.arrays_zip("paths", "layouts")).alias("e"))
     layouts = layouts.groupBy(F.col("e.paths").alias("path"), F.col("e.layouts").alias("layout")).agg(F.count("*").alias("n"))
     styles = layouts.groupBy("path").agg(

@@ -293,6 +293,18 @@ def test_main_text_beside_article_cards(spark, story, hosts):
     assert all(found[10 + i].startswith("Lead ") and found[10 + i].count("\n") == 1 for i in range(8))
 
 
+@pytest.mark.parametrize("counter", ["", "<p>Read {} times</p>"])
+def test_main_text_of_copied_articles(spark, counter):
+    rng = random.Random(8)
+    texts = [words(rng, 20), words(rng, 20)]
+    rows = [(i, "http://h/x", f"<body><div class='c'>{texts[i % 2]}</div>{counter.format(i)}<div class='top'>Menu</div>") for i in range(10)]
+    # Copies do not keep the menu of the host's other pages either.
+    rows += [(100 + i, "http://k/x", f"<div class='top'>Menu</div><div class='c'><p>{t}</p></div>") for i, t in enumerate([texts[0]] * 5 + [words(rng, 20) for _ in range(9)])]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(texts[i % 2] in found[i] for i in range(10))
+    assert all(found[100 + i] == re.search("<p>(.*)</p>", rows[10 + i][2])[1] for i in range(14))
+
+
 def test_chats(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "user", "there"), (2, 0, "assistant", "first"), (3, 0, "Human", "q"), (3, 1, "gpt", "a"), (4, 0, None, None),
             (5, 0, "system", "s"), (5, 1, "user", "<|im_end|>"), (5, 2, "assistant", "a"), (5, 3, "system", "late"), (None, 0, "user", "no key"),
