@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -456,39 +457,42 @@ def main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:
         possible.join(met, "row", "left")
         .withColumns({x: F.coalesce(x, none) for x in ("removed", "sides")})
         .unionByName(whole.withColumns({"removed": none, "sides": none}))
-        .withColumn("blocks", blocks)
-        .withColumn("left", chosen(F.col("blocks"), F.col("removed"), F.col("sides")))
     )
-    text = F.array_join(F.transform("left", lambda b: b["texts"]), "\n")
-    return judged.select(F.col("page_id").alias(key), "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                lists = zip(*(part.column(x).to_pylist() for x in ("texts", "owns", "chains", "marks", "named", "removed", "sides")))
+                texts = pa.array(["\n".join(chosen(*x)) for x in lists], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), texts], ["page_id", "url", "text"])
 
-def chosen(blocks: Column, removed: Column, sides: Column) -> Column:
-    """A page's blocks that are its main text, given the branches and texts that its host's tree removes, and the
+    kind = parsed.schema["page_id"].dataType.simpleString()
+    found = judged.drop("row").mapInArrow(finish, f"page_id {kind}, url string, text string")
+    return found.select(F.col("page_id").alias(key), "url", "text").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def chosen(
+    texts: list[str], owns: list[int], chains: list[list[int]], marks: list[str], named: list[int], removed: list[int], sides: list[int]
+) -> list[str]:
+    """Those of a page's blocks that are its main text, given the branches and texts that its host's tree removes, and the
     branches that it finds important beside an article.
 
     A named branch that the tree does not find unimportant stays left out only if the blocks without
     a name hold as much text.
     """
-
-    def landmark(some: Column) -> Column:
-        article, main, other = (length_of(F.filter(some, lambda b: b["marks"] == x)) for x in ("article", "main", ""))
-        return F.filter(
-            some,
-            lambda b: F.when(b["marks"] == "article", 2 * article >= F.greatest(main, other))
-            .when(b["marks"] == "main", main >= article)
-            .otherwise(other >= article + main)
-            | F.array_contains(sides, F.try_element_at(b["chains"], F.lit(-1)).cast("long")).eqNullSafe(True),
-        )
-
-    important = F.filter(blocks, lambda b: ~F.arrays_overlap(b["chains"], removed) & ~F.array_contains(removed, b["owns"]))
-    plain = F.filter(blocks, lambda b: b["named"] == 0)
-    unnamed = length_of(F.filter(important, lambda b: b["named"] == 0))
-    branches = F.array_remove(F.array_distinct(F.transform(important, lambda b: b["named"])), 0)
-    kept = F.filter(branches, lambda x: length_of(F.filter(important, lambda b: b["named"] == x)) > unnamed)
-    left = F.filter(important, lambda b: (b["named"] == 0) | F.array_contains(kept, b["named"]))
-    return F.when(F.size(left) > 0, landmark(left)).when(F.size(plain) > 0, landmark(plain)).otherwise(landmark(blocks))
-
-
-def length_of(blocks: Column) -> Column:
-    return F.aggregate(blocks, F.lit(0).cast("long"), lambda n, b: n + F.length(b["texts"]))
+    gone, beside = set(removed), set(sides)
+    every = range(len(texts))
+    important = [i for i in every if owns[i] not in gone and gone.isdisjoint(chains[i])] if gone else every
+    lengths: Counter[int] = Counter()
+    for i in important:
+        lengths[named[i]] += len(texts[i])
+    left = [i for i in important if not named[i] or lengths[named[i]] > lengths[0]]
+    left = left or [i for i in every if not named[i]] or every
+
+    held: Counter[str] = Counter()
+    for i in left:
+        held[marks[i]] += len(texts[i])
+    article, main, other = held["article"], held["main"], held[""]
+    stays = {"article": 2 * article >= max(main, other), "main": main >= article, "": other >= article + main}
+    return [texts[i] for i in left if stays[marks[i]] or chains[i] and chains[i][-1] in beside]
