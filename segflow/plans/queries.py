@@ -31,6 +31,7 @@ from segflow.plans.workload import (
     order_variants,
     parsed_documents,
     per_session,
+    spread_evenly,
     table,
 )
 from segflow.scratch import new_scratch_dir
@@ -118,7 +119,9 @@ def variant_long_exponents(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<m><a>%1$dE%2$d</a><b c="%1$de+%3$d"/><d><![CDATA[-0.5E%2$d]]></d><t>lot "7E%2$d" held</t><u> 7E00%2$d </u><z>1E0000012</z></m>',
         key, exponent, exponent + 100_000_000,
     )
-    texts = table(spark, sf_dir, "orders").select(key.alias("message_key"), value.alias("value"))
+    texts = spread_evenly(table(spark, sf_dir, "orders").select("o_orderkey")).select(
+        key.alias("message_key"), value.alias("value")
+    )
     return _json(to_variant(texts), "messages")
 
 
@@ -249,13 +252,8 @@ def docs_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Rows dealt evenly before a costly parse."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = _spread(table(spark, sf_dir, "pages")).select(
+    files = spread_evenly(table(spark, sf_dir, "pages")).select(
         "page_id", F.concat(F.lit("/v/page"), "page_id", F.lit(".html")).alias("path"), F.encode("html", "utf-8").alias("content")
     )
     return _html_texts(files)
@@ -280,7 +278,7 @@ def html_mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("page_id") % 5
     head = F.when(kind == 0, F.lit(b"%PDF-1.7 ")).when(kind == 1, F.lit(b"PK\x03\x04")).when(kind == 2, F.lit(b"\0"))
     html = F.encode("html", "utf-8")
-    files = _spread(table(spark, sf_dir, "pages")).select(
+    files = spread_evenly(table(spark, sf_dir, "pages")).select(
         "page_id",
         F.concat(F.lit("/v/page"), "page_id", F.lit(".HTM")).alias("path"),
         F.when(head.isNull(), html).otherwise(F.concat(head, html)).alias("content"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from segflow.plans.queries import request_segments
-from segflow.plans.workload import KEY_STEP, claims_by_message, message_text, order_messages, table
+from segflow.plans.workload import KEY_STEP, claims_by_message, customer_messages, message_text, order_messages, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,3 +37,11 @@ def test_every_line_is_an_occurrence(spark):
 def test_counts_are_taken_before_the_shuffle(spark):
     plan = plan_of(order_messages(spark, SF))
     assert re.search(r"partial_count", plan)
+
+
+def test_texts_are_built_in_as_many_partitions_as_the_session_shuffles_into(spark):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for messages in (order_messages, customer_messages):
+        sizes = messages(spark, SF).groupBy(F.spark_partition_id()).agg(F.count("*")).collect()
+        rows = [r[1] for r in sizes]
+        assert len(rows) == n and max(rows) < 2 * sum(rows) / n
