@@ -13,16 +13,20 @@ from segflow.llm.near_duplicates import near_classes
 from segflow.llm.rank_bpe import decode_documents, encode_documents
 from segflow.llm.repeats import remove_repeats
 from segflow.llm.sharding import shuffled_shards
+from segflow.llm.simhash import simhash_classes
 from segflow.llm.site_style_tree import main_text
 from segflow.llm.tables import table
+from segflow.llm.token_alignment import align_tokens
 from segflow.llm.token_files import read_tokens, write_tokens
 from segflow.llm.toxicity import fit_toxicity, score_toxicity
+from segflow.llm.vector_codes import vector_codes
 from segflow.scratch import new_scratch_dir
 
 SHARDS = 24
 #: Tokenizer files; they must lie at this place on every executor.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +97,22 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE, public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op11_simhash": op11_simhash,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_alignment": op13_token_alignment,
     "op10_repeats": op10_repeats,
     "op5_chat": op5_chat,
     "op6_main_text": op6_main_text,

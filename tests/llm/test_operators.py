@@ -78,7 +78,7 @@ def plain(rows):
 
 
 def test_queries_are_registered():
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES} == set(range(1, 14))
     assert set(registered.queries()) >= {*queries.QUERIES, "pipeline"} and set(queries.ORACLES) <= set(queries.QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
 
