@@ -20,6 +20,7 @@ from segflow.operators.documents import (
     spread,
     utf8_text,
 )
+from segflow.streaming.generations import replace_rows
 
 
 def documents_to_text(
@@ -71,5 +72,5 @@ def documents_to_text(
 
 
 def replace_table(rows: DataFrame, name: str, provider: str = "parquet") -> None:
-    """Create the table from the rows, or replace it if it exists."""
-    rows.write.format(provider).mode("overwrite").saveAsTable(name)
+    """Create the table from the rows, or swap them in if it exists: readers see the old rows or the new ones, never none or both."""
+    replace_rows(rows, name, provider)

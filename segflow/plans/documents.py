@@ -12,6 +12,7 @@ from segflow.functions.paths import PARSE_EXTENSIONS
 from segflow.operators.documents import Parser, parsable_files, parse_files
 from segflow.sources.files import binary_files
 from segflow.sources.tables import stream_table
+from segflow.streaming.pipelines import Pipeline
 from segflow.streaming.tables import FILE_METADATA_TYPE, Column, StreamTable, packed
 
 # Names of the document datasets.
@@ -29,7 +30,7 @@ DOCUMENT_COLUMNS = (
 )
 
 
-class DocumentPipeline:
+class DocumentPipeline(Pipeline):
     """Ingests every document of a volume and offers the parsed ones as a stream."""
 
     def __init__(self, spark: SparkSession, config: PipelineConfig, **source_options) -> None:

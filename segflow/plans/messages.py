@@ -1,4 +1,4 @@
-"""The six message tables of one file type."""
+"""The message tables of one file type."""
 
 from __future__ import annotations
 
@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
-from segflow.operators.messages import malformed, to_variant
+from segflow.operators.messages import MALFORMED, PARSED, by_outcome
 from segflow.operators.sections import requests, responses, supplemental
 from segflow.sources.files import text_files
 from segflow.sources.tables import stream_table
+from segflow.streaming.outcomes import ERROR, OutcomeStream, Sink
+from segflow.streaming.pipelines import Pipeline
 from segflow.streaming.tables import FILE_METADATA_TYPE, Column, StreamTable, packed
 
 BRONZE_COLUMNS = (
@@ -20,12 +22,13 @@ BRONZE_COLUMNS = (
 )
 
 
-class MessagePipeline:
-    """Text files of one type to text, VARIANT, request, response, supplemental and malformed tables.
+class MessagePipeline(Pipeline):
+    """Text files of one type to text, VARIANT, request, response, supplemental, malformed and failed tables.
 
     Every method starts one append-only stream that stops once it has taken all
     available input. Texts and variants are stored in between, so a message is
-    parsed once however many tables are derived from it.
+    parsed once however many tables are derived from it. A text that makes the
+    parse fail, as one too large for a VARIANT, is set aside with the error.
     """
 
     def __init__(
@@ -51,6 +54,7 @@ class MessagePipeline:
         )
         self.variant = self._derived("bronze_variant", "messages parsed from XML")
         self.malformed = self._derived("bronze_malformed", "texts that are not well-formed, kept as they came")
+        self.failed = self._derived("bronze_failed", "texts that the parse failed on, with its error")
         self.requests = self._derived("bronze_requests", "request segments and fields")
         self.responses = self._derived("bronze_responses", "response segments and fields")
         self.supplemental = self._derived("bronze_supplemental", "supplemental fields")
@@ -72,11 +76,20 @@ class MessagePipeline:
         return self.bronze.append(packed(files, self.config), self.config)
 
     def variant_transform(self) -> StreamingQuery:
-        return self.variant.append(to_variant(stream_table(self.spark, self.bronze.name)), self.config)
+        """Parse each text once, into the tables of variants, of malformed texts, and of texts that cannot be processed."""
+        kept = tuple(c.name for c in BRONZE_COLUMNS if c.name != "value")
+        split = OutcomeStream(
+            self.parse,
+            {PARSED: Sink(self.variant, (*kept, "messages")), MALFORMED: Sink(self.malformed, (*kept, "value"))},
+            self.config,
+            failed=Sink(self.failed, (*kept, "value", ERROR)),
+            key=("transaction_file_source_id",),
+        )
+        return split.append(stream_table(self.spark, self.bronze.name))
 
-    def quarantine(self) -> StreamingQuery:
-        """Texts that gave no VARIANT; each is checked when it arrives, not on every look."""
-        return self.malformed.append(malformed(stream_table(self.spark, self.bronze.name)), self.config)
+    def parse(self, texts: DataFrame) -> DataFrame:
+        """Texts to parsed and malformed rows; a subclass may parse otherwise."""
+        return by_outcome(texts)
 
     def extract_requests(self) -> StreamingQuery:
         return self.requests.append(requests(self._variants(), keep_messages=self.keep_messages), self.config)
@@ -91,13 +104,13 @@ class MessagePipeline:
         """Starters of the streams; those of one stage only need the stages before."""
         return [
             [self.stream_ingest],
-            [self.variant_transform, self.quarantine],
+            [self.variant_transform],
             [self.extract_requests, self.extract_responses, self.extract_supplemental],
         ]
 
     def tables(self) -> list[StreamTable]:
         """All tables, dependents first."""
-        return [self.supplemental, self.responses, self.requests, self.malformed, self.variant, self.bronze]
+        return [self.supplemental, self.responses, self.requests, self.failed, self.malformed, self.variant, self.bronze]
 
 
 def message_pipelines(spark: SparkSession, config: PipelineConfig, **options) -> list[MessagePipeline]:

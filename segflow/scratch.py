@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from segflow.storage import Storage
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names; where it names none, a local folder, in local mode only."""
@@ -29,13 +31,9 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> None:
     """Delete all working folders of this session; tables stored in them can no longer be read."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    Storage(spark).delete(_session_root(spark))
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """Path with the scheme of the cluster's default file system filled in."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    p = hadoop.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(p).toString()
+    return Storage(spark).qualified(path)

@@ -21,22 +21,27 @@ class RefreshError(RuntimeError):
 def refresh(*pipelines, full: bool = False, at_once: int = STREAMS_AT_ONCE) -> None:
     """Bring all tables of the pipelines up to date.
 
-    Incremental: each stream reads what arrived since its checkpoint. Full: the
-    tables are dropped first, which also retires their checkpoints, and every
-    file still in the landing area is read again. Streams of one stage run side
-    by side, ``at_once`` of them, across pipelines too, so many small file types
-    share the cluster. Failures, to start as well as later, are raised together
-    as RefreshError once all streams of their stage have ended; later stages are
-    not started then.
+    Incremental: each stream reads what arrived since its checkpoint. Full:
+    every file still in the landing area is read again, into new generations of
+    the tables, which take the place of the old ones when all are complete. The
+    tables can be read all the while, and stay as they are if a stream fails.
+    Streams of one stage run side by side, ``at_once`` of them, across pipelines
+    too, so many small file types share the cluster. Failures, to start as well
+    as later, are raised together as RefreshError once all streams of their
+    stage have ended; later stages are not started then.
     """
+    fed = pipelines
     if full:
-        for pipeline in pipelines:
-            for table in pipeline.tables():
-                table.drop(pipeline.spark)
-    for stage in zip_longest(*(pipeline.stages() for pipeline in pipelines), fillvalue=()):
+        fed = [pipeline.beside() for pipeline in pipelines]
+        for table in (table for pipeline in fed for table in pipeline.tables()):
+            table.drop(pipelines[0].spark)  # what a failed refresh left
+    for stage in zip_longest(*(pipeline.stages() for pipeline in fed), fillvalue=()):
         failures = run_streams([start for starters in stage for start in starters], at_once)
         if failures:
             raise RefreshError(failures)
+    if full:
+        for pipeline, built in zip(pipelines, fed):
+            pipeline.take_over(built)
 
 
 def run_streams(starters: list, at_once: int) -> list[tuple[str, Exception]]:
@@ -47,8 +52,9 @@ def run_streams(starters: list, at_once: int) -> list[tuple[str, Exception]]:
         name = getattr(start, "__qualname__", repr(start))
         try:
             query = start()
-            name = query.name or name
-            query.awaitTermination()
+            if query is not None:  # None: the work is done already
+                name = query.name or name
+                query.awaitTermination()
         except Exception as failure:  # every stream is reported, whatever another one does
             failures.append((name, failure))
 

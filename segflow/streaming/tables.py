@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from segflow.config import PipelineConfig
+from segflow.storage import Storage
+from segflow.streaming import generations
 
 # The struct Spark's file sources keep about each file.
 FILE_METADATA_TYPE = (
@@ -16,8 +19,6 @@ FILE_METADATA_TYPE = (
     "file_block_length: BIGINT, file_modification_time: TIMESTAMP>"
 )
 
-_GENERATION = "segflow.generation"
-
 
 @dataclass(frozen=True)
 class Column:
@@ -40,52 +41,95 @@ class Column:
 
 @dataclass(frozen=True)
 class StreamTable:
-    """A table declared by its columns, or by the query that feeds it if it has none."""
+    """A table declared by its columns, or by the query that feeds it if it has none.
+
+    Its rows lie in a folder of their generation, after which the checkpoint of
+    the stream that feeds it is named too. ``home`` is the name of the table
+    whose generations these are, where it differs from the table's own.
+    """
 
     name: str
     columns: tuple[Column, ...] = ()
     comment: str = ""
     primary_key: str | None = None
     cluster_by: tuple[str, ...] = ()
+    home: str | None = None
 
     def append(self, rows: DataFrame, config: PipelineConfig) -> StreamingQuery:
         """Start appending all available rows; a rerun continues where the last one ended."""
         spark = rows.sparkSession
-        self._create(spark, rows, config)
-        if self.columns:
-            rows = rows.selectExpr(*[f"CAST(`{c.name}` AS {c.sql_type}) AS `{c.name}`" for c in self.columns])
-        checkpoint = f"{config.checkpoint_dir(spark)}/{self.name}/{self._generation(spark)}"
+        self.create(spark, rows.schema, config)
         return (
-            rows.writeStream.format(config.table_format)
+            self.declared(rows)
+            .writeStream.format(config.table_format)
             .outputMode("append")
             .queryName(f"{self.name}_{uuid.uuid4().hex[:8]}")
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", self.checkpoint(spark, config))
             .trigger(availableNow=True)
             .toTable(self.name)
         )
 
-    def drop(self, spark: SparkSession) -> None:
-        """Forget the rows and, with the generation, the progress made."""
-        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
-    def _create(self, spark: SparkSession, rows: DataFrame, config: PipelineConfig) -> None:
-        columns = self.columns or [Column(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
-        properties = {**config.properties(), _GENERATION: uuid.uuid4().hex}
+    def declared(self, rows: DataFrame) -> DataFrame:
+        """The rows with the declared columns and types, if there are any."""
+        if not self.columns:
+            return rows
+        return rows.selectExpr(*[f"CAST(`{c.name}` AS {c.sql_type}) AS `{c.name}`" for c in self.columns])
+
+    def create(self, spark: SparkSession, schema: StructType, config: PipelineConfig, location: str | None = None) -> None:
+        """Make the table if it does not exist, with a first generation or with the rows at a location."""
+        if spark.catalog.tableExists(self.name):
+            return
+        columns = self.columns or [Column(f.name, f.dataType.simpleString()) for f in schema.fields]
+        properties = config.properties()
         if self.primary_key:
             properties["primary_key"] = self.primary_key
         listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
         clustering = f"CLUSTER BY ({', '.join(self.cluster_by)}) " if self.cluster_by else ""
+        if location is None:
+            location = generations.new_location(spark, self.home or self.name)
+            Storage(spark).make_folder(location)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(c.ddl() for c in columns)}) "
-            f"USING {config.table_format} {clustering}COMMENT {_quoted(self.comment)} TBLPROPERTIES ({listed})"
+            f"USING {config.table_format} {clustering}COMMENT {_quoted(self.comment)} TBLPROPERTIES ({listed}) "
+            f"LOCATION {_quoted(location)}"
         )
 
-    def _generation(self, spark: SparkSession) -> str:
-        """Id of this incarnation of the table; its checkpoint belongs to it alone."""
-        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
-        if _GENERATION not in properties:
-            raise ValueError(f"{self.name} was not made as a stream table: it has no {_GENERATION}")
-        return properties[_GENERATION]
+    def location(self, spark: SparkSession) -> str:
+        return generations.location(spark, self.name)
+
+    def checkpoint(self, spark: SparkSession, config: PipelineConfig) -> str:
+        """Where the stream that feeds this generation of the table keeps its progress."""
+        found = generations.generation(spark, self.name)
+        if found is None:
+            raise ValueError(f"{self.name} was not made as a stream table: its rows have no generation")
+        return f"{self._checkpoints(spark, config)}/{found}"
+
+    def _checkpoints(self, spark: SparkSession, config: PipelineConfig) -> str:
+        return f"{config.checkpoint_dir(spark)}/{self.home or self.name}"
+
+    def drop(self, spark: SparkSession) -> None:
+        """Forget the rows of all generations."""
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if self.home is None:
+            Storage(spark).delete(generations.table_folder(spark, self.name))
+
+    def beside(self) -> StreamTable:
+        """A table of another name for the next generation of this one's rows."""
+        return replace(self, name=f"{self.name}__next", home=self.name)
+
+    def take_over(self, built: StreamTable, spark: SparkSession, config: PipelineConfig) -> None:
+        """Make the rows built beside this table its own, in one change, and forget the other name.
+
+        Checkpoints of generations that are gone go too.
+        """
+        new = built.location(spark)
+        if spark.catalog.tableExists(self.name):
+            kept = {generations.generation(spark, self.name), new.rpartition("/")[2]}
+            generations.point_to(spark, self.name, new)
+            generations.remove_generations(spark, self._checkpoints(spark, config), kept)
+        else:
+            self.create(spark, spark.table(built.name).schema, config, new)
+        spark.sql(f"DROP TABLE {built.name}")
 
 
 def packed(files: DataFrame, config: PipelineConfig) -> DataFrame:

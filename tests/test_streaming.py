@@ -1,17 +1,24 @@
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from samples import FILLED, REPEATED, SINGLE
 from segflow import DocumentPipeline, MessagePipeline, refresh
-from segflow.operators.messages import malformed, to_variant
+from segflow.operators.messages import MALFORMED, PARSED, by_outcome, malformed, to_variant
 from segflow.operators.sections import requests, responses, supplemental
+from segflow.plans.document_text import replace_table
 from segflow.plans.messages import message_pipelines
 from segflow.plans.workload import line_parser
 from segflow.sources.tables import stream_table, stream_table_sql
+from segflow.storage import Storage
+from segflow.streaming import generations
+from segflow.streaming.outcomes import OutcomeStream, Sink
 from segflow.streaming.refresh import RefreshError
 from segflow.streaming.tables import StreamTable
 
@@ -125,7 +132,7 @@ def test_file_types_are_independent(spark, pipeline_config):
     refresh(*pipelines)
     assert [counts(spark, p) for p in pipelines] == [(3, 3, 132, 87, 21), (1, 1, 44, 34, 7)]
     assert "messages" not in spark.table(pipelines[0].requests.name).columns
-    stored = Path(pipeline_config.volumes_root.removeprefix("file://")) / "tables" / "a_bronze"
+    stored = Path(pipelines[0].bronze.location(spark).removeprefix("file:"))
     assert len([f for f in os.listdir(stored) if f.endswith(".parquet")]) == 1
 
 
@@ -217,3 +224,176 @@ def test_a_table_of_other_origin_is_refused(spark, pipeline_config):
     spark.sql(f"CREATE TABLE {pipeline.bronze.name} (value STRING) USING parquet")
     with pytest.raises(RefreshError, match="not made as a stream table"):
         refresh(pipeline)
+
+
+def test_one_pass_feeds_the_parsed_and_the_malformed(spark, pipeline_config):
+    for i in range(6):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE if i % 3 else SINGLE[:-3])
+    pipeline = MessagePipeline(spark, pipeline_config, "claims", maxFilesPerTrigger=2)
+    pipeline.stream_ingest().awaitTermination()
+    query = pipeline.variant_transform()
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 6  # bronze is read once
+    rows = spark.table(pipeline.variant.name)
+    assert rows.columns == ["transaction_file_source_id", "file_metadata", "ingest_time", "messages"]
+    assert (rows.count(), rows.filter("messages IS NULL").count()) == (6, 2)
+    assert [r["value"] for r in spark.table(pipeline.malformed.name).collect()] == [SINGLE[:-3]] * 2
+    assert spark.table(pipeline.failed.name).count() == 0
+    plan = plan_of(by_outcome(spark.table(pipeline.bronze.name)))
+    assert plan.count("from_xml") == plan_of(to_variant(spark.table(pipeline.bronze.name))).count("from_xml")
+
+
+class Poisoned(MessagePipeline):
+    """A parse that fails for texts with a mark."""
+
+    def parse(self, texts):
+        poison = F.when(F.col("value").contains("POISON"), F.raise_error("too much for the parser").cast("string"))
+        return super().parse(texts.withColumn("value", F.coalesce(poison, F.col("value"))))
+
+
+def test_texts_that_make_the_parse_fail_are_set_aside(spark, pipeline_config):
+    for i in range(40):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE.replace("<Vendor>", "<Vendor>POISON ") if i in (7, 23) else SINGLE)
+    drop_in(pipeline_config, "bad.xml", SINGLE[:-3])
+    pipeline = Poisoned(spark, pipeline_config, "claims", keep_messages=False)
+    refresh(pipeline)
+    refresh(pipeline)
+    failed = spark.table(pipeline.failed.name)
+    assert sorted(r[0] for r in failed.select("file_metadata.file_name").collect()) == ["23.xml", "7.xml"]
+    assert all("too much for the parser" in r["error"] and "POISON" in r["value"] for r in failed.collect())
+    assert counts(spark, pipeline)[:3] == (41, 39, 38 * 44 + 1)
+    assert spark.table(pipeline.malformed.name).count() == 1
+    drop_in(pipeline_config, "later.xml", SINGLE)
+    refresh(pipeline)
+    assert counts(spark, pipeline)[:2] == (42, 40) and spark.table(pipeline.failed.name).count() == 2
+
+
+def test_a_parser_that_fails_for_many_texts_fails_the_batch(spark, pipeline_config):
+    for i in range(6):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE.replace("<Vendor>", "<Vendor>POISON "))
+    pipeline = MessagePipeline(spark, pipeline_config, "claims")
+    pipeline.stream_ingest().awaitTermination()
+    kept = ("transaction_file_source_id", "value")
+    stream = OutcomeStream(
+        Poisoned(spark, pipeline_config, "claims").parse,
+        {PARSED: Sink(pipeline.variant, (kept[0], "messages")), MALFORMED: Sink(pipeline.malformed, kept)},
+        pipeline_config,
+        failed=Sink(pipeline.failed, (*kept, "error")),
+        key=kept[:1],
+        failures_at_most=3,
+    )
+    with pytest.raises(StreamingQueryException, match="too much for the parser"):
+        stream.append(stream_table(spark, pipeline.bronze.name)).awaitTermination()
+    assert [spark.table(t.name).count() for t in (pipeline.variant, pipeline.malformed, pipeline.failed)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("stop", ["before the mark", "while files are moved"])
+def test_a_batch_that_is_cut_short_reaches_its_tables_once(spark, pipeline_config, monkeypatch, stop):
+    for i in range(9):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE if i % 3 else SINGLE[:-3])
+    pipeline = MessagePipeline(spark, pipeline_config, "claims")
+    pipeline.stream_ingest().awaitTermination()
+    done = []
+
+    def broken(self, *paths):
+        if stop == "before the mark" or done:
+            raise OSError("the driver is gone")
+        done.append(paths)
+        return move(self, *paths)
+
+    move = Storage.move
+    with monkeypatch.context() as patched:
+        patched.setattr(Storage, "touch" if stop == "before the mark" else "move", broken)
+        with pytest.raises(StreamingQueryException):
+            pipeline.variant_transform().awaitTermination()
+    pipeline.variant_transform().awaitTermination()
+    pipeline.variant_transform().awaitTermination()
+    found = spark.table(pipeline.variant.name).groupBy("transaction_file_source_id").count().collect()
+    assert len(found) == 9 and {r["count"] for r in found} == {1} and spark.table(pipeline.malformed.name).count() == 3
+
+
+def read_while(work, read):
+    """What `read` returned, again and again, while `work` ran; no reading may fail."""
+    seen, over = [], threading.Event()
+
+    def loop():
+        while not over.is_set():
+            seen.append(read())
+
+    with ThreadPoolExecutor(1) as pool:
+        reading = pool.submit(loop)
+        try:
+            work()
+        finally:
+            over.set()
+        reading.result()
+    return seen
+
+
+def test_a_table_can_be_read_while_it_is_replaced(spark, pipeline_config):
+    name = pipeline_config.table("texts")
+
+    def rows(version, n):
+        return spark.range(n).select(F.lit(version).alias("version"), "id").repartition(3)
+
+    replace_table(rows(0, 100), name)
+
+    def replace_often():
+        for version in range(1, 9):
+            replace_table(rows(version, 100 + version), name)
+
+    def read():
+        return tuple(spark.table(name).agg(F.min("version"), F.max("version"), F.count("*")).first())
+
+    seen = read_while(replace_often, read)
+    assert all(low == high and n == 100 + low for low, high, n in seen) and read() == (8, 8, 108)
+    folder = Path(generations.table_folder(spark, name).removeprefix("file:"))
+    assert len([f for f in os.listdir(folder) if f.startswith("g-")]) == 2
+    # From the table itself, with one column more and one less.
+    replace_table(spark.table(name).select("id", F.lit("x").alias("note")), name)
+    assert spark.table(name).columns == ["version", "id", "note"]
+    assert spark.table(name).filter("version IS NULL AND note = 'x'").count() == 108
+    with pytest.raises(ValueError, match="type"):
+        replace_table(spark.range(1).select(F.lit("a").alias("id")), name)
+    with pytest.raises(Exception, match="no luck"):
+        replace_table(spark.table(name).withColumn("note", F.raise_error("no luck").cast("string")), name)
+    assert spark.table(name).count() == 108
+
+
+def test_tables_can_be_read_during_a_full_refresh(spark, pipeline_config):
+    for i in range(5):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE)
+    pipeline = MessagePipeline(spark, pipeline_config, "claims", keep_messages=False)
+    refresh(pipeline)
+    drop_in(pipeline_config, "5.xml", SINGLE)
+
+    def work():
+        refresh(pipeline, full=True)
+        refresh(pipeline, full=True)
+
+    seen = read_while(work, lambda: counts(spark, pipeline))
+    assert {n for n, *_ in seen} <= {5, 6} and {r[2] for r in seen} <= {5 * 44, 6 * 44}
+    assert counts(spark, pipeline) == (6, 6, 264, 174, 42)
+    assert not [t.name for t in spark.catalog.listTables(pipeline_config.schema) if t.name.endswith("__next")]
+    drop_in(pipeline_config, "6.xml", SINGLE)
+    refresh(pipeline)
+    assert counts(spark, pipeline)[0] == 7 and counts(spark, pipeline)[2] == 7 * 44
+
+
+def test_a_full_refresh_that_fails_leaves_the_tables_as_they_are(spark, pipeline_config):
+    drop_in(pipeline_config, "a.xml", SINGLE)
+    pipeline = MessagePipeline(spark, pipeline_config, "claims", keep_messages=False)
+    refresh(pipeline)
+
+    class Failing(MessagePipeline):
+        def extract_requests(self):
+            raise OSError("no luck")
+
+    with pytest.raises(RefreshError):
+        refresh(Failing(spark, pipeline_config, "claims", keep_messages=False), full=True)
+    assert counts(spark, pipeline) == (1, 1, 44, 29, 7)
+    drop_in(pipeline_config, "b.xml", SINGLE)
+    refresh(pipeline)
+    assert counts(spark, pipeline) == (2, 2, 88, 58, 14)
+    refresh(pipeline, full=True)
+    assert counts(spark, pipeline) == (2, 2, 88, 58, 14)
