@@ -23,6 +23,10 @@ class PipelineConfig:
     ``checkpoint_root`` must be on storage every executor reaches and defaults
     to the folder named by ``spark.checkpoint.dir``. ``ingest_partitions`` packs
     the many small files of an ingest batch into that many output files.
+
+    ``ledger`` makes ingest keep the files it has read as rows of a ledger, not
+    as a list on the driver; with ``newest_folders`` it then only looks into the
+    so many folders below the landing path whose names come last.
     """
 
     catalog: str
@@ -35,6 +39,8 @@ class PipelineConfig:
     checkpoint_root: str | None = None
     table_format: str = "parquet"
     ingest_partitions: int | None = None
+    ledger: bool = False
+    newest_folders: int | None = None
     table_properties: dict[str, str] = field(default_factory=dict)
 
     @classmethod

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
@@ -48,9 +49,14 @@ class DocumentPipeline(Pipeline):
     def __repr__(self) -> str:
         return f"DocumentPipeline(config={self.config!r})"
 
-    def stream_ingest(self) -> StreamingQuery:
-        files = binary_files(self.spark, self.config.landing_path(), **self.source_options)
-        return self.documents.append(packed(files, self.config), self.config)
+    def stream_ingest(self) -> StreamingQuery | None:
+        """Read new files; by the ledger, if the config says so, and then all is done on return."""
+        path = self.config.landing_path()
+        if self.config.ledger:
+            facts = {"path": F.col("path"), "modificationTime": F.col("modified"), "length": F.col("size")}
+            self.by_ledger(self.documents, path, content=F.col("content"), id_column="spec_file_source_id", extra=facts)
+            return None
+        return self.documents.append(packed(binary_files(self.spark, path, **self.source_options), self.config), self.config)
 
     def parse_documents(self, parser: Parser, extensions: Sequence[str] = PARSE_EXTENSIONS) -> str:
         """Register the streaming view of parsed documents and return its name."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
@@ -71,9 +72,14 @@ class MessagePipeline(Pipeline):
     def _variants(self) -> DataFrame:
         return stream_table(self.spark, self.variant.name)
 
-    def stream_ingest(self) -> StreamingQuery:
-        files = text_files(self.spark, self.config.landing_path(self.file_type), **self.source_options)
-        return self.bronze.append(packed(files, self.config), self.config)
+    def stream_ingest(self) -> StreamingQuery | None:
+        """Read new files; by the ledger, if the config says so, and then all is done on return."""
+        path = self.config.landing_path(self.file_type)
+        if self.config.ledger:
+            text = F.col("content").cast("string")
+            self.by_ledger(self.bronze, path, content=text, id_column="transaction_file_source_id")
+            return None
+        return self.bronze.append(packed(text_files(self.spark, path, **self.source_options), self.config), self.config)
 
     def variant_transform(self) -> StreamingQuery:
         """Parse each text once, into the tables of variants, of malformed texts, and of texts that cannot be processed."""

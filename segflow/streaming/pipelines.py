@@ -5,6 +5,7 @@ from __future__ import annotations
 import copy
 
 from segflow.config import PipelineConfig
+from segflow.sources.ledger import LedgerIngest
 from segflow.streaming.tables import StreamTable
 
 
@@ -21,6 +22,10 @@ class Pipeline:
         """All tables, dependents first."""
         raise NotImplementedError
 
+    def by_ledger(self, table: StreamTable, path: str, **columns) -> None:
+        """Append the landed files that the table's ledger does not hold."""
+        LedgerIngest(self.spark, self.config, table, path, newest=self.config.newest_folders, **columns).run()
+
     def beside(self) -> Pipeline:
         """The same pipeline, feeding new generations of all its tables under names of their own."""
         twin = copy.copy(self)

@@ -59,12 +59,15 @@ class StreamTable:
         """Start appending all available rows; a rerun continues where the last one ended."""
         spark = rows.sparkSession
         self.create(spark, rows.schema, config)
+        checkpoint = self.checkpoint(spark, config)
+        if Storage(spark).exists(f"{checkpoint}/ledger"):
+            raise ValueError(f"{self.name} is fed by a ledger; a full refresh lets a stream feed it")
         return (
             self.declared(rows)
             .writeStream.format(config.table_format)
             .outputMode("append")
             .queryName(f"{self.name}_{uuid.uuid4().hex[:8]}")
-            .option("checkpointLocation", self.checkpoint(spark, config))
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .toTable(self.name)
         )
@@ -75,8 +78,11 @@ class StreamTable:
             return rows
         return rows.selectExpr(*[f"CAST(`{c.name}` AS {c.sql_type}) AS `{c.name}`" for c in self.columns])
 
-    def create(self, spark: SparkSession, schema: StructType, config: PipelineConfig, location: str | None = None) -> None:
-        """Make the table if it does not exist, with a first generation or with the rows at a location."""
+    def create(self, spark: SparkSession, schema: StructType | None, config: PipelineConfig, location: str | None = None) -> None:
+        """Make the table if it does not exist, with a first generation or with the rows at a location.
+
+        The schema is only needed for a table that declares no columns.
+        """
         if spark.catalog.tableExists(self.name):
             return
         columns = self.columns or [Column(f.name, f.dataType.simpleString()) for f in schema.fields]
