@@ -148,6 +148,27 @@ RAW = """CASE WHEN NOT parsed THEN NULL
 LINES = "CAST(to_json(list_transform(string_split(text, chr(10)), lambda line: {'content': line})) AS VARCHAR) AS lines"
 FOLDER = "'/v/folder' || (doc_id % 7) || '.pdf'"
 
+# The CRC-32 of a path of ASCII characters, bit by bit.
+CRC = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(path, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT)] || [0, 0, 0, 0, 0, 0, 0]),
+      lambda bits, round: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)))"""
+
+# Contents of all documents of a folder by document and line; a chunk holds those that start in its 64 KiB.
+CHUNKS = f"""{FILES},
+line AS (
+  SELECT doc_id, path, idx, parts[idx] AS part FROM (
+    SELECT doc_id, {FOLDER} AS path, string_split(text, chr(10)) AS parts,
+           unnest(generate_series(1, len(string_split(text, chr(10))))) AS idx
+    FROM file WHERE parsed AND NOT failed)),
+placed AS (
+  SELECT *, coalesce(sum(strlen(part) + 2) OVER (
+    PARTITION BY path ORDER BY doc_id, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 65536 AS chunk
+  FROM line),
+chunk AS (
+  SELECT path, CAST(chunk AS BIGINT) AS chunk, string_agg(part, chr(10) || chr(10) ORDER BY doc_id, idx) AS text
+  FROM placed GROUP BY 1, 2)"""
+
 
 def _orders(select: str, *more: str) -> str:
     return f"WITH {ORDERS}{''.join(more)} {select}"
@@ -250,6 +271,15 @@ ORACLES = {
         f"SELECT path, count(*) AS n_rows FROM (SELECT {FOLDER} AS path FROM file ORDER BY 1 LIMIT 50) GROUP BY 1"
     ),
     "docs_buckets": _files("SELECT path, sha256(text) AS content_hash, TRUE AS in_bucket FROM file"),
+    "docs_by_path": _files(f"SELECT path, sha256(text) AS content_hash, {CRC} % 16 AS bucket FROM file"),
+    "docs_by_bytes": """
+        SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '/v/hot.pdf' ELSE '/v/folder' || (doc_id % 7) || '.pdf' END AS path,
+               CAST(strlen(text) AS INTEGER) AS n_bytes, TRUE AS even
+        FROM documents""",
+    "docs_path_chunks": f"""WITH {CHUNKS} SELECT path, chunk, text FROM chunk""",
+    "docs_by_reference": f"""WITH {CHUNKS}
+        SELECT doc_id, {FOLDER} AS path, {RAW} AS raw_parsed, n_chunks FROM (SELECT *, {LINES} FROM file WHERE parsed)
+        JOIN (SELECT path, count(*) AS n_chunks FROM chunk GROUP BY 1) c ON c.path = {FOLDER}""",
     "html_mixed_bytes": """
         SELECT page_id, page_id % 5 > 2 AS has_text, CASE page_id % 5
           WHEN 0 THEN 'ValueError: not HTML but PDF' WHEN 1 THEN 'ValueError: not HTML but ZIP or Office'

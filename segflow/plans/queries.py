@@ -18,7 +18,9 @@ from segflow.functions.paths import file_extension as extension_of
 from segflow.functions.variants import is_readable_xml, member, member_list, member_text, xml_to_variant
 from segflow.operators import documents as docs
 from segflow.operators import quality
+from segflow.operators.distribution import distribute_by_path, distribute_by_weight
 from segflow.operators.messages import to_variant
+from segflow.operators.path_texts import rows_by_reference, text_chunks
 from segflow.operators.sections import requests, responses, supplemental
 from segflow.plans.document_text import documents_to_text, replace_table
 from segflow.plans.documents import DocumentPipeline
@@ -259,6 +261,39 @@ def html_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html_texts(files)
 
 
+def docs_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file in the partition that its path's checksum names."""
+    files = distribute_by_path(document_files(spark, sf_dir), BUCKETS)
+    return files.select("path", F.sha2("content", 256).alias("content_hash"), F.spark_partition_id().cast("long").alias("bucket"))
+
+
+def docs_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of few paths, one of which holds a third of all rows, dealt by their bytes; whether buckets came out even."""
+    hot = F.when(F.col("doc_id") % 3 == 0, "/v/hot.pdf").otherwise(F.col("path"))
+    files = _in_folders(document_files(spark, sf_dir)).withColumn("path", hot)
+    dealt = distribute_by_weight(files, F.octet_length("content"), BUCKETS).select(
+        "doc_id", "path", F.octet_length("content").alias("n_bytes"), F.spark_partition_id().alias("bucket")
+    )
+    sums = dealt.groupBy("bucket").agg(F.sum("n_bytes").alias("bytes"), F.max("n_bytes").alias("largest"))
+    bound = F.greatest(1.1 * F.sum("bytes") / BUCKETS, F.max("largest"))
+    even = sums.agg((F.max("bytes") <= bound).alias("even"))
+    return dealt.drop("bucket").crossJoin(F.broadcast(even))
+
+
+CHUNK = 1 << 16
+
+
+def docs_path_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of paths that many documents share, in order, in chunks."""
+    return text_chunks(_in_folders(parsed_documents(spark, sf_dir)), ("doc_id",), CHUNK)
+
+
+def docs_by_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a path beside the number of its text's chunks."""
+    parsed = _in_folders(parsed_documents(spark, sf_dir))
+    return _json(rows_by_reference(parsed, text_chunks(parsed, ("doc_id",), CHUNK), "doc_id"), "raw_parsed")
+
+
 HTML_EXTENSIONS = (".html", ".htm")
 
 
@@ -548,6 +583,10 @@ QUERIES = {
         docs_topn_repeated,
         docs_texts_by_path,
         docs_buckets,
+        docs_by_path,
+        docs_by_bytes,
+        docs_path_chunks,
+        docs_by_reference,
         html_mixed_bytes,
         malformed_stream,
         specification_text,

@@ -108,3 +108,26 @@ def test_constraint_checks(spark):
     rows = spark.createDataFrame([("a", 1), ("a", None), ("b", 2), (None, 3)], "id string, n int")
     assert null_counts(rows, "id", "n").first().asDict() == {"id_nulls": 1, "n_nulls": 1}
     assert [tuple(r) for r in duplicate_keys(rows, "id").collect()] == [("a", 2)]
+
+
+def test_a_deployment_is_run_from_its_conf(spark, pipeline_config):
+    from pathlib import Path
+
+    from samples import SINGLE
+    from segflow.__main__ import run
+
+    folder = Path(pipeline_config.landing_path("claims").removeprefix("file://"))
+    folder.mkdir(parents=True)
+    (folder / "a.xml").write_text(SINGLE)
+    conf = {"catalog_use": pipeline_config.catalog, "schema_use": pipeline_config.schema, "volume_use": "landing", "file_types": "claims"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        places = {"volumes_root": pipeline_config.volumes_root, "checkpoint_root": pipeline_config.checkpoint_root}
+        run(spark, "messages", **places)
+        run(spark, "documents", full=True, **places)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert spark.table(pipeline_config.table("claims_bronze_requests")).count() == 44
+    assert spark.table(pipeline_config.table("specification_documents")).count() == 1
