@@ -233,6 +233,76 @@ ORACLES = {
                '{"a":"' || o_orderkey || 'E' || e || '","b":{"_c":"' || o_orderkey || 'e+' || (100000000 + e) || '"},"d":"'
                || '-0.5E' || e || '","t":"lot \\"7E' || e || '\\" held","u":"7E00' || e || '","z":1000000000000}' AS messages
         FROM (SELECT o_orderkey, 1000000 + o_orderkey % 9000000 AS e FROM orders)""",
+    "typed_claims": _orders(
+        """SELECT k AS message_key, lpad(CAST(party AS VARCHAR), 12, '0') AS member, CAST(s AS INTEGER) AS pos,
+                  num AS number, p AS item, q AS quantity
+           FROM msg JOIN slot USING (k)"""
+    ),
+    "typed_schema": _orders(
+        """,
+        claim AS (SELECT m.*, slot.* EXCLUDE (k, owner) FROM msg m JOIN slot USING (k)),
+        header AS (
+          SELECT *, coalesce((SELECT max(s) FROM slot WHERE slot.k = msg.k) + 1, 0) AS claims FROM msg),
+        value AS (
+          SELECT 'Supplemental' AS path, k, NULL AS text FROM msg
+          UNION ALL SELECT 'Supplemental/Vendor', k, label FROM msg
+          UNION ALL SELECT 'Supplemental/RecordType', k, 'Claim' FROM msg
+          UNION ALL SELECT 'Supplemental/SwitchTransactionId', k, CAST(k AS VARCHAR) FROM msg
+          UNION ALL SELECT 'Supplemental/Store', k, NULL FROM msg
+          UNION ALL SELECT 'Supplemental/Store/StoreId', k, CAST(party AS VARCHAR) FROM msg
+          UNION ALL SELECT 'Supplemental/Store/State', k, 'MN' FROM msg
+          UNION ALL SELECT 'Supplemental/Drug', k, NULL FROM claim
+          UNION ALL SELECT 'Supplemental/Drug/Units', k || ' ' || s, CAST(q AS VARCHAR) FROM claim
+          UNION ALL SELECT 'NcpdpRequest', k, NULL FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_HD', k, NULL FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_HD/F_102_A2', k, 'D0' FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_HD/F_103_A3', k, 'B1' FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_HD/F_109_A9', k, CAST(claims AS VARCHAR) FROM header
+          UNION ALL SELECT 'NcpdpRequest/S_HD/F_401_D1', k, stamp FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_HD/F_110_AK', k, NULL FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_01', k, NULL FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_01/F_302_C2', k, lpad(CAST(party AS VARCHAR), 12, '0') FROM msg
+          UNION ALL SELECT 'NcpdpRequest/S_05', k, NULL FROM msg WHERE status = 'P'
+          UNION ALL SELECT 'NcpdpRequest/S_07', k, NULL FROM claim
+          UNION ALL SELECT 'NcpdpRequest/S_07/F_402_D2', k || ' ' || s, CAST(num AS VARCHAR) FROM claim
+          UNION ALL SELECT 'NcpdpRequest/S_07/F_407_D7', k || ' ' || s, CAST(p AS VARCHAR) FROM claim
+          UNION ALL SELECT 'NcpdpRequest/S_07/F_442_E7', k || ' ' || s, CAST(q AS VARCHAR) FROM claim
+          UNION ALL SELECT 'NcpdpRequest/S_11', k, NULL FROM claim WHERE r
+          UNION ALL SELECT 'NcpdpRequest/S_11/F_409_D9', k || ' ' || s, CAST(num AS VARCHAR) FROM claim WHERE r
+          UNION ALL SELECT 'NcpdpResponse', k, NULL FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_HD', k, NULL FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_HD/F_102_A2', k, 'D0' FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_HD/F_501_F1', k, 'A' FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_25', k, NULL FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_25/F_524_FO', k, label FROM msg WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_21', k, NULL FROM claim WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_21/F_112_AN', k || ' ' || s, 'R' FROM claim WHERE status <> 'P'
+          UNION ALL SELECT 'NcpdpResponse/S_21/F_526_FQ.1', k || ' ' || s, 'QTY' FROM claim WHERE status <> 'P'),
+        counted AS (
+          SELECT path, k, count(*) AS n, count(*) FILTER (WHERE regexp_matches(text, '^0[0-9]')) AS codes,
+                 bool_or(NOT regexp_matches(text, '^[0-9]+$')) AS is_text
+          FROM value GROUP BY 1, 2)
+        SELECT path, CAST(sum(n) AS BIGINT) AS occurrences, max(n) AS most, CAST(sum(codes) AS BIGINT) AS codes,
+               coalesce(bool_or(is_text), FALSE) AS is_text
+        FROM counted GROUP BY 1"""
+    ),
+    "claims_in_order": _orders(
+        """,
+        counted AS (SELECT m.*, (SELECT count(*) FROM slot WHERE slot.k = m.k) AS claims FROM msg m),
+        claim AS (
+          SELECT k, num, p, q, r, s, s + coalesce(sum(CAST(r AS INT)) OVER (
+            PARTITION BY k ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 3 AS place FROM slot)
+        SELECT k AS message_key, 0 AS claim, 'S_HD' AS segment, '2.1' AS label,
+               '{"F_102_A2":"D0","F_103_A3":"B1","F_109_A9":' || claims || ',"F_110_AK":null,"F_401_D1":"' || stamp || '"}' AS value
+        FROM counted
+        UNION ALL SELECT k, 0, 'S_01', '2.2', '{"F_302_C2":' || party || '}' FROM counted
+        UNION ALL SELECT k, CAST(s + 1 AS INTEGER), 'S_07', '2.' || place,
+               '{"F_402_D2":' || num || ',"F_407_D7":' || p || ',"F_442_E7":' || q || '}' FROM claim WHERE k IN (SELECT k FROM msg)
+        UNION ALL SELECT k, CAST(s + 1 AS INTEGER), 'S_11', '2.' || (place + 1), '{"F_409_D9":' || num || '}'
+        FROM claim WHERE r AND k IN (SELECT k FROM msg)
+        UNION ALL SELECT k, CAST(claims AS INTEGER), 'S_05', '2.' || (3 + claims + (SELECT count(*) FROM slot WHERE slot.k = c.k AND r)), 'null'
+        FROM counted c WHERE status = 'P'"""
+    ),
     "file_extension": _files(
         "SELECT path, CASE doc_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.docx' WHEN 2 THEN '.txt' ELSE '' END "
         "AS extension FROM file"
@@ -311,6 +381,28 @@ ORACLES = {
     "ingest_text_stream": _customers(
         "SELECT grp AS file_type, 'msg' || k || '.xml' AS file_name, strlen(value) AS file_size, value FROM xml", XML
     ),
+    "failed_stream": _customers(
+        """SELECT 'msg' || k || '.xml' AS file_name, CASE WHEN last THEN 'failed' ELSE 'parsed' END AS outcome,
+                  CASE WHEN last THEN value END AS value
+           FROM (SELECT *, k = (SELECT max(k) FROM msg) AS last FROM xml)""",
+        XML,
+    ),
+    "ledger_refresh": _customers(
+        """, stages AS (
+             SELECT which, count(*) FILTER (WHERE status <> 'P') AS n_first,
+                    count(*) FILTER (WHERE status <> 'P' OR k % 5 >= 3) AS n_newest, count(*) AS n_all
+             FROM (SELECT 'bronze' AS which, k, status FROM msg
+                   UNION ALL SELECT 'requests', k, status FROM flat JOIN msg USING (k) WHERE sec = 'req') GROUP BY 1)
+           SELECT step || ' ' || which AS step, n AS n_rows FROM stages,
+           LATERAL (SELECT unnest(['first run', 'no new files', 'newest folders', 'all folders']) AS step,
+                           unnest([n_first, n_first, n_newest, n_all]) AS n)""",
+        FLAT,
+    ),
+    "ingest_file_metadata": _customers(
+        """SELECT grp || '/msg' || k || '.xml' AS path_end, 'msg' || k || '.xml' AS file_name, strlen(value) AS file_size,
+                  CAST(0 AS BIGINT) AS block_start, strlen(value) AS block_length, TRUE AS read_after_change FROM xml""",
+        XML,
+    ),
     "file_source_id": _customers("SELECT count(*) AS n_files, count(*) AS n_ids, count(*) AS n_hex FROM msg"),
     "bronze_constraints": """
         SELECT unnest(['transaction_file_source_id_nulls', 'file_metadata_nulls', 'ingest_time_nulls', 'repeated_ids'])

@@ -6,6 +6,7 @@ compared nor sorted.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,10 +19,12 @@ from segflow.functions.paths import file_extension as extension_of
 from segflow.functions.variants import is_readable_xml, member, member_list, member_text, xml_to_variant
 from segflow.operators import documents as docs
 from segflow.operators import quality
+from segflow.operators.claims import claim_segments
 from segflow.operators.distribution import distribute_by_path, distribute_by_weight
 from segflow.operators.messages import to_variant
 from segflow.operators.path_texts import rows_by_reference, text_chunks
 from segflow.operators.sections import requests, responses, supplemental
+from segflow.operators.typed import learned_schema, path_evidence, typed_message
 from segflow.plans.document_text import documents_to_text, replace_table
 from segflow.plans.documents import DocumentPipeline
 from segflow.plans.messages import MessagePipeline, message_pipelines
@@ -141,6 +144,41 @@ def supplemental_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json(rows.withColumn("message_key", _message_key()).drop("messages"), "value")
 
 
+@per_session
+def _order_schema(spark: SparkSession, sf_dir: str):
+    return learned_schema(path_evidence(order_messages(spark, sf_dir)))
+
+
+def typed_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of messages parsed by the schema that all messages taught: codes whole, segments always lists."""
+    typed = order_messages(spark, sf_dir).select(
+        "message_key", typed_message(F.col("value"), _order_schema(spark, sf_dir)).alias("message")
+    )
+    request = F.col("message.NcpdpRequest")
+    return typed.select(
+        "message_key", request["S_01"]["F_302_C2"].alias("member"), F.posexplode(request["S_07"]).alias("pos", "claim")
+    ).select(
+        "message_key",
+        "member",
+        "pos",
+        F.col("claim.F_402_D2").alias("number"),
+        F.col("claim.F_407_D7").alias("item"),
+        F.col("claim.F_442_E7").alias("quantity"),
+    )
+
+
+def typed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all messages say about each path of their elements."""
+    return path_evidence(order_messages(spark, sf_dir)).select(
+        F.array_join("path", "/").alias("path"), "occurrences", "most", "codes", (F.col("not_numbers") > 0).alias("is_text")
+    )
+
+
+def claims_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request segment with the claim it was written for."""
+    return _json(claim_segments(order_messages(spark, sf_dir), "message_key"), "value")
+
+
 # Documents in batch
 
 
@@ -501,6 +539,67 @@ def refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _steps(spark, _refresh_steps(spark, sf_dir)["full"])
 
 
+def ledger_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in dated folders read by the ledger: all, none again, late ones of the newest folders, late ones of all."""
+    config = _config(spark, "ledger", file_types=("all",), ledger=True)
+    first, late = _waves(spark, sf_dir)
+    folder = F.concat(F.lit("all/2026-01-0"), F.col("message_key") % 5)
+    steps: list[tuple[str, int]] = []
+
+    def step(name: str, newest: int | None = None) -> None:
+        (pipeline,) = message_pipelines(spark, replace(config, newest_folders=newest), keep_messages=False)
+        refresh(pipeline)
+        steps.extend((f"{name} {which}", spark.table(getattr(pipeline, which).name).count()) for which in ("bronze", "requests"))
+
+    _land_messages(first, config, folder)
+    step("first run")
+    step("no new files")
+    _land_messages(late, config, folder)
+    step("newest folders", 2)
+    step("all folders")
+    return _steps(spark, steps)
+
+
+class _StopsAtTheLast(MessagePipeline):
+    """A parse that fails, in the task, for the messages of one key."""
+
+    def __init__(self, *args, key: int, **options) -> None:
+        super().__init__(*args, **options)
+        self.key = key
+
+    def parse(self, texts: DataFrame) -> DataFrame:
+        mark = F.lit(f"<SwitchTransactionId>{self.key}<")
+        stopped = F.when(F.contains("value", mark), F.raise_error(F.lit("more than the parser takes")).cast("string"))
+        return super().parse(texts.withColumn("value", F.coalesce(stopped, "value")))
+
+
+def failed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages but the one that the parse fails on are parsed; that one is set aside with its error."""
+    config = _config(spark, "failing", file_types=("all",))
+    messages = customer_messages(spark, sf_dir)
+    pipeline = _StopsAtTheLast(spark, config, "all", keep_messages=False, key=messages.agg(F.max("message_key")).first()[0])
+    _land_messages(messages, config, F.lit("all"))
+    refresh(pipeline)
+    name = F.col("file_metadata.file_name").alias("file_name")
+    told = F.contains("error", F.lit("more than the parser takes"))
+    failed = spark.table(pipeline.failed.name).select(name, F.when(told, "failed").otherwise("other").alias("outcome"), "value")
+    parsed = spark.table(pipeline.variant.name).select(name, F.lit("parsed").alias("outcome"), F.lit(None).cast("string").alias("value"))
+    return failed.unionAll(parsed)
+
+
+def ingest_file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six facts about each landed file."""
+    meta = F.col("file_metadata")
+    return _all_types(spark, _message_tables(spark, sf_dir), "bronze").select(
+        F.substring_index(meta["file_path"], "/", -2).alias("path_end"),
+        meta["file_name"].alias("file_name"),
+        meta["file_size"].alias("file_size"),
+        meta["file_block_start"].alias("block_start"),
+        meta["file_block_length"].alias("block_length"),
+        (F.col("ingest_time") >= meta["file_modification_time"]).alias("read_after_change"),
+    )
+
+
 @per_session
 def _document_tables(spark: SparkSession, sf_dir: str) -> DocumentPipeline:
     """Every document landed as a file and streamed into the document table."""
@@ -567,6 +666,9 @@ QUERIES = {
         variant_try_cast,
         variant_malformed,
         variant_long_exponents,
+        typed_claims,
+        typed_schema,
+        claims_in_order,
         file_extension,
         docs_route_parsed,
         docs_route_raw,
@@ -589,6 +691,9 @@ QUERIES = {
         docs_by_reference,
         html_mixed_bytes,
         malformed_stream,
+        failed_stream,
+        ledger_refresh,
+        ingest_file_metadata,
         specification_text,
         specification_text_top,
         constraint_violations,
