@@ -8,10 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from segflow.config import PipelineConfig
 from segflow.operators.messages import MALFORMED, PARSED, by_outcome
+from segflow.operators.quality import repeated_keys
 from segflow.operators.sections import requests, responses, supplemental
 from segflow.sources.files import text_files
 from segflow.sources.tables import stream_table
-from segflow.streaming.outcomes import ERROR, OutcomeStream, Sink
+from segflow.streaming.outcomes import ERROR, OUTCOME, OutcomeStream, Sink
 from segflow.streaming.pipelines import Pipeline
 from segflow.streaming.tables import FILE_METADATA_TYPE, Column, StreamTable, packed
 
@@ -30,6 +31,7 @@ class MessagePipeline(Pipeline):
     available input. Texts and variants are stored in between, so a message is
     parsed once however many tables are derived from it. A text that makes the
     parse fail, as one too large for a VARIANT, is set aside with the error.
+    ``check`` adds a stream that reports repeated ids.
     """
 
     def __init__(
@@ -39,12 +41,14 @@ class MessagePipeline(Pipeline):
         file_type: str,
         *,
         keep_messages: bool = True,
+        check: bool = False,
         **source_options,
     ) -> None:
         self.spark = spark
         self.config = config
         self.file_type = file_type
         self.keep_messages = keep_messages
+        self.check = check
         self.source_options = source_options
         self.bronze = StreamTable(
             self._table("bronze"),
@@ -56,6 +60,7 @@ class MessagePipeline(Pipeline):
         self.variant = self._derived("bronze_variant", "messages parsed from XML")
         self.malformed = self._derived("bronze_malformed", "texts that are not well-formed, kept as they came")
         self.failed = self._derived("bronze_failed", "texts that the parse failed on, with its error")
+        self.repeated = self._derived("bronze_repeated", "ids of more than one row")
         self.requests = self._derived("bronze_requests", "request segments and fields")
         self.responses = self._derived("bronze_responses", "response segments and fields")
         self.supplemental = self._derived("bronze_supplemental", "supplemental fields")
@@ -97,6 +102,14 @@ class MessagePipeline(Pipeline):
         """Texts to parsed and malformed rows; a subclass may parse otherwise."""
         return by_outcome(texts)
 
+    def check_keys(self) -> StreamingQuery:
+        """Report ids that occur more than once, as their rows arrive, and count NULLs where the table allows none."""
+        required = tuple(c.name for c in BRONZE_COLUMNS if not c.nullable)
+        repeated = repeated_keys(stream_table(self.spark, self.bronze.name), self.bronze.primary_key, required=required)
+        sink = Sink(self.repeated, (self.bronze.primary_key, "n_rows"))
+        report = OutcomeStream(lambda rows: rows.withColumn(OUTCOME, F.lit("repeated")), {"repeated": sink}, self.config)
+        return report.append(repeated, "update")
+
     def extract_requests(self) -> StreamingQuery:
         return self.requests.append(requests(self._variants(), keep_messages=self.keep_messages), self.config)
 
@@ -110,13 +123,14 @@ class MessagePipeline(Pipeline):
         """Starters of the streams; those of one stage only need the stages before."""
         return [
             [self.stream_ingest],
-            [self.variant_transform],
+            [self.variant_transform, *([self.check_keys] if self.check else [])],
             [self.extract_requests, self.extract_responses, self.extract_supplemental],
         ]
 
     def tables(self) -> list[StreamTable]:
         """All tables, dependents first."""
-        return [self.supplemental, self.responses, self.requests, self.failed, self.malformed, self.variant, self.bronze]
+        checked = [self.repeated] if self.check else []
+        return [*checked, self.supplemental, self.responses, self.requests, self.failed, self.malformed, self.variant, self.bronze]
 
 
 def message_pipelines(spark: SparkSession, config: PipelineConfig, **options) -> list[MessagePipeline]:

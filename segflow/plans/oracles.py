@@ -403,6 +403,11 @@ ORACLES = {
                   CAST(0 AS BIGINT) AS block_start, strlen(value) AS block_length, TRUE AS read_after_change FROM xml""",
         XML,
     ),
+    "repeated_keys_stream": "SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY 1 HAVING count(*) > 1",
+    "docs_clustered": _files(
+        """SELECT path, sha256(text) AS content_hash, TRUE AS few_files FROM file
+           WHERE path BETWEEN '/v/doc00000100' AND '/v/doc00000120' AND strlen(text) <= 5000"""
+    ),
     "file_source_id": _customers("SELECT count(*) AS n_files, count(*) AS n_ids, count(*) AS n_hex FROM msg"),
     "bronze_constraints": """
         SELECT unnest(['transaction_file_source_id_nulls', 'file_metadata_nulls', 'ingest_time_nulls', 'repeated_ids'])

@@ -20,6 +20,7 @@ from segflow.functions.variants import is_readable_xml, member, member_list, mem
 from segflow.operators import documents as docs
 from segflow.operators import quality
 from segflow.operators.claims import claim_segments
+from segflow.operators.clustering import files_between, read_clustered, replace_clustered
 from segflow.operators.distribution import distribute_by_path, distribute_by_weight
 from segflow.operators.messages import to_variant
 from segflow.operators.path_texts import rows_by_reference, text_chunks
@@ -41,7 +42,8 @@ from segflow.plans.workload import (
 )
 from segflow.scratch import new_scratch_dir
 from segflow.sources.landing import land_files
-from segflow.sources.tables import preview, stream_table_sql, table_by_parameter
+from segflow.sources.tables import preview, stream_table, stream_table_sql, table_by_parameter
+from segflow.streaming.outcomes import OUTCOME, OutcomeStream, Sink
 from segflow.streaming.refresh import refresh
 from segflow.streaming.tables import StreamTable
 
@@ -560,6 +562,33 @@ def ledger_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _steps(spark, steps)
 
 
+def repeated_keys_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that order again, told as the orders arrive in two runs, with the number of their orders."""
+    config = _config(spark, "keys")
+    orders = table(spark, sf_dir, "orders")
+    arriving, again = StreamTable(config.table("orders")), StreamTable(config.table("orders_again"))
+    for wave in (F.col("o_orderstatus") != "O", F.col("o_orderstatus") == "O"):
+        wanted = orders.filter(wave).select("o_custkey", "o_orderkey")
+        arriving.create(spark, wanted.schema, config)
+        wanted.write.mode("append").parquet(arriving.location(spark))
+        report = OutcomeStream(
+            lambda rows: rows.withColumn(OUTCOME, F.lit("again")), {"again": Sink(again, ("o_custkey", "n_rows"))}, config
+        )
+        report.append(quality.repeated_keys(stream_table(spark, arriving.name), "o_custkey"), "update").awaitTermination()
+    return spark.table(again.name).groupBy("o_custkey").agg(F.max("n_rows").alias("n_rows"))
+
+
+def docs_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a range of paths from a table clustered by path and size, and whether a part of its files was enough."""
+    name = f"{_scratch_schema(spark, 'clustered')}.document_files"
+    files = document_files(spark, sf_dir).withColumn("n_bytes", F.octet_length("content"))
+    replace_clustered(files, name, ("path", "n_bytes"), 64)
+    limits = {"path": ("/v/doc00000100", "/v/doc00000120"), "n_bytes": (None, 5_000)}
+    found = read_clustered(spark, name, **limits)
+    few = len(files_between(spark, name, limits)) <= 32
+    return found.select("path", F.sha2("content", 256).alias("content_hash"), F.lit(few).alias("few_files"))
+
+
 class _StopsAtTheLast(MessagePipeline):
     """A parse that fails, in the task, for the messages of one key."""
 
@@ -693,6 +722,8 @@ QUERIES = {
         malformed_stream,
         failed_stream,
         ledger_refresh,
+        repeated_keys_stream,
+        docs_clustered,
         ingest_file_metadata,
         specification_text,
         specification_text_top,

@@ -10,6 +10,7 @@ the current one stays until the next replacement, for readers still at work.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -56,18 +57,21 @@ def remove_generations(spark: SparkSession, folder: str, kept: set[str]) -> None
             storage.delete(f"{folder}/{child}")
 
 
-def replace_rows(rows: DataFrame, name: str, provider: str = "parquet") -> None:
+def replace_rows(rows: DataFrame, name: str, provider: str = "parquet", then: Callable[[str], None] | None = None) -> None:
     """Create the table from the rows or, if it exists, swap them in.
 
     The rows may be read from the table itself. New columns are added to the table, columns that
     the rows lack read as NULL from then on; a column whose type changes is refused, before
-    anything is written. Nothing has changed if writing fails.
+    anything is written. Nothing has changed if writing fails. `then` is called with the place of
+    the written rows, before they are swapped in.
     """
     spark = rows.sparkSession
     exists = spark.catalog.tableExists(name)
     added = _added_columns(spark.table(name).schema, rows.schema, name) if exists else []
     new = new_location(spark, name)
     rows.write.format(provider).save(new)
+    if then is not None:
+        then(new)
     if not exists:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
         spark.sql(f"CREATE TABLE {name} ({columns}) USING {provider} LOCATION '{new}'")

@@ -68,7 +68,7 @@ class OutcomeStream:
         self.key = key
         self.failures_at_most = failures_at_most
 
-    def append(self, rows: DataFrame) -> StreamingQuery:
+    def append(self, rows: DataFrame, output_mode: str = "append") -> StreamingQuery:
         """Start appending all available rows; a rerun continues where the last one ended."""
         spark = rows.sparkSession
         schema = self.transform(rows)
@@ -82,6 +82,7 @@ class OutcomeStream:
             rows.writeStream.foreachBatch(lambda batch, number: self._take(spark, first.location(spark), batch, number))
             .queryName(f"{first.name}_{uuid.uuid4().hex[:8]}")
             .option("checkpointLocation", first.checkpoint(spark, self.config))
+            .outputMode(output_mode)
             .trigger(availableNow=True)
             .start()
         )

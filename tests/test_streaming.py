@@ -12,6 +12,7 @@ from samples import FILLED, REPEATED, SINGLE
 from segflow import DocumentPipeline, MessagePipeline, refresh
 from segflow.operators.messages import MALFORMED, PARSED, by_outcome, malformed, to_variant
 from segflow.operators.sections import requests, responses, supplemental
+from segflow.operators.quality import repeated_keys
 from segflow.plans.document_text import replace_table
 from segflow.plans.messages import message_pipelines
 from segflow.plans.workload import line_parser
@@ -397,3 +398,34 @@ def test_a_full_refresh_that_fails_leaves_the_tables_as_they_are(spark, pipeline
     assert counts(spark, pipeline) == (2, 2, 88, 58, 14)
     refresh(pipeline, full=True)
     assert counts(spark, pipeline) == (2, 2, 88, 58, 14)
+
+
+def test_keys_are_checked_as_rows_arrive(spark, pipeline_config):
+    for i in range(4):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE)
+    pipeline = MessagePipeline(spark, pipeline_config, "claims", check=True, keep_messages=False)
+    refresh(pipeline)
+    repeated = spark.table(pipeline.repeated.name)
+    assert repeated.columns == ["transaction_file_source_id", "n_rows"] and repeated.count() == 0
+    # Rows of known and of new keys that come into the table by another way.
+    known = spark.table(pipeline.bronze.name).limit(1)
+    other = StreamTable(pipeline_config.table("other"))
+    copies = known.unionAll(known.withColumn("transaction_file_source_id", F.lit("new"))).unionAll(known)
+    other.create(spark, copies.schema, pipeline_config)
+    folder = other.location(spark)
+    found = []
+    for rows in (known, copies, copies.withColumn("ingest_time", F.lit(None).cast("timestamp")).limit(1)):
+        rows.write.mode("append").parquet(folder)
+        again = repeated_keys(stream_table(spark, other.name), "transaction_file_source_id", required=("ingest_time",))
+        sink = Sink(StreamTable(pipeline_config.table("again")), ("transaction_file_source_id", "n_rows"))
+        report = OutcomeStream(lambda r: r.withColumn("_outcome", F.lit("again")), {"again": sink}, pipeline_config)
+        query = report.append(again, "update")
+        query.awaitTermination()
+        done = [p for p in query.recentProgress if p["numInputRows"]]
+        checks = [p["observedMetrics"]["checks"] for p in done]
+        found.append((sum(p["numInputRows"] for p in done), [(c["rows"], c["ingest_time_nulls"]) for c in checks]))
+    assert found == [(1, [(1, 0)]), (3, [(3, 0)]), (1, [(1, 1)])]
+    told = spark.table(pipeline_config.table("again")).orderBy("n_rows").collect()
+    assert [r["n_rows"] for r in told] == [3, 4] and len({r[0] for r in told}) == 1
+    refresh(pipeline, full=True)
+    assert spark.table(pipeline.repeated.name).count() == 0
