@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.functions.paths import PARSE_EXTENSIONS, needs_parsing
 from segflow.functions.variants import evaluated_once
+from segflow.operators.distribution import distribute_by_weight
 from segflow.operators.documents import (
     Parser,
     error_status,
@@ -29,6 +30,7 @@ def documents_to_text(
     *,
     limit: int | None = None,
     buckets: int | None = None,
+    weight: Column | None = None,
     key: tuple[str, ...] = ("path",),
     extensions: Sequence[str] = PARSE_EXTENSIONS,
     image_output_path: str | None = None,
@@ -45,12 +47,13 @@ def documents_to_text(
     ``limit`` and ``buckets`` shuffle, and the parse stays behind both, as its
     result is kept from being inlined into the filter that reads it. A row is a
     document, also where rows share a path. ``extensions`` says which files are
-    parsed; with an HTML parser, for instance, ``(".html", ".htm")``.
+    parsed; with an HTML parser, for instance, ``(".html", ".htm")``. With a
+    ``weight``, as the bytes of the content, buckets come out even in that instead of in rows.
     """
     if limit is not None:
         files = first_files(files, limit, key)
     if buckets is not None:
-        files = spread(files, buckets)
+        files = spread(files, buckets) if weight is None else distribute_by_weight(files, weight, buckets)
 
     path, content, parse = F.col("path"), F.col("content"), F.col("parse")
     routed = files.filter(path.isNotNull()).select("path", "content", needs_parsing(path, extensions).alias("parse"))

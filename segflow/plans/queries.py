@@ -261,10 +261,10 @@ def docs_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_to_text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, distributed over buckets and written to a replaced table."""
+    """The same, distributed over buckets, by rows and then by bytes, and written to a replaced table."""
     name = f"{_scratch_schema(spark, 'texts')}.document_text"
-    for _ in range(2):
-        replace_table(documents_to_text(document_files(spark, sf_dir), line_parser, buckets=BUCKETS), name)
+    for weight in (None, F.octet_length("content")):
+        replace_table(documents_to_text(document_files(spark, sf_dir), line_parser, buckets=BUCKETS, weight=weight), name)
     return _json(table_by_parameter(spark, name), "raw_parsed")
 
 

@@ -24,8 +24,8 @@ from segflow.sources.files import FILES_PER_BATCH
 from segflow.storage import Storage
 from segflow.streaming.tables import StreamTable
 
-#: Columns of a listing: folder relative to the landing path ("." for itself), qualified path, bytes, change time.
-LISTING = "folder string, path string, name string, size long, modified timestamp, is_folder boolean"
+#: Columns of a listing: folder relative to the landing path ("." for itself), path, path as URI, bytes, change time.
+LISTING = "folder string, path string, uri string, size long, modified timestamp, is_folder boolean"
 #: Names in a batch of a listing, and bytes of content that a task hands on at a time.
 _NAMES, _BYTES = 10_000, 32 << 20
 #: Bytes of files that one task reads, about.
@@ -47,7 +47,7 @@ def _list_folders(folders: DataFrame, root: str) -> DataFrame:
         from pyarrow import fs
 
         filesystem, base = fs.FileSystem.from_uri(root)
-        names = ["folder", "path", "name", "size", "modified", "is_folder"]
+        names = ["folder", "path", "uri", "size", "modified", "is_folder"]
         for batch in batches:
             for folder in batch.column(0).to_pylist():
                 where = base if folder == "." else f"{base}/{folder}"
@@ -59,7 +59,7 @@ def _list_folders(folders: DataFrame, root: str) -> DataFrame:
                     columns = [
                         pa.array([b if i else folder for b, i in zip(below, inside)], pa.string()),
                         pa.array([f.path for f in some], pa.string()),
-                        pa.array([f.base_name for f in some], pa.string()),
+                        pa.array([as_uri(root, f.path) for f in some], pa.string()),
                         pa.array([f.size or 0 for f in some], pa.int64()),
                         pa.array([(f.mtime_ns or 0) // 1_000_000 * 1_000 for f in some], pa.timestamp("us", "UTC")),
                         pa.array(inside, pa.bool_()),
@@ -126,12 +126,11 @@ def with_contents(files: DataFrame, root: str) -> DataFrame:
     return files.mapInArrow(read, f"{columns}, content binary")
 
 
-def file_metadata(root: str) -> Column:
+def file_metadata() -> Column:
     """The metadata struct of Spark's file sources, from the columns of a listing."""
-    uri = F.udf(lambda path: as_uri(root, path))("path")
     return F.struct(
-        uri.alias("file_path"),
-        F.substring_index(uri, "/", -1).alias("file_name"),
+        F.col("uri").alias("file_path"),
+        F.substring_index("uri", "/", -1).alias("file_name"),
         F.col("size").alias("file_size"),
         F.lit(0).cast("long").alias("file_block_start"),
         F.col("size").alias("file_block_length"),
@@ -146,7 +145,8 @@ class LedgerIngest:
     its path, whenever it lands and whatever its change time. New files are taken in batches of about
     `files_per_batch`. A batch's rows and ledger entries are written to a hidden folder, marked as
     complete, and then moved, rows first; what a crash interrupts is taken up by the next run before
-    it lists anything, so no file is read twice or lost.
+    it lists anything, so no file is read twice or lost. The driver lists the ledger's own files: one
+    for each folder and batch, not one for each landed file.
     """
 
     def __init__(
@@ -194,8 +194,8 @@ class LedgerIngest:
         known = self.ledger().select("folder", "path")
         listed = list_files(self.spark, self.root, self.newest)
         if self.newest is not None:
-            # Only the ledger's partitions of the folders that were listed are read.
-            known = known.join(F.broadcast(listed.select("folder").distinct()), "folder", "left_semi")
+            # Only the ledger's partitions of the folders that were listed take part.
+            known = known.join(listed.select("folder").distinct(), "folder", "left_semi")
         listed.join(known, ["folder", "path"], "left_anti").write.parquet(found)
         new = self.spark.read.schema(listed.schema).parquet(found)
         n, size = new.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -210,7 +210,7 @@ class LedgerIngest:
         batch = uuid.uuid4().hex
         staged = f"{home}/_staged/{batch}"
         tasks = max(self.spark.sparkContext.defaultParallelism, size // _TASK_BYTES)
-        read = with_contents(files.repartition(tasks), self.root).withColumn("file_metadata", file_metadata(self.root))
+        read = with_contents(files.repartition(tasks), self.root).withColumn("file_metadata", file_metadata())
         rows = read.select(
             "folder",
             F.col("path").alias("_listed"),
