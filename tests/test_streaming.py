@@ -429,3 +429,14 @@ def test_keys_are_checked_as_rows_arrive(spark, pipeline_config):
     assert [r["n_rows"] for r in told] == [3, 4] and len({r[0] for r in told}) == 1
     refresh(pipeline, full=True)
     assert spark.table(pipeline.repeated.name).count() == 0
+
+
+def test_a_message_too_large_for_a_variant_is_set_aside(spark, pipeline_config):
+    for i in range(30):
+        drop_in(pipeline_config, f"{i}.xml", SINGLE)
+    drop_in(pipeline_config, "large.xml", f"<ClaimBilling><Supplemental>{'<v>' + 'x' * 1_000_000 + '</v>'}{('<v>' + 'y' * 2_000_000 + '</v>') * 70}</Supplemental></ClaimBilling>")
+    pipeline = MessagePipeline(spark, pipeline_config, "claims", keep_messages=False)
+    refresh(pipeline)
+    assert counts(spark, pipeline)[:3] == (31, 30, 30 * 44)
+    failed = spark.table(pipeline.failed.name).select("file_metadata.file_name", F.length("value").alias("chars"), "error").collect()
+    assert [(r["file_name"], r["chars"] > 140_000_000) for r in failed] == [("large.xml", True)] and "VARIANT" in failed[0]["error"].upper()
