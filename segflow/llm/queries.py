@@ -10,7 +10,7 @@ from segflow.llm.chat import format_chats
 from segflow.llm.containment import contaminated
 from segflow.llm.exact_dedup import exact_groups
 from segflow.llm.near_duplicates import near_classes
-from segflow.llm.rank_bpe import decode_documents, encode_documents
+from segflow.llm.rank_bpe import encode_and_decode
 from segflow.llm.repeats import remove_repeats
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.simhash import simhash_classes
@@ -34,8 +34,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
-    return decode_documents(ids, WORD_BPE).select(
+    return encode_and_decode(table(spark, sf_dir, "documents"), WORD_BPE).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -15,12 +15,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segflow.llm.tables import release_memory, text_slices
+
 #: No merge for a pair of parts.
 _NONE = np.iinfo(np.int32).max
 #: Words of more bytes are merged with a heap, whose time does not grow with the square of the length.
 SHORT_WORD = 256
 #: Distinct words whose ids a task remembers, and characters of text it takes at a time.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 CHUNK_CHARS = 1_000_000
 #: The words of lower-case text of the first 256 characters, by the same rule as WordBpe.pattern.
 _LATIN_WORDS = re.compile(
@@ -231,7 +233,9 @@ class WordBpe:
 @lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
     """One encoder per Python worker and file."""
-    return WordBpe(path)
+    bpe = WordBpe(path)
+    release_memory()  # what reading the file took
+    return bpe
 
 
 def chunks(column: pa.ChunkedArray | pa.Array, size: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -258,7 +262,7 @@ def encode_documents(documents: DataFrame, path: str, key: str = "doc_id", text:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1)) for x in bpe.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["key", "ids"])
 
@@ -272,7 +276,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             texts = [bpe.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.binary()).cast(pa.string())], ["key", "ids", "text"]
@@ -282,3 +286,22 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
     key_type = source.schema["key"].dataType.simpleString()
     decoded = source.mapInArrow(decode, f"key {key_type}, ids binary, text string")
     return decoded.select(F.col("key").alias(key), F.col("ids").alias(ids), F.col("text").alias(out))
+
+
+def encode_and_decode(
+    documents: DataFrame, path: str, key: str = "doc_id", text: str = "text", out: str = "decoded"
+) -> DataFrame:
+    """The rows of decode_documents(encode_documents(...)) from one pass, so a task has one Python worker and one vocabulary."""
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = word_bpe(path)
+        for batch in text_slices(batches, 1):
+            ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1)) for x in bpe.encode(texts)]
+            texts = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
+            columns = [batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "text"])
+
+    source = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    key_type = source.schema["key"].dataType.simpleString()
+    coded = source.mapInArrow(both, f"key {key_type}, ids binary, text string")
+    return coded.select(F.col("key").alias(key), "ids", F.col("text").alias(out))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +40,34 @@ def content_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+#: Bytes of text that a worker takes at a time.
+SLICE_BYTES = 1 << 20
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about SLICE_BYTES of text, so what a worker holds does not grow with the batch.
+
+    A longer text has a batch to itself. After the last one, memory that the worker no longer needs
+    goes back to the system, as workers live on and serve other stages.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        slices = np.cumsum(sizes + 16) // SLICE_BYTES
+        starts = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1]][: len(slices)])
+        for a, b in zip(starts, np.r_[starts[1:], len(slices)]):
+            yield batch.slice(a, b - a)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give memory that this process holds but does not need back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, how: str = "left") -> DataFrame:
     """Join rows with the one row that `groups` has for a key; `size` says how many rows share the key.
 

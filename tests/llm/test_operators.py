@@ -21,7 +21,7 @@ from segflow.llm.components import connected_components
 from segflow.llm.containment import contaminated, decontaminate
 from segflow.llm.exact_dedup import exact_dedup, exact_groups
 from segflow.llm.near_duplicates import keep_one, near_classes
-from segflow.llm.rank_bpe import decode_documents, encode_documents
+from segflow.llm.rank_bpe import decode_documents, encode_and_decode, encode_documents
 from segflow.llm.repeats import LENGTH, remove_repeats
 from segflow.llm.sharding import shuffled_shards
 from segflow.llm.site_style_tree import main_text
@@ -177,7 +177,9 @@ def test_bpe(documents, nothing):
         ids = library.encode(t or "", add_special_tokens=False).ids
         wanted[k, np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)] += 1
     assert Counter((r["doc_id"], bytes(r["ids"]), r["decoded"]) for r in rows) == wanted
-    assert encode_documents(nothing, WORD_BPE).count() == 0
+    together = encode_and_decode(documents, WORD_BPE).collect()
+    assert Counter((r["doc_id"], bytes(r["ids"]), r["decoded"]) for r in together) == wanted
+    assert encode_documents(nothing, WORD_BPE).count() == encode_and_decode(nothing, WORD_BPE).count() == 0
 
 
 def test_token_files(spark, documents, nothing):
