@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.llm.rank_bpe import chunks
-from segflow.llm.tables import stored
+from segflow.llm.tables import stored, text_slices
 
 #: Labelled documents the models are fitted on, at most: toxic ones, and others.
 TOXIC_SAMPLE, OTHER_SAMPLE = 2_000, 4_000
@@ -218,7 +218,10 @@ def _sample(documents: DataFrame, labels: DataFrame, key: str, text: str, lang:
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         (F.col(lang) if lang else F.lit(None).cast("string")).alias("lang"),
     )
-    found = texts.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
+    # Of several rows of a key the one with the smallest hash of its text, so that a fit can be repeated.
+    one = F.min(F.struct(F.xxhash64("text").alias("mark"), "text", "lang")).alias("one")
+    found = texts.join(F.broadcast(chosen), "key").groupBy("key", "toxic", "quality").agg(one)
+    found = found.select("key", F.col("one.text").alias("text"), F.col("one.lang").alias("lang"), "toxic", "quality")
     return stored(found.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(FOLDS)).cast("int")), "sample"), there
 
 
@@ -334,7 +337,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, key: str = "doc_i
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.features)
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             found = [model.probabilities(reader.matrix(texts)) for texts in chunks(batch.column(1))]
             p = np.concatenate([np.zeros((0, len(columns))), *found])
             arrays = [batch.column(0), *(pa.array(p[:, k]) for k in range(len(columns)))]
@@ -353,7 +356,7 @@ def keep_clean(documents: DataFrame, model: ToxicityModel, text: str = "text") -
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.features)
-        for batch in batches:
+        for batch in text_slices(batches, at):
             found = [model.probabilities(reader.matrix(texts))[:, -1] for texts in chunks(batch.column(at))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0), *found]) < model.threshold))
 
