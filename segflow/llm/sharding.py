@@ -71,9 +71,9 @@ def shuffled_shards(documents: DataFrame, shards: int, key: str = "doc_id", text
 
     Returns key, size (UTF-8 bytes plus 8), text_crc32, shard and slot, which is gapless from 0 in
     each shard. The law is `rows`. Null text has no bytes; null and repeated keys are rows like any
-    other. The result depends on the seed and the table's rows, not on how they are laid out: rows
-    are put into partitions, and permuted there, by hashes of their contents, and equal rows are
-    interchangeable. An empty table gives no rows.
+    other. Rows are put into partitions, and permuted there, by hashes of the seed, their contents and
+    their places in the table, which tell equal rows apart: the same files give the same result, the
+    same rows laid out otherwise another one. An empty table gives no rows.
     """
     content = text_of(text).cast("binary")
     rows = stored(
