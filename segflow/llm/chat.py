@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ MERGE, RELABEL, INSERT = 1.0, 4.0, 2.0
 UNKNOWN = 0
 #: Turns of a range of conversations, on average.
 RANGE_TURNS = 20_000
+#: Ranges whose seams are settled together.
+BLOCK_RANGES = 1_000
 
 
 def role_number(role: str | None) -> int:
@@ -102,12 +105,15 @@ def run_states(roles: np.ndarray, entry: int, leaving: int | None) -> np.ndarray
     return out
 
 
-def boundary_states(costs: list[np.ndarray]) -> list[int]:
-    """States between the consecutive runs of one conversation, and after the last, at the least total cost."""
-    forward = [np.where(np.arange(5) == START, 0.0, np.inf)]
+def boundary_states(costs: list[np.ndarray], entry: int = START, leaving: int | None = None) -> list[int]:
+    """States between consecutive runs of a conversation, and after the last, at the least total cost.
+
+    The runs begin in the state `entry` and end in `leaving`, or in the cheapest end if None.
+    """
+    forward = [np.where(np.arange(5) == entry, 0.0, np.inf)]
     for matrix in costs:
         forward.append((forward[-1][:, None] + matrix).min(axis=0))
-    state = int((forward[-1] + END_COST).argmin())
+    state = int((forward[-1] + END_COST).argmin()) if leaving is None else leaving
     out = [state]
     for before, matrix in zip(forward[-2:0:-1], costs[:0:-1]):
         state = int((before + matrix[:, state]).argmin())
@@ -183,10 +189,7 @@ def format_chats(
     schema = f"part int, place long, conv {kinds['conv']}, turn {kinds['turn']}, role string, text string"
     sorted_turns = stored(spread.mapInArrow(numbered, schema), "turns")
 
-    edges = _edge_costs(sorted_turns, kinds["conv"])
-    seams = sorted_turns.sparkSession.createDataFrame(
-        _seam_states(edges), "part int, first_entry int, first_leaving int, last_entry int, last_leaving int"
-    )
+    seams = _seam_states(stored(_edge_costs(sorted_turns, kinds["conv"]), "edges"), kinds["conv"])
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches):
@@ -196,7 +199,7 @@ def format_chats(
                 yield from _repaired(table.slice(a, b - a))
 
     columns = ["part", "conv", "turn", "role", "text", "first_entry", "first_leaving", "last_entry", "last_leaving"]
-    joined = sorted_turns.join(F.broadcast(seams), "part").repartition("part").sortWithinPartitions("part", "place")
+    joined = sorted_turns.join(seams, "part").repartition("part").sortWithinPartitions("part", "place")
     out = f"conv {kinds['conv']}, turn {kinds['turn']}, role string, new_role string, action string, inserted array<string>, piece string"
     repaired = joined.select(*columns).mapInArrow(repair, out)
     return repaired.withColumnsRenamed({"conv": conv, "turn": turn, "role": role})
@@ -208,8 +211,8 @@ def _runs(conv: pa.ChunkedArray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, codes[1:] != codes[:-1], True]) if len(codes) else np.zeros(1, np.int64)
 
 
-def _edge_costs(sorted_turns: DataFrame, kind: str) -> list:
-    """Rows (part, which, conv, cost matrix) of the first and the last conversation of each range, in order.
+def _edge_costs(sorted_turns: DataFrame, kind: str) -> DataFrame:
+    """Rows (part, which, conv, cost matrix) of the first and the last conversation of each range.
 
     Two rows for each range: their number does not grow with the length of conversations.
     """
@@ -235,28 +238,62 @@ def _edge_costs(sorted_turns: DataFrame, kind: str) -> list:
                     )
 
     rows = sorted_turns.select("part", "conv", "role", "place").repartition("part").sortWithinPartitions("part", "place")
-    found = rows.select("part", "conv", "role").mapInArrow(costs, f"part int, which int, conv {kind}, cost array<double>")
-    return sorted(found.collect(), key=lambda r: (r["part"], r["which"]))
-
-
-def _seam_states(edges: list) -> list[tuple]:
-    """For each range the entry and leaving states of its first and last run; -1 leaves the end open."""
-    states: dict[tuple[int, int], tuple[int, int]] = {}
-    at = 0
-    while at < len(edges):
-        stop = at + 1
-        # A conversation goes on in the next range if that range's first run has the same key.
-        while stop < len(edges) and edges[stop]["conv"] == edges[at]["conv"]:
-            stop += 1
-        chain = edges[at:stop]
-        left = boundary_states([np.array(r["cost"]).reshape(5, 5) for r in chain])
-        entries = [START, *left[:-1]]
-        for i, r in enumerate(chain):
-            states[r["part"], r["which"]] = (entries[i], -1 if i == len(chain) - 1 else left[i])
-        at = stop
-    return [
-        (p, *states[p, 0], *states.get((p, 1), states[p, 0])) for p in sorted({part for part, _ in states})
-    ]
+    return rows.select("part", "conv", "role").mapInArrow(costs, f"part int, which int, conv {kind}, cost array<double>")
+
+
+def _matrices(rows: pd.DataFrame) -> list[np.ndarray]:
+    return [np.array(cost).reshape(5, 5) for cost in rows["cost"]]
+
+
+def _settled(rows: pd.DataFrame, entry: int, leaving: int) -> pd.DataFrame:
+    """Consecutive runs with the states that each begins and ends in; -1 leaves the end open."""
+    left = boundary_states(_matrices(rows), entry, None if leaving < 0 else leaving)
+    return rows.drop(columns="cost").assign(entry=[entry, *left[:-1]], leaving=[*left[:-1], leaving])
+
+
+def _seam_states(edges: DataFrame, kind: str) -> DataFrame:
+    """For each range the entry and leaving states of its first and last run; -1 leaves the end open.
+
+    A conversation's runs in several ranges are consecutive, as turns are sorted by it. No task gets
+    more of them than a block has, or the conversation blocks.
+    """
+    runs = edges.withColumn("place", F.col("part") * 2 + F.col("which")).withColumn("block", F.floor(F.col("part") / BLOCK_RANGES))
+    counted = runs.groupBy("conv").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("conv", "of")
+    several = F.col("conv").eqNullSafe(F.col("of"))
+    long = runs.join(counted, several, "left_semi")
+    alone = runs.join(counted, several, "left_anti").select("part", "which", F.lit(START).alias("entry"), F.lit(-1).alias("leaving"))
+
+    def product(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = np.where(np.eye(5, dtype=bool), 0.0, np.inf)
+        for matrix in _matrices(rows.sort_values("place")):
+            whole = (whole[:, :, None] + matrix[None, :, :]).min(axis=1)
+        return rows[["conv", "block"]].head(1).assign(cost=[whole.ravel().tolist()])
+
+    def between(rows: pd.DataFrame) -> pd.DataFrame:
+        return _settled(rows.sort_values("block"), START, -1)
+
+    def within(rows: pd.DataFrame) -> pd.DataFrame:
+        entry, leaving = int(rows["entry"].iloc[0]), int(rows["leaving"].iloc[0])
+        return _settled(rows.sort_values("place").drop(columns=["entry", "leaving"]), entry, leaving)
+
+    blocks = long.groupBy("conv", "block").applyInPandas(product, f"conv {kind}, block long, cost array<double>")
+    seams = blocks.groupBy("conv").applyInPandas(between, f"conv {kind}, block long, entry int, leaving int")
+    seams = seams.withColumnsRenamed({"conv": "of", "block": "of_block"})
+    inside = long.join(seams, several & (F.col("block") == F.col("of_block"))).drop("of", "of_block")
+    schema = f"part int, which int, conv {kind}, place int, block long, entry int, leaving int"
+    solved = inside.groupBy("conv", "block").applyInPandas(within, schema).select("part", "which", "entry", "leaving")
+    states = F.struct("entry", "leaving")
+    ends = alone.unionByName(solved).groupBy("part").agg(
+        F.max(F.when(F.col("which") == 0, states)).alias("first"), F.max(F.when(F.col("which") == 1, states)).alias("last")
+    )
+    last = F.coalesce("last", "first")
+    return ends.select(
+        "part",
+        F.col("first.entry").alias("first_entry"),
+        F.col("first.leaving").alias("first_leaving"),
+        last["entry"].alias("last_entry"),
+        last["leaving"].alias("last_leaving"),
+    )
 
 
 def _repaired(piece: pa.Table) -> Iterator[pa.RecordBatch]:
