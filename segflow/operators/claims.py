@@ -7,16 +7,21 @@ text's elements decides.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segflow.functions.variants import evaluated_once, is_readable_xml, xml_to_variant
 from segflow.operators.sections import REQUEST_SECTION
 
+# What tasks run travels with the plan, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Fixed value: the request segment that begins a claim.
 CLAIM_SEGMENT = "S_07"
 #: Characters of segments that a task hands on at a time.

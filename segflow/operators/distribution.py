@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What tasks run travels with the plan, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Cells for each bucket: the others hold too little to matter, and a row counts as heavy at this share of a bucket.
 FINE_CELLS, FEWEST_CELLS = 256, 16
 _MOST_CELLS = 1 << 20

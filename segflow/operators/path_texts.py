@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from segflow.functions.variants import evaluated_once
 from segflow.operators.documents import PART_SEPARATOR, error_status, part_contents
 from segflow.scratch import new_scratch_dir
 
+# What tasks run travels with the plan, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bytes of text after which a new chunk begins.
 CHUNK_BYTES = 16 << 20
 _SEPARATOR_BYTES = len(PART_SEPARATOR.encode())

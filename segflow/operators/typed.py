@@ -9,18 +9,23 @@ becomes a schema, by which messages are then parsed without inference.
 from __future__ import annotations
 
 import re
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DecimalType, LongType, StringType, StructField, StructType
 
 from segflow.functions.variants import is_readable_xml
 
+# What tasks run travels with the plan, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Paths that messages of one kind have at most; more mean that element names are data.
 PATHS_AT_MOST = 20_000
 #: Numbers of more digits are codes.

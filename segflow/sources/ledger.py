@@ -10,10 +10,12 @@ counts.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ from segflow.sources.files import FILES_PER_BATCH
 from segflow.storage import Storage
 from segflow.streaming.tables import StreamTable
 
+# What tasks run travels with the plan, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Columns of a listing: folder relative to the landing path ("." for itself), path, path as URI, bytes, change time.
 LISTING = "folder string, path string, uri string, size long, modified timestamp, is_folder boolean"
 #: Names in a batch of a listing, and bytes of content that a task hands on at a time.
