@@ -2,125 +2,57 @@
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from segflow.llm.rank_bpe import chunks, ragged
-from segflow.llm.tables import parts_for, stored, text_of, totals_before
+from segflow.llm.rank_bpe import byte_symbols, chunks, ragged
+from segflow.llm.tables import parts_for, stored, text_of, text_slices, totals_before
 
 #: Ids of a shard, at least, unless its task has no more documents.
 SHARD_IDS = 1_000_000
 #: Rows of a range of keys, on average.
 RANGE_ROWS = 8_000
-#: Pairs that one round replaces, at most; how often a pair must occur, and in how many symbols once.
-ROUND_PAIRS, LEAST_COUNT, LEAST_SHARE = 512, 16, 4096
+#: Pairs that one round replaces, at most, and how often a pair must occur, in shards of any size.
+ROUND_PAIRS, LEAST_COUNT = 8192, 8
+#: Rounds that tell pairs apart by a hash of so many bits.
+HASHED_ROUNDS, HASH_BITS = 2, 18
 _MAGIC = b"RPG1"
 _HEADER = struct.Struct("<4sIIIQQ")
-KNOWN_WORDS = 300_000
-
-#: Text before the merges, for texts of the first 256 characters; WIDE_WORDS is the same rule for any text.
-_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
-_LATIN_WORDS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
-    f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-).findall
-_WIDE_WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+",
-    regex.V1,
-).findall
-
-
-class _Numbers(dict):
-    """Numbers words in the order in which they are first looked up; `new` lists those not yet learned."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
-
+#: Fixed value: what a text is cut into before the merges, as byte-level files of this kind have it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 class ByteBpe:
-    """The tokenizers library's encoder for a byte-level file; each distinct word is encoded once."""
+    """The ids of a byte-level BPE file of the tokenizers library, names of special tokens in a text included."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.special = special
-        names = "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))
-        self.specials = re.compile(f"({names})") if names else None
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.opens_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens_word[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        self.known = _Numbers()
-        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def words(self, text: str) -> list[str]:
-        if self.specials is not None and any(s in text for s in self.special):
-            out = []
-            for piece in self.specials.split(text):
-                out.extend([piece] if piece in self.special else self._plain(piece))
-            return out
-        return self._plain(text)
-
-    @staticmethod
-    def _plain(text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return _WIDE_WORDS(text)
-        return _LATIN_WORDS(text)
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words; those of a blank and letters go together, as a blank then marks where each begins."""
-        simple = np.array([w[0] == " " and w[1:].isalpha() for w in words])
-        lengths = np.zeros(len(words), np.int64)
-        joined, others = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
-        lists = ["".join([words[i] for i in joined[a : a + 500]]) for a in range(0, len(joined), 500)]
-        encoded = self.tokenizer.encode_batch_fast(lists, add_special_tokens=False)
-        together = np.array([x for e in encoded for x in e.ids], np.uint32)
-        opens = np.flatnonzero(self.opens_word[together])
-        lengths[joined] = np.diff(np.r_[opens, len(together)])
-        alone = self.tokenizer.encode([words[i] for i in others], is_pretokenized=True, add_special_tokens=False)
-        lengths[others] = np.bincount(np.array(alone.word_ids, np.int64), minlength=len(others)) if others else 0
-        ids = np.empty(int(lengths.sum()), np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        ids[ragged(starts[joined], lengths[joined])] = together
-        ids[ragged(starts[others], lengths[others])] = np.array(alone.ids, np.uint32)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, ids])
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model = spec["model"]
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or merged != sorted(merged):
+            raise ValueError(f"{path} is not a plain byte-level BPE vocabulary")
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        code = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        ranks = {bytes(code[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+        # Ids rise in the order of merges, so they serve as ranks.
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
-        by_text = [self.words(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = _Numbers()
-            self.flat, self.starts, self.lengths = self.flat[:0], self.starts[:0], self.lengths[:0]
-        n_words = np.fromiter(map(len, by_text), np.int64, len(by_text))
-        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(by_text)), np.int64, int(n_words.sum()))
-        if self.known.new:
-            self._learn(self.known.new)
-            self.known.new = []
-        lengths = self.lengths[index]
-        ends = np.r_[0, np.cumsum(lengths)][np.r_[0, np.cumsum(n_words)]]
-        return self.flat[ragged(self.starts[index], lengths)], np.diff(ends)
+        found = [self.encoding.encode_to_numpy(text, allowed_special="all") for text in texts]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([np.zeros(0, np.uint32), *found]).astype(np.uint32), counts
 
 
 @lru_cache(maxsize=2)
@@ -128,39 +60,54 @@ def byte_bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+def _pairs(symbols: np.ndarray, at: np.ndarray, exact: bool, salt: int) -> tuple[np.ndarray, ...]:
+    """Of the pairs of adjacent symbols at these positions: positions, pair numbers, the numbers' symbols and counts."""
+    left, right = symbols[at], symbols[at + 1]
+    if exact:
+        pairs, place, counts = np.unique(left.astype(np.uint64) << np.uint64(32) | right, return_inverse=True, return_counts=True)
+        return at, place, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.uint32), counts
+    factors = [np.uint32(x | 1) for x in np.random.default_rng(salt).integers(1 << 20, 1 << 32, 2)]
+    place = (left * factors[0] + right * factors[1]) >> np.uint32(32 - HASH_BITS)
+    shown = np.zeros((2, 1 << HASH_BITS), np.uint32)
+    shown[0, place], shown[1, place] = left, right
+    same = (shown[0, place] == left) & (shown[1, place] == right)
+    return at[same], place[same], shown, np.bincount(place[same], minlength=1 << HASH_BITS)
+
+
 def re_pair(ids: np.ndarray, ends: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, which of them end a document, and the rules (left, right), numbered from first_rule.
 
-    Each round replaces the most frequent pairs by new symbols, until no pair is frequent. Pairs
-    are told apart by a hash; a hash stands for the last pair that has it, whose occurrences are
-    counted exactly, and the next round hashes anew, so what one round hides a later one finds. Two
-    rounds without a frequent pair end the work.
+    Each round replaces the most frequent pairs by new symbols, until no pair is frequent. After a
+    round only pairs with one of its new symbols are counted, as all others have grown no more
+    frequent; when none of these is left, all pairs are counted once more. The first rounds are
+    large and tell pairs apart by a hash, which stands for the last pair that has it and hides others;
+    later ones count every pair.
     Where occurrences overlap, every second one in such a run is replaced. No rule reaches across
     the end of a document.
     """
     symbols, last, rules, n_rounds = ids.astype(np.uint32), ends.copy(), [], 0
-    bins = 1 << 18
-    misses = 0
-    while len(symbols) > 1 and misses < 2:
-        least = max(LEAST_COUNT, len(symbols) // LEAST_SHARE)
-        factors = [np.uint32(x | 1) for x in np.random.default_rng(n_rounds).integers(1 << 20, 1 << 32, 2)]
+    fresh, complete = 0, False
+    while len(symbols) > 1:
+        exact = n_rounds >= HASHED_ROUNDS
+        counted = ~last[:-1]
+        if fresh:
+            new = symbols >= fresh
+            counted &= new[:-1] | new[1:]
+        at, place, shown, counts = _pairs(symbols, np.flatnonzero(counted), exact, n_rounds)
         n_rounds += 1
-        left, right = symbols[:-1], symbols[1:]
-        place = (left * factors[0] + right * factors[1]) >> np.uint32(32 - 18)
-        shown = np.zeros((2, bins), np.uint32)
-        shown[0, place], shown[1, place] = left, right
-        same = (shown[0, place] == left) & (shown[1, place] == right) & ~last[:-1]
-        at = np.flatnonzero(same)
-        counts = np.bincount(place[at], minlength=bins)
-        chosen = np.flatnonzero(counts >= least)
-        chosen = chosen[np.argsort(-counts[chosen], kind="stable")][:ROUND_PAIRS]
+        frequent = np.flatnonzero(counts >= LEAST_COUNT)
+        chosen = frequent[np.argsort(-counts[frequent], kind="stable")][:ROUND_PAIRS]
         if not len(chosen):
-            misses += 1
+            if exact and (complete or not fresh):
+                break
+            fresh, n_rounds = 0, max(n_rounds, HASHED_ROUNDS)
             continue
-        misses = 0
-        rule_of = np.full(bins, -1, np.int32)
+        # Every frequent pair is known from then on, unless there are more than a round takes.
+        complete = exact and len(frequent) <= ROUND_PAIRS and (complete or not fresh)
+        fresh = first_rule + len(rules)
+        rule_of = np.full(len(counts), -1, np.int32)
         rule_of[chosen] = first_rule + len(rules) + np.arange(len(chosen))
-        rule = rule_of[place[at]]
+        rule = rule_of[place]
         at, rule = at[rule >= 0], rule[rule >= 0]
         starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
         offset = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
@@ -260,7 +207,7 @@ def write_tokens(documents: DataFrame, path: str, out: str, end_id: int = 2, key
                 [pa.array(v, k) for v, k in zip(row, kinds)], ["range", "part", "n_docs", "n_ids", "data"]
             )
 
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             keys = batch.column(0)
             valid = np.array(keys.is_valid())
             numbers = keys.fill_null(0).to_numpy(zero_copy_only=False)
@@ -278,9 +225,9 @@ def write_tokens(documents: DataFrame, path: str, out: str, end_id: int = 2, key
 
     source = documents.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
     ranges = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts_for(documents.count(), RANGE_ROWS))
-    # A key held by many rows is split by its texts' hashes.
-    mark = F.xxhash64("text")
-    ordered = source.withColumn("mark", mark).repartitionByRange(ranges, F.asc_nulls_first("key"), "mark")
+    # A key held by many rows is split by its texts' hashes, equal rows by their place in the table.
+    marks = {"mark": F.xxhash64("text"), "place": F.monotonically_increasing_id()}
+    ordered = source.withColumns(marks).repartitionByRange(ranges, F.asc_nulls_first("key"), "mark", "place")
     ordered = ordered.sortWithinPartitions(F.asc_nulls_first("key"), "mark", "text").select("key", "text")
     ordered.mapInArrow(pack, "range int, part int, n_docs long, n_ids long, data binary").write.parquet(out)
 
@@ -321,7 +268,7 @@ def read_tokens(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame
                     )
 
     rows = shards.select("range", "part", "data").mapInArrow(decode, "range int, part int, key long, offset long, ids binary")
-    return rows.join(F.broadcast(starts) if starts.count() <= 100_000 else starts, ["range", "part"]).select(
+    return rows.join(starts, ["range", "part"]).select(
         F.col("key").alias(key), (F.col("shard_start") + F.col("offset")).alias("start"), "ids"
     )
 
