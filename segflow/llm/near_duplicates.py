@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from segflow.llm.components import connected_components
 from segflow.llm.rank_bpe import chunks
-from segflow.llm.tables import join_groups, split_by_keys, stored, text_of
+from segflow.llm.tables import join_groups, split_by_keys, stored, text_of, text_slices
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -160,7 +160,7 @@ def shingle_rows(documents: DataFrame, key: str, text: str, forest: Forest, dept
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for batch in batches:
+        for batch in text_slices(batches, 2):
             marks, sizes, signatures = [], [], []
             for texts in chunks(batch.column(2)):
                 for text in texts:
@@ -259,7 +259,7 @@ def _verified(members: DataFrame, texts: DataFrame, similarity: float) -> DataFr
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             found = [shingler.shingles(t).tobytes() for part in chunks(batch.column(1)) for t in part]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["set", "shingles"])
 
