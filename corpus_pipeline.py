@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from segflow.llm.containment import decontaminate
 from segflow.llm.exact_dedup import exact_dedup
 from segflow.llm.near_duplicates import keep_one
-from segflow.llm.rank_bpe import decode_documents, encode_documents
+from segflow.llm.rank_bpe import encode_and_decode
 from segflow.llm.tables import table
 from segflow.llm.toxicity import fit_toxicity, keep_clean
 from segflow.scratch import new_scratch_dir
@@ -43,8 +43,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian, 32 bits each) and the SHA-256 of the decoded ids."""
-    coded = decode_documents(encode_documents(docs, WORD_BPE), WORD_BPE)
-    return coded.select(
+    return encode_and_decode(docs, WORD_BPE).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
