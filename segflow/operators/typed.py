@@ -104,17 +104,11 @@ def path_evidence(texts: DataFrame, value: str = "value") -> DataFrame:
             for text in batch.column(0):
                 if text.as_py() is None:
                     continue
-                one = _Evidence()
                 try:
-                    one.element((), ElementTree.fromstring(text.as_py()))
+                    root = ElementTree.fromstring(text.as_py())
                 except (ElementTree.ParseError, ValueError):
                     continue
-                for path, seen in one.of.items():
-                    into = evidence.of[path]
-                    for name in _COUNTS:
-                        into[name] += seen[name]
-                    for name in _LARGEST:
-                        into[name] = max(into[name], seen[name])
+                evidence.element((), root)
         paths = [p for p in evidence.of if p]
         columns = [pa.array([list(p) for p in paths], pa.list_(pa.string()))]
         columns += [pa.array([evidence.of[p][name] for p in paths], pa.int64()) for name in (*_COUNTS, *_LARGEST)]
