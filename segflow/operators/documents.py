@@ -174,5 +174,9 @@ def texts_by_path(parsed: DataFrame) -> DataFrame:
 
 
 def with_raw(texts: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Put the raw parse beside the text of its path again, for paths of few rows; documents without text drop out."""
-    return texts.join(parsed, "path").select("path", F.col("parsed").alias("raw_parsed"), "text")
+    """Put the raw parse beside the text of its path again, for paths of few rows; documents without text drop out.
+
+    Spark takes the gathered texts for a fiftieth of the stored parses and would broadcast them, all through the driver: both
+    sides are as large as the documents, so they are shuffled.
+    """
+    return texts.join(parsed.hint("merge"), "path").select("path", F.col("parsed").alias("raw_parsed"), "text")
