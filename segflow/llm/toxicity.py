@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.llm.rank_bpe import chunks
-from segflow.llm.tables import stored, text_slices
+from segflow.llm.tables import release_memory, stored, text_slices
 
 #: Labelled documents the models are fitted on, at most: toxic ones, and others.
 TOXIC_SAMPLE, OTHER_SAMPLE = 2_000, 4_000
@@ -27,6 +28,8 @@ PENALTY = 0.0003
 LANGUAGES = ("en", "de", "fr", "es")
 #: Words whose features a task remembers.
 KNOWN_WORDS = 300_000
+#: Features that a task hands on at a time when they are counted.
+COUNTED_ROWS = 10_000
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -245,11 +248,14 @@ def _selected_features(sample: DataFrame, names: list[str]) -> list[str]:
                 for counter, hit in zip(by_name, row.labels):
                     if hit:
                         counter.update(found)
-        if whole:
+        counted = iter(whole)
+        while some := list(islice(counted, COUNTED_ROWS)):
             yield pd.DataFrame(
-                {"feature": list(whole), "n": list(whole.values())}
-                | {f"n{k}": [c[f] for f in whole] for k, c in enumerate(by_name)}
+                {"feature": some, "n": [whole[f] for f in some]}
+                | {f"n{k}": [c[f] for f in some] for k, c in enumerate(by_name)}
             )
+        del counted, whole, by_name
+        release_memory()
 
     columns = ", ".join(f"n{k} long" for k in range(len(names)))
     counted = sample.select("text", "labels").mapInPandas(count, f"feature string, n long, {columns}")
@@ -308,6 +314,8 @@ def fit_toxicity(
                     "values": np.split(x.values, cut) if len(batch) else [],
                 }
             )
+        del reader
+        release_memory()
 
     schema = f"key {sample.schema['key'].dataType.simpleString()}, fold int, labels array<double>, columns array<long>, values array<double>"
     rows = sample.select("key", "text", "fold", "labels").mapInPandas(read, schema).orderBy("key").toPandas()

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from segflow.llm import toxicity
 from segflow.operators import documents as docs
 from segflow.plans.queries import _document_tables, _message_tables
 from segflow.sources.ledger import LedgerIngest
@@ -54,3 +55,12 @@ def test_a_ledger_is_not_broadcast(spark, tmp_path, monkeypatch):
     again = LedgerIngest(spark, pipeline.config, pipeline.documents, path, content=F.col("content"), id_column="spec_file_source_id")
     assert again.run() == 0
     assert plans and not any("Broadcast" in plan for plan in plans)
+
+
+def test_features_are_the_same_in_pieces_of_any_size(spark, monkeypatch):
+    words = F.when(F.col("id") % 2 == 0, F.lit("good plain words")).otherwise(F.lit("awful nasty words"))
+    sample = spark.range(60).select(words.alias("text"), F.array((F.col("id") % 2).cast("double")).alias("labels"))
+    wanted = toxicity._selected_features(sample, ["toxic"])
+    assert {" awful", " nasty"} <= set(wanted)
+    monkeypatch.setattr(toxicity, "COUNTED_ROWS", 3)
+    assert toxicity._selected_features(sample, ["toxic"]) == wanted
