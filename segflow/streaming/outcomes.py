@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from segflow.config import PipelineConfig
 from segflow.storage import Storage
@@ -27,6 +30,10 @@ ERROR = "error"
 SLICES = 16
 #: More failing rows in a batch than this are no matter of single rows: the batch fails as a whole.
 FAILURES_AT_MOST = 100
+#: Slices written side by side; each is a job of its own, most of them of few rows.
+SLICES_AT_ONCE = 8
+#: Rows that a task takes, about, where rows may fail: a task that fails is run again, with all its rows, before its job fails.
+ROWS_AT_ONCE = 4_096
 _SLICE, _HASH = "_slice", "_hash"
 _WRITTEN = "_WRITTEN"
 _ERROR_CHARS = 2_000
@@ -46,7 +53,8 @@ class OutcomeStream:
     ``transform`` turns rows into rows with a column ``_outcome``, which names
     one of ``sinks``. With ``failed``, a sink whose columns are among the input's
     and ``error``, rows for which the transformation fails go there: the batch is cut
-    by a hash of ``key`` until they are alone, and all others are processed. A failure
+    by a hash of ``key`` until they are alone, and all others are processed. Rows are dealt out to
+    tasks of few, so little is done in vain when one fails. A failure
     only counts against a row if the row fails twice by itself while the
     cluster still answers. The first sink's table names the checkpoint.
     """
@@ -106,11 +114,14 @@ class OutcomeStream:
             spark.catalog.refreshTable(sink.table.name)
 
     def _write(self, storage: Storage, batch: DataFrame, staged: str) -> None:
-        try:
+        if not self.failed or not self.key:
             self._write_part(batch, f"{staged}/rows/all")
+            return
+        n = batch.count()
+        tasks = max(-(-n // ROWS_AT_ONCE), batch.sparkSession.sparkContext.defaultParallelism)
+        try:
+            self._write_part(batch.repartition(tasks) if n > ROWS_AT_ONCE else batch, f"{staged}/rows/all")
         except Exception as failure:
-            if not self.failed or not self.key:
-                raise
             storage.delete(f"{staged}/rows/all")
             self._write_parts(storage, batch.withColumn(_HASH, F.xxhash64(*self.key)), staged, "", [], failure)
 
@@ -125,16 +136,29 @@ class OutcomeStream:
         held, depth = f"{staged}/_failing/{name or 'all'}", len(name)
         slice_of = F.shiftright(_HASH, 4 * depth).bitwiseAND(SLICES - 1)
         rows.withColumn(_SLICE, slice_of).write.format(self.config.table_format).partitionBy(_SLICE).save(held)
-        for child in storage.children(held):
-            if not child.startswith(f"{_SLICE}="):
-                continue
-            part = name + format(int(child.partition("=")[2]), "x")
-            some = spark.read.schema(rows.schema).format(self.config.table_format).load(f"{held}/{child}")
-            target = f"{staged}/rows/{part}"
-            failure = self._failure(storage, some.drop(_HASH), target)
+        with_slice = StructType([*rows.schema.fields, StructField(_SLICE, IntegerType())])
+        stored = spark.read.schema(with_slice).format(self.config.table_format).load(held)
+        one_hash = (F.min(_HASH) == F.max(_HASH)).alias("alone")
+        slices = sorted(stored.groupBy(_SLICE).agg(F.count("*").alias("n"), one_hash).collect())
+
+        def part_of(number: int) -> tuple[str, DataFrame, str]:
+            part = name + format(number, "x")
+            some = spark.read.schema(rows.schema).format(self.config.table_format).load(f"{held}/{_SLICE}={number}")
+            return part, some, f"{staged}/rows/{part}"
+
+        def written(held_slice: tuple[int, int, bool]) -> Exception | None:
+            number, n, _ = held_slice
+            _, some, target = part_of(number)
+            few = some.repartition(-(-n // ROWS_AT_ONCE)) if n > ROWS_AT_ONCE else some.coalesce(1)
+            return self._failure(storage, few.drop(_HASH), target)
+
+        with ThreadPoolExecutor(SLICES_AT_ONCE) as pool:
+            failures = list(pool.map(inheritable_thread_target(spark)(written), slices))
+        for (number, _, alone), failure in zip(slices, failures):
             if failure is None:
                 continue
-            if some.select(_HASH).distinct().limit(2).count() > 1:
+            part, some, target = part_of(number)
+            if not alone:
                 self._write_parts(storage, some, staged, part, found, first)
                 continue
             spark.range(1).count()  # raises if the cluster, not the row, is at fault
