@@ -32,7 +32,7 @@ SLICES = 16
 FAILURES_AT_MOST = 100
 #: Slices written side by side; each is a job of its own, most of them of few rows.
 SLICES_AT_ONCE = 8
-#: Rows that a task takes, about, where rows may fail: a task that fails is run again, with all its rows, before its job fails.
+#: Rows of a slice that a task takes, about: a task that fails is run again, with all its rows, before its job fails.
 ROWS_AT_ONCE = 4_096
 _SLICE, _HASH = "_slice", "_hash"
 _WRITTEN = "_WRITTEN"
@@ -53,8 +53,7 @@ class OutcomeStream:
     ``transform`` turns rows into rows with a column ``_outcome``, which names
     one of ``sinks``. With ``failed``, a sink whose columns are among the input's
     and ``error``, rows for which the transformation fails go there: the batch is cut
-    by a hash of ``key`` until they are alone, and all others are processed. Rows are dealt out to
-    tasks of few, so little is done in vain when one fails. A failure
+    by a hash of ``key`` until they are alone, and all others are processed. A failure
     only counts against a row if the row fails twice by itself while the
     cluster still answers. The first sink's table names the checkpoint.
     """
@@ -114,14 +113,11 @@ class OutcomeStream:
             spark.catalog.refreshTable(sink.table.name)
 
     def _write(self, storage: Storage, batch: DataFrame, staged: str) -> None:
-        if not self.failed or not self.key:
-            self._write_part(batch, f"{staged}/rows/all")
-            return
-        n = batch.count()
-        tasks = max(-(-n // ROWS_AT_ONCE), batch.sparkSession.sparkContext.defaultParallelism)
         try:
-            self._write_part(batch.repartition(tasks) if n > ROWS_AT_ONCE else batch, f"{staged}/rows/all")
+            self._write_part(batch, f"{staged}/rows/all")
         except Exception as failure:
+            if not self.failed or not self.key:
+                raise
             storage.delete(f"{staged}/rows/all")
             self._write_parts(storage, batch.withColumn(_HASH, F.xxhash64(*self.key)), staged, "", [], failure)
 
