@@ -38,7 +38,8 @@ def claims_by_message(rows: DataFrame, key: str, deal: Column, number: Column, i
     """``owner, message_key, claims``: every row is a claim of one message of its key.
 
     The rows of a key are counted on the map side; ``deal`` modulo the number of
-    messages says which one a row goes to.
+    messages says which one a row goes to. Rows of a small file can be many, so
+    neither side is broadcast through the driver.
     """
     claims = rows.select(
         F.col(key).alias("owner"),
@@ -48,7 +49,7 @@ def claims_by_message(rows: DataFrame, key: str, deal: Column, number: Column, i
     counts = claims.groupBy("owner").agg(F.ceil(F.count("*") / MESSAGE_CLAIMS).alias("messages"))
     message = F.col("owner") + F.col("deal") % F.col("messages") * KEY_STEP
     return (
-        claims.join(counts, "owner")
+        claims.join(counts.hint("merge"), "owner")
         .groupBy("owner", message.alias("message_key"))
         .agg(F.array_sort(F.collect_list("claim")).alias("claims"))
     )
@@ -122,7 +123,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("stamp"),
     )
-    return _messages(orders.join(lines, "owner", "left"))
+    return _messages(orders.join(lines.hint("merge"), "owner", "left"))
 
 
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +144,7 @@ def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, "P").when(F.col("c_acctbal") < 5000, "F").otherwise("O").alias("status"),
         F.col("c_name").alias("stamp"),
     )
-    return _messages(customers.join(orders, "owner", "left"))
+    return _messages(customers.join(orders.hint("merge"), "owner", "left"))
 
 
 def spread_evenly(rows: DataFrame, *keys: str) -> DataFrame:

@@ -39,6 +39,13 @@ def test_counts_are_taken_before_the_shuffle(spark):
     assert re.search(r"partial_count", plan)
 
 
+def test_rows_of_small_files_are_not_sent_to_the_driver(spark):
+    for messages in (order_messages, customer_messages):
+        texts = messages(spark, SF).agg(F.count("*"))
+        texts.collect()
+        assert "Broadcast" not in plan_of(texts)
+
+
 def test_texts_are_built_in_as_many_partitions_as_the_session_shuffles_into(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for messages in (order_messages, customer_messages):
