@@ -9,13 +9,14 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registered
 import compare
 import corpus_pipeline
-from segflow.llm import queries
+from segflow.llm import queries, rank_bpe
 from segflow.llm.chat import format_chats
 from segflow.llm.components import connected_components
 from segflow.llm.containment import contaminated, decontaminate
@@ -256,6 +257,18 @@ def test_main_text(spark):
     assert all(found[200 + i][0] == "Copied article" for i in range(9))
 
 
+def test_texts_of_pages_stay_where_they_were_parsed(spark):
+    """Verdicts come to the pages; a page without any, among others of its block, is whole."""
+    rows = [(i, "http://h/x", f"<div class='top'>Menu of all</div><div class='c'><p>Story {i * 31} of h</p></div>") for i in range(600)]
+    rows += [(1000 + i, f"http://only{i}/", f"<div class='c'><p>Alone {i}</p></div>") for i in range(600)]
+    pages = spark.createDataFrame([r for two in zip(rows[:600], rows[600:]) for r in two], "page_id long, url string, html string")
+    texts = main_text(pages)
+    plan = plan_of(texts)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1, plan
+    found = {r["page_id"]: r["text"] for r in texts.collect()}
+    assert found == {i: f"Story {i * 31} of h" for i in range(600)} | {1000 + i: f"Alone {i}" for i in range(600)}
+
+
 def test_main_text_judges_blocks_in_articles(spark):
     notice = "Subscribe to our weekly letter."
     pages = [
