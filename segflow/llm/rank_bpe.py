@@ -21,8 +21,9 @@ from segflow.llm.tables import release_memory, text_slices
 _NONE = np.iinfo(np.int32).max
 #: Words of more bytes are merged with a heap, whose time does not grow with the square of the length.
 SHORT_WORD = 256
-#: Distinct words whose ids a task remembers, and characters of text it takes at a time.
-CACHED_WORDS = 200_000
+#: Distinct words whose ids a task remembers, and characters of text it encodes at a time: what they take, workers keep.
+CACHED_WORDS, ENCODED_CHARS = 64_000, 250_000
+#: Characters of text in a list of `chunks`.
 CHUNK_CHARS = 1_000_000
 #: The words of lower-case text of the first 256 characters, by the same rule as WordBpe.pattern.
 _LATIN_WORDS = re.compile(
@@ -263,7 +264,7 @@ def encode_documents(documents: DataFrame, path: str, key: str = "doc_id", text:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
         for batch in text_slices(batches, 1):
-            ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1)) for x in bpe.encode(texts)]
+            ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1), ENCODED_CHARS) for x in bpe.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["key", "ids"])
 
     source = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -296,7 +297,7 @@ def encode_and_decode(
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
         for batch in text_slices(batches, 1):
-            ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1)) for x in bpe.encode(texts)]
+            ids = [x.astype("<u4").tobytes() for texts in chunks(batch.column(1), ENCODED_CHARS) for x in bpe.encode(texts)]
             texts = [bpe.decode(np.frombuffer(x, "<u4")) for x in ids]
             columns = [batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "text"])

@@ -183,6 +183,17 @@ def test_bpe(documents, nothing):
     assert encode_documents(nothing, WORD_BPE).count() == encode_and_decode(nothing, WORD_BPE).count() == 0
 
 
+def test_bpe_remembers_a_bounded_number_of_words(spark):
+    rng = random.Random(9)
+    texts = ["".join(f"{rng.getrandbits(40):x} " for _ in range(25_000)) for _ in range(4)]
+    encoder = rank_bpe.WordBpe(corpus_pipeline.WORD_BPE)
+    expected = Tokenizer.from_file(corpus_pipeline.WORD_BPE)
+    for text in texts:
+        (ids,) = encoder.encode([text])
+        assert ids.tolist() == expected.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) < 110_000
+
+
 def test_token_files(spark, documents, nothing):
     library = Tokenizer.from_file(BYTE_BPE)
     out = new_scratch_dir(spark, "test-tokens")
