@@ -8,9 +8,10 @@ becomes a schema, by which messages are then parsed without inference.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 from xml.etree import ElementTree
@@ -30,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PATHS_AT_MOST = 20_000
 #: Numbers of more digits are codes.
 MOST_DIGITS = 18
+#: Elements of a task whose texts and places wait to be counted, about.
+_WAITING_AT_MOST = 200_000
 #: Fixed value: the most digits of Spark's DECIMAL.
 _DECIMAL_DIGITS = 38
 _COUNTS = ("occurrences", "parents", "texts", "not_numbers", "fractions", "codes")
@@ -39,53 +42,101 @@ _NUMBER = re.compile(r"-?(\d+)(?:\.(\d+))?").fullmatch
 _ATTRIBUTE, _TEXT = "_", "_VALUE"
 
 
-class _Evidence:
-    """What the messages of a task say about each path."""
+class _Path:
+    """What the messages of a task say about one path; texts and sets of children wait to be counted together."""
 
-    def __init__(self) -> None:
-        self.of: dict[tuple[str, ...], dict[str, int]] = defaultdict(lambda: dict.fromkeys((*_COUNTS, *_LARGEST), 0))
+    __slots__ = ("path", "inside", "seen", "texts", "families")
+
+    def __init__(self, path: tuple[str, ...]) -> None:
+        self.path = path
+        self.inside: dict[str, _Path] = {}
+        self.seen = dict.fromkeys((*_COUNTS, *_LARGEST), 0)
+        self.texts: list[str] = []
+        self.families: dict[tuple[str, ...], int] = {}
 
-    def value(self, path: tuple[str, ...], text: str) -> None:
-        seen = self.of[path]
-        seen["texts"] += 1
+    def value(self, text: str, times: int) -> None:
+        seen = self.seen
+        seen["texts"] += times
         number = _NUMBER(text)
         if number is None:
-            seen["not_numbers"] += 1
+            seen["not_numbers"] += times
             return
         whole, fraction = number[1], number[2] or ""
-        seen["fractions"] += bool(fraction)
-        seen["codes"] += (len(whole) > 1 and whole[0] == "0") or len(whole) + len(fraction) > MOST_DIGITS
+        seen["fractions"] += bool(fraction) * times
+        seen["codes"] += ((len(whole) > 1 and whole[0] == "0") or len(whole) + len(fraction) > MOST_DIGITS) * times
         seen["whole_digits"] = max(seen["whole_digits"], len(whole))
         seen["fraction_digits"] = max(seen["fraction_digits"], len(fraction))
 
-    def element(self, path: tuple[str, ...], element: ElementTree.Element) -> None:
+    def occurs(self, times: int, side_by_side: int) -> None:
+        self.seen["occurrences"] += times
+        self.seen["most"] = max(self.seen["most"], side_by_side)
+
+    def count(self) -> None:
+        """Count what waits: equal texts, and parents with the same children, once each."""
+        for text, times in Counter(self.texts).items():
+            if text := text.strip():
+                self.value(text, times)
+        for family, times in self.families.items():
+            for name, n in Counter(family).items():
+                self.inside[name].occurs(n * times, n)
+        self.texts.clear()
+        self.families.clear()
+
+
+class _Evidence:
+    """What the messages of a task say about each path."""
+
+    def __init__(self) -> None:
+        self.top = _Path(())
+        self.paths: list[_Path] = []
+        self.waiting = 0
+
+    def below(self, here: _Path, name: str) -> _Path:
+        if name not in here.inside:
+            here.inside[name] = _Path((*here.path, name))
+            self.paths.append(here.inside[name])
+        return here.inside[name]
+
+    def message(self, root: ElementTree.Element) -> None:
         """Takes elements from a list, not by recursion, so that deep messages do no harm."""
-        waiting = [(path, element)]
+        waiting = [(self.top, root)]
         while waiting:
-            path, element = waiting.pop()
-            inside = [((*path, _ATTRIBUTE + name), value) for name, value in element.attrib.items()]
-            for at, value in inside:
-                self.of[at]["occurrences"] += 1
-                self.of[at]["most"] = 1
-                self.value(at, value.strip())
-            text = (element.text or "") + "".join(child.tail or "" for child in element)
-            holds = bool(inside) or len(element) > 0
-            if holds:
-                self.of[path]["parents"] += 1
-            if text.strip():
-                at = (*path, _TEXT) if holds else path
-                if holds:
-                    self.of[at]["occurrences"] += 1
-                    self.of[at]["most"] = 1
-                self.value(at, text.strip())
-            times: dict[str, int] = defaultdict(int)
+            here, element = waiting.pop()
+            inside = here.inside
+            written = [element.text] if element.text else []
+            family = []
             for child in element:
-                times[child.tag] += 1
-                waiting.append(((*path, child.tag), child))
-            for name, n in times.items():
-                seen = self.of[(*path, name)]
-                seen["occurrences"] += n
-                seen["most"] = max(seen["most"], n)
+                name = child.tag
+                family.append(name)
+                at = inside.get(name) or self.below(here, name)
+                if len(child) or child.keys():
+                    waiting.append((at, child))
+                elif child.text:
+                    at.texts.append(child.text)
+                if child.tail:
+                    written.append(child.tail)
+            attributes = element.items()
+            for name, value in attributes:
+                at = self.below(here, _ATTRIBUTE + name)
+                at.occurs(1, 1)
+                at.value(value.strip(), 1)
+            if family or attributes:
+                here.seen["parents"] += 1
+                if written and (text := "".join(written).strip()):
+                    at = self.below(here, _TEXT)
+                    at.occurs(1, 1)
+                    at.value(text, 1)
+            if family:
+                family = tuple(family)
+                here.families[family] = here.families.get(family, 0) + 1
+                self.waiting += len(family)
+                if self.waiting >= _WAITING_AT_MOST:
+                    self.count()
+
+    def count(self) -> None:
+        for path in (self.top, *self.paths):
+            path.count()
+        self.waiting = 0
 
 
 def path_evidence(texts: DataFrame, value: str = "value") -> DataFrame:
@@ -100,18 +151,24 @@ def path_evidence(texts: DataFrame, value: str = "value") -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = _Evidence()
-        for batch in batches:
-            for text in batch.column(0):
-                if text.as_py() is None:
-                    continue
-                try:
-                    root = ElementTree.fromstring(text.as_py())
-                except (ElementTree.ParseError, ValueError):
-                    continue
-                evidence.element((), root)
-        paths = [p for p in evidence.of if p]
-        columns = [pa.array([list(p) for p in paths], pa.list_(pa.string()))]
-        columns += [pa.array([evidence.of[p][name] for p in paths], pa.int64()) for name in (*_COUNTS, *_LARGEST)]
+        collects = gc.isenabled()
+        gc.disable()  # elements refer to no one above them, so nothing is left for the collector to find
+        try:
+            for batch in batches:
+                for text in batch.column(0):
+                    if (text := text.as_py()) is None:
+                        continue
+                    try:
+                        root = ElementTree.fromstring(text)
+                    except (ElementTree.ParseError, ValueError):
+                        continue
+                    evidence.message(root)
+        finally:
+            if collects:
+                gc.enable()
+        evidence.count()
+        columns = [pa.array([list(p.path) for p in evidence.paths], pa.list_(pa.string()))]
+        columns += [pa.array([p.seen[name] for p in evidence.paths], pa.int64()) for name in (*_COUNTS, *_LARGEST)]
         yield pa.RecordBatch.from_arrays(columns, ["path", *_COUNTS, *_LARGEST])
 
     names = ", ".join(f"{name} long" for name in (*_COUNTS, *_LARGEST))
