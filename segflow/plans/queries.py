@@ -24,7 +24,7 @@ from segflow.operators.clustering import files_between, read_clustered, replace_
 from segflow.operators.distribution import distribute_by_path, distribute_by_weight
 from segflow.operators.messages import to_variant
 from segflow.operators.path_texts import rows_by_reference, text_chunks
-from segflow.operators.sections import requests, responses, supplemental
+from segflow.operators.sections import MESSAGE_ID, requests, responses, supplemental
 from segflow.operators.typed import learned_schema, path_evidence, typed_message
 from segflow.plans.document_text import documents_to_text, replace_table
 from segflow.plans.documents import DocumentPipeline
@@ -137,8 +137,9 @@ def request_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = responses(order_variants(spark, sf_dir))
-    return _json(rows.withColumn("message_key", _message_key()).drop("messages"), "value")
+    variants = order_variants(spark, sf_dir).withColumn("message_key", _message_key())
+    rows = responses(variants, keys=(MESSAGE_ID, "message_key"), keep_messages=False)
+    return _json(rows.select(*[c for c in rows.columns if c != "message_key"], "message_key"), "value")
 
 
 def supplemental_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
