@@ -12,7 +12,7 @@ import gc
 import re
 import sys
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from xml.etree import ElementTree
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DecimalType, LongType, StringType, StructField, StructType
 
+from segflow.functions.plain_xml import NotPlain, PlainXml, Shape, elements
 from segflow.functions.variants import is_readable_xml
 
 # What tasks run travels with the plan, so workers need not have this package installed.
@@ -40,6 +41,8 @@ _LARGEST = ("most", "whole_digits", "fraction_digits")
 _NUMBER = re.compile(r"-?(\d+)(?:\.(\d+))?").fullmatch
 #: Names that from_xml gives to attributes, and to the text of an element that also has attributes or children.
 _ATTRIBUTE, _TEXT = "_", "_VALUE"
+#: Where a typed parse puts the text if something is amiss; no element has such a name.
+_AMISS = "/amiss"
 
 
 class _Path:
@@ -90,6 +93,8 @@ class _Evidence:
         self.top = _Path(())
         self.paths: list[_Path] = []
         self.waiting = 0
+        self.plain = PlainXml()
+        self.shapes: dict[Shape, _Places] = {}
 
     def below(self, here: _Path, name: str) -> _Path:
         if name not in here.inside:
@@ -97,6 +102,27 @@ class _Evidence:
             self.paths.append(here.inside[name])
         return here.inside[name]
 
+    def text(self, text: str) -> None:
+        """A message by its text, which says nothing if it is not well-formed."""
+        try:
+            shape, behind = self.plain.cut(text)
+        except NotPlain:
+            try:
+                root = ElementTree.fromstring(text)
+            except (ElementTree.ParseError, ValueError):
+                return
+            self.message(root)
+            return
+        found = self.shapes.get(shape)
+        if found is None:
+            found = self.shapes[shape] = _Places(self, shape)
+        found.times += 1
+        for take, place in zip(found.takes, shape.places):
+            take(behind[place])  # references stay: no number has one, resolved or not
+        self.waiting += found.elements
+        if self.waiting >= _WAITING_AT_MOST:
+            self.count()
+
     def message(self, root: ElementTree.Element) -> None:
         """Takes elements from a list, not by recursion, so that deep messages do no harm."""
         waiting = [(self.top, root)]
@@ -134,11 +160,47 @@ class _Evidence:
                     self.count()
 
     def count(self) -> None:
+        for found in self.shapes.values():
+            found.count()
+        if len(self.shapes) > len(self.plain.shapes):
+            self.shapes.clear()  # the reader has forgotten some
         for path in (self.top, *self.paths):
             path.count()
         self.waiting = 0
 
 
+class _Places:
+    """Where the values of a shape's texts go, and the parents it has, for as many texts as had it since the last count."""
+
+    def __init__(self, evidence: _Evidence, shape: Shape) -> None:
+        self.times = 0
+        self.elements = 0
+        self.takes: list[Callable[[str], None]] = []
+        self.families: list[tuple[_Path, tuple[str, ...]]] = []
+        root, _ = elements(shape.tags)
+        takes = {}
+        waiting = [(evidence.top, root)]
+        while waiting:
+            here, element = waiting.pop()
+            family = tuple([child.name for child in element.children])
+            self.families.append((here, family))
+            self.elements += len(family)
+            for child in element.children:
+                at = evidence.below(here, child.name)
+                if child.children:
+                    waiting.append((at, child))
+                elif child.text is not None:
+                    takes[child.text] = at.texts.append
+        self.takes = [takes[place] for place in shape.places]
+
+    def count(self) -> None:
+        if self.times:
+            for here, family in self.families:
+                here.seen["parents"] += self.times
+                here.families[family] = here.families.get(family, 0) + self.times
+            self.times = 0
+
+
 def path_evidence(texts: DataFrame, value: str = "value") -> DataFrame:
     """A row for each path of element names below the root, with what the values on it look like.
 
@@ -156,13 +218,8 @@ def path_evidence(texts: DataFrame, value: str = "value") -> DataFrame:
         try:
             for batch in batches:
                 for text in batch.column(0):
-                    if (text := text.as_py()) is None:
-                        continue
-                    try:
-                        root = ElementTree.fromstring(text)
-                    except (ElementTree.ParseError, ValueError):
-                        continue
-                    evidence.message(root)
+                    if (text := text.as_py()) is not None:
+                        evidence.text(text)
         finally:
             if collects:
                 gc.enable()
@@ -220,7 +277,17 @@ def typed_message(text: Column, schema: StructType) -> Column:
     """XML text as a struct of the schema; NULL for NULL, for text that is not well-formed, and for a schema without fields.
 
     Elements the schema does not know are left out, values that are not of its type are NULL.
+    A text is parsed once: only if the parse finds something amiss, which may be a value, is it checked apart.
     """
     if not schema.fields:
         return F.lit(None).cast("struct<>")
-    return F.when(is_readable_xml(text), F.from_xml(text, schema))
+    told = StructType([*schema.fields, StructField(_AMISS, StringType())])
+    options = {"columnNameOfCorruptRecord": _AMISS}
+    found = F.transform(
+        F.array(F.struct(text.alias("text"), F.from_xml(text, told, options).alias("parsed"))),
+        lambda doc: F.when(
+            doc["text"].isNotNull() & (doc["parsed"][_AMISS].isNull() | is_readable_xml(doc["text"])),
+            doc["parsed"].dropFields(f"`{_AMISS}`"),
+        ),
+    )
+    return found[0]

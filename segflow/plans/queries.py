@@ -16,7 +16,7 @@ from segflow.config import PipelineConfig
 from segflow.functions.parsers import html_parser
 from segflow.functions.paths import EXTENSION_PATTERN, declare_parse_extensions
 from segflow.functions.paths import file_extension as extension_of
-from segflow.functions.variants import is_readable_xml, member, member_list, member_text, xml_to_variant
+from segflow.functions.variants import evaluated_once, is_readable_xml, member, member_list, member_text, xml_to_variant
 from segflow.operators import documents as docs
 from segflow.operators import quality
 from segflow.operators.claims import claim_segments
@@ -155,7 +155,7 @@ def _order_schema(spark: SparkSession, sf_dir: str):
 def typed_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims of messages parsed by the schema that all messages taught: codes whole, segments always lists."""
     typed = order_messages(spark, sf_dir).select(
-        "message_key", typed_message(F.col("value"), _order_schema(spark, sf_dir)).alias("message")
+        "message_key", evaluated_once(typed_message(F.col("value"), _order_schema(spark, sf_dir))).alias("message")
     )
     request = F.col("message.NcpdpRequest")
     return typed.select(
